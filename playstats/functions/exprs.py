@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "num_round", "to_double_round", "int_div", "month_name_padded", "year_month",
     "month_start", "safe_ratio", "affinity_tier", "skip_behavior", "listening_pattern",
-    "one_hot", "AFFINITY_LABELS", "SKIP_LABELS", "PATTERN_LABELS", "col_or_name",
+    "one_hot", "seconds_between", "AFFINITY_LABELS", "SKIP_LABELS", "PATTERN_LABELS", "col_or_name",
 ]
 
 # Tier labels and thresholds used by the feature views.
@@ -48,6 +48,11 @@ def int_div(a: str, b: str) -> Column:
     return F.expr(f"({a}) div ({b})")
 
 
+def seconds_between(start: str, end: str) -> Column:
+    """Whole seconds from ``start`` to ``end`` (``extract(epoch from end - start)``)."""
+    return F.expr(f"timestampdiff(SECOND, {start}, {end})")
+
+
 def month_start(ts) -> Column:
     """``date_trunc('month', ts)`` keeping timestamp_ntz."""
     return F.date_trunc("month", col_or_name(ts)).cast("timestamp_ntz")

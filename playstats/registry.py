@@ -35,7 +35,8 @@ def _report(key: str, fn, **kw):
 
 
 def _rounded(df: DataFrame, cols, digits: int) -> DataFrame:
-    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+    # "+ 0.0" turns a rounded -0.0 into 0.0 so both engines print the same zero.
+    return df.withColumns({c: F.round(F.col(c), digits) + F.lit(0.0) for c in cols})
 
 
 # ---- reports R1-R39
@@ -85,3 +86,66 @@ _report("plays_per_month", R.plays_per_month)
 def oracle() -> dict[str, str]:
     sql = _oracle.oracle_sql()
     return {k: v for k, v in sql.items() if k in QUERIES}
+
+
+# ---- feature views, distributions, similarity
+from playstats.plans import features as FT  # noqa: E402
+from playstats.plans import recommend as RC  # noqa: E402
+from playstats.functions.exprs import seconds_between  # noqa: E402
+
+_TS_FMT = "yyyy-MM-dd HH:mm:ss"
+
+
+def _ts_text(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, _TS_FMT) for c in cols})
+
+
+@register("track_features")
+def _q_track_features(spark, sf_dir):
+    tf = FT.track_features(_m(spark, sf_dir))
+    tf = tf.withColumn("listening_period_s",
+                       seconds_between("first_played", "last_played"))
+    tf = _ts_text(tf, ["first_played", "last_played"]).drop("listening_period")
+    return _rounded(tf, ["avg_play_duration_sec", "avg_play_duration_s"], 6)
+
+
+@register("track_features_engineered")
+def _q_engineered(spark, sf_dir):
+    e = FT.track_features_engineered(_m(spark, sf_dir)).drop("listening_period")
+    e = _ts_text(e, ["first_played", "last_played"])
+    return _rounded(e, ["session_intensity", "recency_score", "loyalty_index",
+                        "skip_adjusted_popularity", "avg_play_duration_sec"], 6)
+
+
+@register("track_features_clean")
+def _q_clean(spark, sf_dir):
+    c = FT.track_features_clean(_m(spark, sf_dir))
+    return _rounded(c, [f"z_{x}" for x in FT.Z_MEASURES], 6)
+
+
+@register("feature_matrix")
+def _q_fm(spark, sf_dir):
+    fm = FT.feature_matrix(_m(spark, sf_dir), with_vector=False)
+    return _rounded(fm, [f"z_{x}" for x in FT.Z_MEASURES], 6)
+
+
+@register("check_constant_features")
+def _q_const(spark, sf_dir):
+    return _rounded(FT.check_constant_features(_m(spark, sf_dir)), ["mean", "sd"], 6)
+
+
+_report("affinity_distribution", FT.affinity_distribution)
+_report("skip_behavior_distribution", FT.skip_behavior_distribution)
+
+
+@register("similar_tracks")
+def _q_similar(spark, sf_dir):
+    return _rounded(RC.similar_to_most_played(_m(spark, sf_dir), n=10), ["cosine_similarity"], 9)
+
+
+@register("recommend_by_feature")
+def _q_rec_feature(spark, sf_dir):
+    fm = FT.feature_matrix(_m(spark, sf_dir), with_vector=False)
+    out = RC.recommend_by_feature(fm, None, n=5)
+    out = _rounded(out, [f"z_{x}" for x in FT.Z_MEASURES], 6)
+    return _rounded(out, ["distance"], 9)

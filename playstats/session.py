@@ -20,6 +20,22 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Runtime SQL settings applied to whatever session runs the queries (also one
+# created by someone else). Constraint propagation re-derives every alias and
+# IS NOT NULL constraint through the 21-feature projections of the feature views,
+# which made optimisation of the similarity plans take close to a minute; the
+# explicit predicates those plans need are written out, so nothing is lost.
+RUNTIME_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "playstats", extra: dict | None = None) -> SparkSession:
@@ -32,6 +48,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
     conf = dict(BASE_CONF)
+    conf.update(RUNTIME_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.driver.memory", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

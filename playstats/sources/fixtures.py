@@ -12,13 +12,12 @@ by broadcast (a fixed, one-row size), never a driver round trip.
 
 from __future__ import annotations
 
-from functools import lru_cache  # noqa: F401
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstats.model import Model
 from playstats.operators.ranking import dense_index
+from playstats.session import configure
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -137,6 +136,7 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:
+    configure(spark)
     g = genres(spark, sf_dir)
     return Model(artists=artists(spark, sf_dir), tracks=tracks(spark, sf_dir),
                  plays=plays(spark, sf_dir), genres=g,
