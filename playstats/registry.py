@@ -149,3 +149,154 @@ def _q_rec_feature(spark, sf_dir):
     out = RC.recommend_by_feature(fm, None, n=5)
     out = _rounded(out, [f"z_{x}" for x in FT.Z_MEASURES], 6)
     return _rounded(out, ["distance"], 9)
+
+
+# ---- ingest, data quality, enrichment (inputs derived from the driver tables)
+from playstats.operators import enrich as EN  # noqa: E402
+from playstats.operators import ingest as IG  # noqa: E402
+from playstats.operators import quality as DQ  # noqa: E402
+from playstats.sources import derived as DV  # noqa: E402
+
+
+def _history(spark, sf_dir):
+    return IG.load_play_history(DV.raw_play_export(spark, sf_dir))
+
+
+def _catalog(spark, sf_dir, match="title_artist"):
+    return IG.load_song_catalog(DV.raw_song_catalog(spark, sf_dir), match)
+
+
+@register("drop_null_rows")
+def _q_drop_null(spark, sf_dir):
+    return IG.drop_null_rows(DV.raw_play_export(spark, sf_dir), ["Track Description"])
+
+
+@register("split_description")
+def _q_split(spark, sf_dir):
+    raw = DV.raw_play_export(spark, sf_dir).select(F.col("Track Description").alias("description"))
+    return IG.split_description(raw, "description")
+
+
+@register("parse_compact_date")
+def _q_parse_date(spark, sf_dir):
+    raw = DV.raw_play_export(spark, sf_dir).select(F.col("Date Played").alias("date_text"))
+    return _ts_text(raw.withColumn("played_at", IG.parse_compact_date("date_text")), ["played_at"])
+
+
+@register("dim_surrogate_keys")
+def _q_dim(spark, sf_dir):
+    return _history(spark, sf_dir)["artists"]
+
+
+@register("build_tracks")
+def _q_build_tracks(spark, sf_dir):
+    return _history(spark, sf_dir)["tracks"]
+
+
+@register("build_plays")
+def _q_build_plays(spark, sf_dir):
+    return _ts_text(_history(spark, sf_dir)["plays"], ["played_at"])
+
+
+@register("dedupe_daily_plays")
+def _q_dedupe(spark, sf_dir):
+    raw = fixtures.plays_raw(spark, sf_dir)
+    out = IG.keep_first(raw, ["track_id", "played_at"],
+                        ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"],
+                        ["play_duration_ms", "play_count", "skip_count"])
+    return _ts_text(out.select("track_id", "played_at", "play_duration_ms", "play_count",
+                               "skip_count"), ["played_at"])
+
+
+@register("build_genres")
+def _q_build_genres(spark, sf_dir):
+    return _catalog(spark, sf_dir)["genres"]
+
+
+@register("build_artist_genres")
+def _q_build_artist_genres(spark, sf_dir):
+    return _catalog(spark, sf_dir)["artist_genres"]
+
+
+@register("build_catalog_tracks")
+def _q_build_catalog_tracks(spark, sf_dir):
+    return _catalog(spark, sf_dir)["tracks"]
+
+
+@register("build_audio_features")
+def _q_build_af(spark, sf_dir):
+    return _catalog(spark, sf_dir)["audio_features"]
+
+
+@register("build_audio_features_title_match")
+def _q_build_af_title(spark, sf_dir):
+    return _catalog(spark, sf_dir, "title")["audio_features"]
+
+
+@register("load_summary")
+def _q_load_summary(spark, sf_dir):
+    tables = {f"history_{k}": v for k, v in _history(spark, sf_dir).items()}
+    tables.update({f"catalog_{k}": v for k, v in _catalog(spark, sf_dir).items()})
+    return IG.load_summary(tables)
+
+
+@register("dq_duplicate_keys")
+def _q_dq_dup(spark, sf_dir):
+    dup = DQ.check_unique(fixtures.plays_raw(spark, sf_dir), ["track_id", "played_at"])
+    return _ts_text(dup, ["played_at"])
+
+
+_FKS = (("tracks.artist_id", "tracks", "artists", "artist_id"),
+        ("plays.track_id", "plays", "tracks", "track_id"),
+        ("artist_genres.artist_id", "artist_genres", "artists", "artist_id"),
+        ("artist_genres.genre_id", "artist_genres", "genres", "genre_id"),
+        ("audio_features.track_id", "audio_features", "tracks", "track_id"))
+
+
+@register("dq_orphans")
+def _q_dq_orphans(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    frames = [DQ.check_orphans(getattr(m, child), getattr(m, parent), key)
+              .agg(F.count(F.lit(1)).alias("orphan_count"))
+              .select(F.lit(rel).alias("relation"), "orphan_count")
+              for rel, child, parent, key in _FKS]
+    return DQ.union_all(frames)
+
+
+@register("dq_null_counts")
+def _q_dq_nulls(spark, sf_dir):
+    m = _m(spark, sf_dir)
+    return DQ.union_all([DQ.null_counts(getattr(m, t), t) for t in
+                         ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")])
+
+
+def _lookups(spark, sf_dir):
+    return EN.parse_lookup(DV.landed_lookups(spark, sf_dir))
+
+
+@register("parse_lookup")
+def _q_parse_lookup(spark, sf_dir):
+    return _lookups(spark, sf_dir).select("artist_id", "mbid", F.array_join("tags", "|").alias("tags"),
+                                          "country", "status")
+
+
+@register("pending_artists")
+def _q_pending(spark, sf_dir):
+    return EN.pending_artists(_m(spark, sf_dir).artists.select("artist_id", "name"),
+                              _lookups(spark, sf_dir))
+
+
+@register("apply_enrichment")
+def _q_apply(spark, sf_dir):
+    return EN.apply_enrichment(_m(spark, sf_dir).artists, _lookups(spark, sf_dir))
+
+
+@register("explode_tags")
+def _q_explode_tags(spark, sf_dir):
+    return EN.explode_tags(_lookups(spark, sf_dir))
+
+
+@register("tag_bridge")
+def _q_tag_bridge(spark, sf_dir):
+    lk = _lookups(spark, sf_dir)
+    return EN.tag_bridge(lk, EN.explode_tags(lk))
