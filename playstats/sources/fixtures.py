@@ -12,12 +12,14 @@ by broadcast (a fixed, one-row size), never a driver round trip.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstats.model import Model
 from playstats.operators.ranking import dense_index
-from playstats.session import configure
+from playstats.session import configure, ensure_checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -135,10 +137,52 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p_size") / 50.0).cast("double").alias("danceability")))
 
 
-def model(spark: SparkSession, sf_dir: str) -> Model:
+MODEL_TABLES = ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")
+
+
+def build_model(spark: SparkSession, sf_dir: str) -> Model:
+    """The model as lazy DataFrames straight over the driver tables."""
     configure(spark)
     g = genres(spark, sf_dir)
     return Model(artists=artists(spark, sf_dir), tracks=tracks(spark, sf_dir),
                  plays=plays(spark, sf_dir), genres=g,
                  artist_genres=artist_genres(spark, sf_dir, g),
                  audio_features=audio_features(spark, sf_dir))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _input_signature(spark: SparkSession, sf_dir: str) -> str:
+    """Hash of the input files' paths, sizes and modification times."""
+    parts = [sf_dir]
+    for name in ("supplier", "nation", "part", "lineitem", "orders", "documents"):
+        fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for st in fs.listStatus(p):
+            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
+
+
+def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
+    """The loaded model, as the reports see it.
+
+    Like the reference (load once, report many times), the six tables are written
+    once as Parquet into the shared checkpoint folder (``spark.checkpoint.dir``),
+    keyed by a signature of the input files, and every report reads them from
+    there. A lost executor then re-reads Parquet instead of recomputing the load.
+    ``materialize=False`` returns the lazy plans instead.
+    """
+    configure(spark)
+    if not materialize:
+        return build_model(spark, sf_dir)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/{_input_signature(spark, sf_dir)}"
+    fs, done = _fs(spark, f"{root}/_COMPLETE")
+    if not fs.exists(done):
+        built = build_model(spark, sf_dir)
+        for name in MODEL_TABLES:
+            getattr(built, name).write.mode("overwrite").parquet(f"{root}/{name}")
+        fs.create(done, True).close()
+    return Model(**{name: spark.read.parquet(f"{root}/{name}") for name in MODEL_TABLES})
