@@ -102,3 +102,37 @@ def recommend_for_random(frame: DataFrame, n: int = 5, seed: int = 42,
                        .otherwise(F.coalesce(F.col("_role"), F.lit("background"))))
            .drop("_role"))
     return drop_target_cols(out, cols, "track_id")
+
+
+def behaviour_groups(fm: DataFrame) -> DataFrame:
+    """A SQL-expressible segmentation of the feature matrix, used to check the labeller.
+
+    cluster = 4 * (affinity tier index) + (listening pattern index); tracks with a
+    high skip rate form the noise group -1.
+    """
+    aff = (F.when(F.col("affinity_loved") == 1, 0).when(F.col("affinity_liked") == 1, 1)
+           .when(F.col("affinity_casual") == 1, 2).otherwise(3))
+    pat = (F.when(F.col("pattern_long_term") == 1, 0).when(F.col("pattern_regular") == 1, 1)
+           .when(F.col("pattern_occasional") == 1, 2).otherwise(3))
+    return fm.withColumn("cluster", F.when(F.col("skip_high") == 1, F.lit(-1))
+                         .otherwise(aff * 4 + pat).cast("int"))
+
+
+def cluster_tracks(m: Model, min_cluster_size: int = 20, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """The recommender frame: feature matrix + 2-D layout + density cluster + label."""
+    from playstats.operators.clusters import attach_labels, density_clusters
+    from playstats.operators.layout import pca_layout
+    from playstats.plans.features import feature_matrix
+    laid = pca_layout(feature_matrix(m, as_of))
+    clustered = density_clusters(laid, "x", "y", min_cluster_size=min_cluster_size)
+    return attach_labels(clustered, "cluster")
+
+
+def export_clusters(frame: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Write the clustered tracks (array column flattened away) with a header."""
+    out = frame.drop("features")
+    w = out.write.mode("overwrite")
+    if fmt == "csv":
+        w.option("header", True).csv(path)
+    else:
+        w.format(fmt).save(path)

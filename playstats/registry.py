@@ -300,3 +300,56 @@ def _q_explode_tags(spark, sf_dir):
 def _q_tag_bridge(spark, sf_dir):
     lk = _lookups(spark, sf_dir)
     return EN.tag_bridge(lk, EN.explode_tags(lk))
+
+
+# ---- layout, clusters, labels, recommendations over the layout
+from playstats.operators import clusters as CL  # noqa: E402
+from playstats.operators.layout import pca_layout  # noqa: E402
+
+
+def _layout(spark, sf_dir):
+    return pca_layout(FT.feature_matrix(_m(spark, sf_dir)))
+
+
+@register("layout_pca")
+def _q_layout(spark, sf_dir):
+    return _layout(spark, sf_dir).select("track_id", "track_name", "artist_name", "x", "y")
+
+
+@register("density_clusters")
+def _q_density(spark, sf_dir):
+    return CL.density_clusters(_layout(spark, sf_dir), "x", "y", min_cluster_size=20).select(
+        "track_id", "x", "y", "cluster")
+
+
+@register("cluster_tracks")
+def _q_cluster_tracks(spark, sf_dir):
+    return RC.cluster_tracks(_m(spark, sf_dir)).drop("features")
+
+
+@register("cluster_summary")
+def _q_cluster_summary(spark, sf_dir):
+    return CL.cluster_summary(fixtures.table(spark, sf_dir, "embeddings"), "label")
+
+
+@register("label_clusters")
+def _q_label_clusters(spark, sf_dir):
+    fm = FT.feature_matrix(_m(spark, sf_dir), with_vector=False)
+    return CL.label_clusters(RC.behaviour_groups(fm), "cluster")
+
+
+@register("silhouette")
+def _q_silhouette(spark, sf_dir):
+    emb = fixtures.table(spark, sf_dir, "embeddings")
+    return CL.silhouette(emb, "embedding", "label", exclude_noise=True)
+
+
+@register("recommend_by_position")
+def _q_rec_position(spark, sf_dir):
+    return RC.recommend_by_position(_layout(spark, sf_dir).drop("features"), None, n=5)
+
+
+@register("recommend_for_random")
+def _q_rec_random(spark, sf_dir):
+    frame = CL.density_clusters(_layout(spark, sf_dir), "x", "y", min_cluster_size=20)
+    return RC.recommend_for_random(frame.drop("features"), n=5, seed=42)
