@@ -1,16 +1,23 @@
-"""Global numbering without a single-partition window.
-
-``rank() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move every row to
-one task (``Exchange SinglePartition``). These operators give the same numbers
-with work spread over range partitions:
-
-1. pre-aggregate to one row per distinct sort key (a hot key that holds a third
-   of the rows becomes one row, and the partial aggregate runs map-side);
-2. range-partition the distinct keys by the sort order, number them inside each
-   partition with a window on the partition id;
-3. add per-partition offsets: a table of at most ``num_partitions`` rows, so its
-   broadcast has a fixed bound;
-4. join the numbers back to the rows on the key (AQE splits a skewed join side).
+"""Ranks without single-task windows.
+
+``rank() OVER (ORDER BY x)`` with no PARTITION BY moves every row to one task
+(``Exchange SinglePartition``), and ``rank() OVER (PARTITION BY g ORDER BY x)``
+puts a whole group in one task, so one hot group (say a third of all rows) is
+sorted by a single task. These operators give the same numbers with the work
+spread over range partitions:
+
+1. pre-aggregate to one row per distinct (group, sort key): tied rows become one
+   row, and the partial aggregate runs map-side;
+2. range-partition those keys by (group, sort order), so a large group is split
+   over many partitions, and number the keys inside each (partition, group) with a
+   window;
+3. add offsets: for each (partition, group) the count of the same group's keys in
+   earlier partitions. The offsets table has at most (partitions + groups) rows;
+   with no groups it is at most ``num_partitions`` rows and is broadcast;
+4. join the numbers back to the rows on (group, key); AQE splits skewed join sides.
+
+The range-partitioned keys are checkpointed once, so the numbering and the offsets
+see the same partition of every key.
 """
 
 from __future__ import annotations
@@ -18,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from playstats.session import cut_lineage
+
 _PID = "_rk_pid"
 
 
@@ -29,33 +38,44 @@ def _sort_col(name: str, ascending: bool, nulls_first: bool | None) -> Column:
     return c.desc_nulls_last() if nulls_first is False else c.desc_nulls_first()
 
 
-def _number_distinct(keys: DataFrame, order: list[Column], weight: str | None,
+def _number_distinct(keys: DataFrame, groups: list[str], order: list[Column], weight: str | None,
                      num_partitions: int | None) -> DataFrame:
-    """Number rows of ``keys`` (unique on the order columns) in global order.
+    """Number rows of ``keys`` (unique on groups + order columns) within each group.
 
-    Adds ``_pos`` (1-based position) and, when ``weight`` is given, ``_before``
-    (sum of ``weight`` over all earlier rows).
+    Adds ``_pos`` (1-based position in the group) and, when ``weight`` is given,
+    ``_before`` (sum of ``weight`` over the group's earlier rows).
     """
     spark = keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(n, *order).withColumn(_PID, F.spark_partition_id())
-    w = Window.partitionBy(_PID).orderBy(*order)
+    group_sort = [F.col(g).asc_nulls_first() for g in groups]
+    ranged = keys.repartitionByRange(n, *group_sort, *order).withColumn(_PID, F.spark_partition_id())
+    # The numbering and the offsets both read this frame; column pruning makes their
+    # plans differ, so Spark would run the range exchange twice and could place a
+    # key in different partitions. A reliable checkpoint (shared folder) fixes one
+    # assignment for both and also survives a lost executor.
+    ranged = cut_lineage(ranged)
+    w = Window.partitionBy(_PID, *groups).orderBy(*order)
     local = ranged.withColumn("_lpos", F.row_number().over(w))
     if weight:
         local = local.withColumn(
             "_lcum", F.sum(weight).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    # One row per range partition: bounded by n, safe to broadcast.
     aggs = [F.count(F.lit(1)).alias("_pn")]
     if weight:
         aggs.append(F.sum(weight).alias("_pw"))
-    per_part = local.groupBy(_PID).agg(*aggs)
-    wp = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    per_part = local.groupBy(_PID, *groups).agg(*aggs)
+    wp = Window.partitionBy(*groups).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1) \
+        if groups else Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
-        _PID,
+        F.col(_PID).alias("_o_pid"), *[F.col(g).alias(f"_o_{g}") for g in groups],
         F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_opos"),
         *([F.coalesce(F.sum("_pw").over(wp), F.lit(0)).alias("_ow")] if weight else []),
     )
-    out = local.join(F.broadcast(offsets), _PID)
+    cond = F.col(_PID) == F.col("_o_pid")
+    for g in groups:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
+    # without groups: one row per range partition, bounded by n, so broadcast
+    right = offsets if groups else F.broadcast(offsets)
+    out = local.join(right, cond).drop("_o_pid", *[f"_o_{g}" for g in groups])
     out = out.withColumn("_pos", (F.col("_opos") + F.col("_lpos")).cast("long"))
     drop = [_PID, "_lpos", "_opos"]
     if weight:
@@ -65,36 +85,60 @@ def _number_distinct(keys: DataFrame, order: list[Column], weight: str | None,
     return out.drop(*drop)
 
 
-def global_rank(df: DataFrame, order: list[tuple[str, bool]], out: str = "rank",
-                method: str = "rank", nulls_first: bool | None = None,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = rank / dense_rank over the whole frame ordered by ``order``.
+def grouped_rank(df: DataFrame, groups: list[str], order: list[tuple[str, bool]], out: str = "rank",
+                 method: str = "rank", nulls_first: bool | None = None,
+                 num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = rank / dense_rank / percent_rank within ``groups`` ordered by ``order``.
 
     ``order`` is a list of (column, ascending). Ties share a number, as in SQL.
+    ``groups=[]`` ranks the whole frame.
     """
-    if method not in ("rank", "dense_rank"):
+    if method not in ("rank", "dense_rank", "percent_rank"):
         raise ValueError(method)
     names = [c for c, _ in order]
     sort = [_sort_col(c, asc, nulls_first) for c, asc in order]
-    keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_kn"))
-    numbered = _number_distinct(keys, sort, "_kn", num_partitions)
-    value = (F.col("_before") + 1) if method == "rank" else F.col("_pos")
-    numbered = numbered.select(*[F.col(c).alias(f"_k_{c}") for c in names],
-                               value.cast("long").alias(out))
+    keys = df.groupBy(*groups, *names).agg(F.count(F.lit(1)).alias("_kn"))
+    numbered = _number_distinct(keys, list(groups), sort, "_kn", num_partitions)
+    if method == "dense_rank":
+        value = F.col("_pos").cast("long")
+    else:
+        value = (F.col("_before") + 1).cast("long")
+    if method == "percent_rank":
+        sizes = keys.groupBy(*groups).agg(F.sum("_kn").alias("_gn"))
+        numbered = numbered.join(sizes, groups, "left") if groups else numbered.crossJoin(
+            F.broadcast(sizes))
+        value = F.when(F.col("_gn") > 1, (F.col("_before")).cast("double") / (F.col("_gn") - 1)) \
+            .otherwise(F.lit(0.0))
+    key_cols = [*groups, *names]
+    numbered = numbered.select(*[F.col(c).alias(f"_k_{c}") for c in key_cols], value.alias(out))
     cond = None
-    for c in names:
+    for c in key_cols:
         e = df[c].eqNullSafe(numbered[f"_k_{c}"])
         cond = e if cond is None else cond & e
-    return df.join(numbered, cond, "inner").drop(*[f"_k_{c}" for c in names])
+    return df.join(numbered, cond, "inner").drop(*[f"_k_{c}" for c in key_cols])
+
+
+def global_rank(df: DataFrame, order: list[tuple[str, bool]], out: str = "rank",
+                method: str = "rank", nulls_first: bool | None = None,
+                num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = rank / dense_rank over the whole frame ordered by ``order``."""
+    return grouped_rank(df, [], order, out, method, nulls_first, num_partitions)
+
+
+def grouped_row_number(df: DataFrame, groups: list[str], order: list[tuple[str, bool]],
+                       out: str = "row_no", nulls_first: bool | None = None,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = row_number within ``groups``; groups + order must be unique per row."""
+    sort = [_sort_col(c, asc, nulls_first) for c, asc in order]
+    numbered = _number_distinct(df, list(groups), sort, None, num_partitions)
+    return numbered.withColumnRenamed("_pos", out)
 
 
 def global_row_number(df: DataFrame, order: list[tuple[str, bool]], out: str = "row_no",
                       nulls_first: bool | None = None,
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = row_number over the whole frame; ``order`` must be a total order."""
-    sort = [_sort_col(c, asc, nulls_first) for c, asc in order]
-    numbered = _number_distinct(df, sort, None, num_partitions)
-    return numbered.withColumnRenamed("_pos", out)
+    return grouped_row_number(df, [], order, out, nulls_first, num_partitions)
 
 
 def dense_index(df: DataFrame, key_cols: list[str], out: str,

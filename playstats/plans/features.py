@@ -42,11 +42,17 @@ def _genre_lists(m: Model, genres: DataFrame) -> DataFrame:
 
 def track_features(m: Model) -> DataFrame:
     """per-track play statistics, clean-genre tags and three text labels."""
-    per_track = m.plays.groupBy("track_id").agg(
-        F.sum("play_count").alias("total_plays"),
-        F.sum("skip_count").alias("total_skips"),
-        F.avg("play_duration_ms").alias("avg_play_duration_sec"),
-        F.count_distinct("played_at").alias("days_played"),
+    # count(distinct played_at) as two aggregation levels (per track-day, then per
+    # track) instead of Spark's Expand-based distinct rewrite, which doubles the rows
+    # going into the shuffle.
+    per_day = m.plays.groupBy("track_id", "played_at").agg(
+        F.sum("play_count").alias("_p"), F.sum("skip_count").alias("_s"),
+        F.sum("play_duration_ms").alias("_ms"), F.count("play_duration_ms").alias("_n"))
+    per_track = per_day.groupBy("track_id").agg(
+        F.sum("_p").alias("total_plays"),
+        F.sum("_s").alias("total_skips"),
+        (F.sum("_ms") / F.sum("_n")).alias("avg_play_duration_sec"),
+        F.count("played_at").alias("days_played"),
         F.min("played_at").alias("first_played"),
         F.max("played_at").alias("last_played"))
     ta = m.tracks.select("track_id", "title", "artist_id").join(

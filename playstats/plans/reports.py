@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from playstats.functions.exprs import (int_div, month_name_padded, month_start, num_round,
                                        year_month)
 from playstats.model import Model
-from playstats.operators.ranking import global_rank
+from playstats.operators.ranking import global_rank, grouped_rank, grouped_row_number
 
 AUDIO = ("danceability", "energy", "tempo", "valence", "acousticness", "speechiness")
 
@@ -300,38 +300,41 @@ def _track_genre_rows(m: Model) -> DataFrame:
 
 
 def genre_avg_energy_window(m: Model) -> DataFrame:
-    """Every (genre, track) row with its genre's average energy."""
+    """Every (genre, track) row with its genre's average energy.
+
+    ``avg() OVER (PARTITION BY genre)`` is computed as a per-genre aggregate (partial
+    aggregation map-side) joined back, so a genre holding most rows is not one task.
+    """
     rows = _track_genre_rows(m).join(m.audio_features.select("track_id", "energy"), "track_id")
-    return rows.select("genre", "energy", "title",
-                       F.avg("energy").over(Window.partitionBy("genre")).alias("avg_energy"))
+    avgs = rows.groupBy("genre").agg(F.avg("energy").alias("avg_energy"))
+    return rows.join(avgs, "genre").select("genre", "energy", "title", "avg_energy")
 
 
 def dance_rank_in_genre(m: Model) -> DataFrame:
-    """Rank and dense_rank by danceability within genre (one shared sort)."""
-    rows = _track_genre_rows(m).join(m.audio_features.select("track_id", "danceability"), "track_id")
-    w = Window.partitionBy("genre").orderBy(_desc("danceability"))
-    return rows.select("title", F.col("name").alias("artist"), "genre", "danceability",
-                       F.rank().over(w).cast("long").alias("dance_rank"),
-                       F.dense_rank().over(w).cast("long").alias("dense_dance_rank"))
+    """Rank and dense_rank by danceability within genre (range-partitioned ranks)."""
+    rows = (_track_genre_rows(m).join(m.audio_features.select("track_id", "danceability"), "track_id")
+            .select("title", F.col("name").alias("artist"), "genre", "danceability"))
+    r = grouped_rank(rows, ["genre"], [("danceability", False)], "dance_rank", "rank")
+    return grouped_rank(r, ["genre"], [("danceability", False)], "dense_dance_rank", "dense_rank")
 
 
 def release_order_in_genre(m: Model) -> DataFrame:
     """row_number by release year (newest first, then track_id) within genre."""
     rows = (track_artist(m).join(m.tracks.select("track_id", "release_year"), "track_id")
             .filter(F.col("release_year").isNotNull()).join(genre_bridge(m), "artist_id"))
-    w = Window.partitionBy("genre").orderBy(_desc("release_year"), "track_id")
-    return rows.select("title", F.col("name").alias("artist"), "genre", "release_year",
-                       F.row_number().over(w).cast("long").alias("release_row_no"))
+    out = grouped_row_number(rows, ["genre"], [("release_year", False), ("track_id", True)],
+                             "release_row_no")
+    return out.select("title", F.col("name").alias("artist"), "genre", "release_year",
+                      "release_row_no")
 
 
 def length_percent_rank_in_genre(m: Model) -> DataFrame:
     """percent_rank of duration (longest first) within genre."""
     rows = (track_artist(m).join(m.tracks.select("track_id", "duration_ms"), "track_id")
-            .filter(F.col("duration_ms").isNotNull()).join(genre_bridge(m), "artist_id"))
-    w = Window.partitionBy("genre").orderBy(_desc("duration_ms"))
-    return rows.select("title", F.col("name").alias("artist"), "genre",
-                       F.col("duration_ms").alias("length"),
-                       F.percent_rank().over(w).alias("length_percent_rank"))
+            .filter(F.col("duration_ms").isNotNull()).join(genre_bridge(m), "artist_id")
+            .select("title", F.col("name").alias("artist"), "genre",
+                    F.col("duration_ms").alias("length")))
+    return grouped_rank(rows, ["genre"], [("length", False)], "length_percent_rank", "percent_rank")
 
 
 # --------------------------------------------------------------- window_functions_am
