@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playstats.operators.ranking import dense_index
+from playstats.session import cut_lineage
 
 DESCRIPTION_SEPARATOR = " - "
 
@@ -109,10 +110,16 @@ def build_plays(prepared: DataFrame, tracks: DataFrame, artists: DataFrame) -> D
 
 
 def load_play_history(raw: DataFrame) -> dict[str, DataFrame]:
-    """The whole play-history load: artists, tracks, plays."""
+    """The whole play-history load: artists, tracks, plays.
+
+    Artists and tracks both come from the distinct (artist, title) pairs, written
+    once to the shared checkpoint folder, so the raw export is read twice (pairs,
+    plays) rather than once per table.
+    """
     prepared = prepare_play_export(raw)
-    artists = build_artists(prepared)
-    tracks = build_tracks(prepared, artists)
+    pairs = cut_lineage(prepared.select("artist_name", "track_name").distinct())
+    artists = build_artists(pairs)
+    tracks = build_tracks(pairs, artists)
     return {"artists": artists, "tracks": tracks, "plays": build_plays(prepared, tracks, artists)}
 
 
@@ -193,8 +200,12 @@ def build_audio_features(cat: DataFrame, tracks: DataFrame, artists: DataFrame,
 
 
 def load_song_catalog(raw: DataFrame, match: str = "title_artist") -> dict[str, DataFrame]:
-    """The whole catalog load: artists, tracks, genres, artist_genres, audio_features."""
-    cat = prepare_catalog(raw)
+    """The whole catalog load: artists, tracks, genres, artist_genres, audio_features.
+
+    The cleaned catalog feeds five tables, so it is written once to the shared
+    checkpoint folder instead of being re-read and re-parsed for each.
+    """
+    cat = cut_lineage(prepare_catalog(raw))
     artists = build_catalog_artists(cat)
     tracks = build_catalog_tracks(cat, artists)
     genres = build_genres(cat)

@@ -18,6 +18,7 @@ from playstats.functions.exprs import (affinity_tier, listening_pattern, num_rou
                                        seconds_between, skip_behavior)
 from playstats.model import Model
 from playstats.plans.reports import clean_genres
+from playstats.session import cut_lineage
 
 # The 21 model features in the reference's recommender order.
 Z_MEASURES = ("log_total_plays", "log_total_skips", "log_days_played", "log_listening_period",
@@ -148,7 +149,9 @@ def measure_stats(base: DataFrame) -> DataFrame:
 
 def track_features_clean(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
     """z-scores of log-scaled measures plus the 12 unscaled one-hots."""
-    base = clean_base(track_features_engineered(m, as_of))
+    # base feeds both the statistics pass and the scaling; one checkpoint (per-track
+    # rows, far smaller than plays) avoids running the play aggregation twice.
+    base = cut_lineage(clean_base(track_features_engineered(m, as_of)))
     stats = measure_stats(base)
     # stats is exactly one row: a broadcast nested-loop join of fixed size.
     j = base.crossJoin(F.broadcast(stats))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playstats.model import Model
 from playstats.operators.similarity import (cosine_to_target, drop_target_cols,
                                             euclidean_to_target)
+from playstats.session import cut_lineage
 from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, track_features_clean,
                                       track_features_engineered)
 
@@ -21,7 +22,8 @@ def _clean_with_names(m: Model, as_of: _dt.date) -> DataFrame:
     c = track_features_clean(m, as_of)
     e = track_features_engineered(m, as_of).select("track_id", "title", "artist", "genres",
                                                    "total_plays")
-    return c.join(e, "track_id")
+    # read twice (target and candidates): one row per track, checkpointed once
+    return cut_lineage(c.join(e, "track_id"))
 
 
 def similar_tracks_to(candidates: DataFrame, target: DataFrame, n: int = 10) -> DataFrame:
@@ -62,6 +64,7 @@ def recommend_by_feature(fm: DataFrame, track_id: int | None = None, n: int = 5,
     The target is excluded by id; an unknown id gives an empty frame. With
     ``track_id=None`` the lowest track_id is the target.
     """
+    fm = cut_lineage(fm)  # read twice: target and candidates
     target = fm.filter(F.col("track_id") == track_id) if track_id is not None else fm
     target = target.orderBy("track_id").limit(1)
     scored = euclidean_to_target(fm, target, cols)
