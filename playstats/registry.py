@@ -79,7 +79,8 @@ _report("top_artists_per_year", R.top_artists_per_year, k=10)
 _report("top_track_per_month", R.top_track_per_month)
 _report("most_repeated_tracks", R.most_repeated_tracks)
 _report("most_repeated_tracks_min_days", R.most_repeated_tracks_min_days, min_days=30)
-_report("artist_discovery", R.artist_discovery)
+QUERIES["artist_discovery"] = lambda s, d: R.artist_discovery(_m(s, d)).withColumn(
+    "first_listen", F.date_format("first_listen", "yyyy-MM-dd HH:mm:ss"))
 _report("plays_per_month", R.plays_per_month)
 
 
