@@ -105,8 +105,15 @@ def grouped_rank(df: DataFrame, groups: list[str], order: list[tuple[str, bool]]
         value = (F.col("_before") + 1).cast("long")
     if method == "percent_rank":
         sizes = keys.groupBy(*groups).agg(F.sum("_kn").alias("_gn"))
-        numbered = numbered.join(sizes, groups, "left") if groups else numbered.crossJoin(
-            F.broadcast(sizes))
+        if groups:
+            sizes = sizes.select(*[F.col(g).alias(f"_s_{g}") for g in groups], "_gn")
+            scond = None
+            for g in groups:
+                e = F.col(g).eqNullSafe(F.col(f"_s_{g}"))   # NULL is a group too
+                scond = e if scond is None else scond & e
+            numbered = numbered.join(sizes, scond, "left").drop(*[f"_s_{g}" for g in groups])
+        else:
+            numbered = numbered.crossJoin(F.broadcast(sizes))  # one row
         value = F.when(F.col("_gn") > 1, (F.col("_before")).cast("double") / (F.col("_gn") - 1)) \
             .otherwise(F.lit(0.0))
     key_cols = [*groups, *names]

@@ -67,8 +67,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session; only when it is unset and the
+    master is local (tests) a scratch folder is created and registered. On a cluster
+    an unset folder is an error rather than a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -77,6 +78,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder would not be visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "for iterative and materialising jobs")
         configured = tempfile.mkdtemp(prefix="playstats-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -85,3 +85,42 @@ def test_rank_filter_keeps_ties(spark):
     m = Model(artists, tracks, plays, genres, ag, None)
     got = sorted(tuple(r) for r in R.top_artist_per_genre(m).collect())
     assert got == [("Rock", "A", 5), ("Rock", "B", 5)]
+
+
+def test_grouped_rank_matches_window_with_hot_group(spark):
+    from playstats.operators.ranking import grouped_rank, grouped_row_number
+    rnd = random.Random(11)
+    data = []
+    for i in range(900):
+        g = "hot" if i % 3 else rnd.choice(["a", "b", "c", None])   # one group holds 2/3
+        data.append((i, g, float(rnd.randint(0, 40)) if i % 17 else None))
+    df = spark.createDataFrame(data, "id long, g string, v double").repartition(6)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first())
+    ref = {r.id: (r.r, r.d, round(r.p, 12)) for r in df.select(
+        "id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"),
+        F.percent_rank().over(w).alias("p")).collect()}
+    r = grouped_rank(df, ["g"], [("v", False)], "r", "rank", num_partitions=5)
+    r = grouped_rank(r, ["g"], [("v", False)], "d", "dense_rank", num_partitions=4)
+    r = grouped_rank(r, ["g"], [("v", False)], "p", "percent_rank", num_partitions=3)
+    ours = {x.id: (x.r, x.d, round(x.p, 12)) for x in r.collect()}
+    assert ours == ref
+    rn = grouped_row_number(df, ["g"], [("v", False), ("id", True)], "n", num_partitions=5)
+    wr = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first(), "id")
+    ref_rn = {x.id: x.n for x in df.select("id", F.row_number().over(wr).alias("n")).collect()}
+    assert {x.id: x.n for x in rn.collect()} == ref_rn
+
+
+def test_keep_first_is_idempotent(spark):
+    from playstats.operators.ingest import keep_first
+    rnd = random.Random(5)
+    data = [(rnd.randint(0, 20), rnd.randint(0, 3), rnd.randint(0, 100), rnd.randint(0, 5))
+            for _ in range(400)]
+    df = spark.createDataFrame(data, "k long, d long, a long, b long")
+    once = keep_first(df, ["k", "d"], ["a"], ["b"])
+    twice = keep_first(once, ["k", "d"], ["a"], ["b"])
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+    assert once.count() == df.select("k", "d").distinct().count()
+    best = {}
+    for k, d, a, b in data:
+        best[(k, d)] = min(best.get((k, d), (a, b)), (a, b))
+    assert {(r.k, r.d): (r.a, r.b) for r in once.collect()} == best
