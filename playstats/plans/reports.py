@@ -240,6 +240,8 @@ def top_tracks_in_year(m: Model, year: int = 2026, n: int = 200) -> DataFrame:
     hi = _dt.datetime(year + 1, 1, 1)
     p = m.plays.filter((F.col("played_at") >= F.lit(lo).cast("timestamp_ntz"))
                        & (F.col("played_at") < F.lit(hi).cast("timestamp_ntz")))
+    if "play_year" in m.plays.columns:  # year-partitioned table: prune directories too
+        p = p.filter(F.col("play_year") == year)
     return _title_artist_plays(m, p).orderBy(_desc("plays"), "title", "name").limit(n)
 
 

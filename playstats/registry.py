@@ -267,7 +267,8 @@ def _q_dq_orphans(spark, sf_dir):
 @register("dq_null_counts")
 def _q_dq_nulls(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return DQ.union_all([DQ.null_counts(getattr(m, t), t) for t in
+    cols = {"plays": ["track_id", "played_at", "play_duration_ms", "play_count", "skip_count"]}
+    return DQ.union_all([DQ.null_counts(getattr(m, t), t, cols.get(t)) for t in
                          ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")])
 
 

@@ -137,6 +137,7 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p_size") / 50.0).cast("double").alias("danceability")))
 
 
+PLAY_YEAR = "play_year"
 MODEL_TABLES = ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")
 
 
@@ -178,11 +179,18 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
     configure(spark)
     if not materialize:
         return build_model(spark, sf_dir)
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/{_input_signature(spark, sf_dir)}"
+    root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v2-"
+            f"{_input_signature(spark, sf_dir)}")
     fs, done = _fs(spark, f"{root}/_COMPLETE")
     if not fs.exists(done):
         built = build_model(spark, sf_dir)
         for name in MODEL_TABLES:
-            getattr(built, name).write.mode("overwrite").parquet(f"{root}/{name}")
+            df = getattr(built, name)
+            w = df.write.mode("overwrite")
+            if name == "plays":
+                # year partitions: a year filter prunes whole directories
+                df = df.withColumn(PLAY_YEAR, F.year("played_at"))
+                w = df.write.mode("overwrite").partitionBy(PLAY_YEAR)
+            w.parquet(f"{root}/{name}")
         fs.create(done, True).close()
     return Model(**{name: spark.read.parquet(f"{root}/{name}") for name in MODEL_TABLES})

@@ -54,6 +54,7 @@ def test_top_k_per_group_uses_window_group_limit(small_model):
 def test_year_filter_is_pushed_to_scan(small_model):
     plan = _plan(R.top_tracks_in_year(small_model, 1998))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(played_at" in plan
+    assert "PartitionFilters: [(play_year#" in plan and "= 1998)" in plan
 
 
 def test_no_python_udfs_in_hot_paths(small_model):
