@@ -91,8 +91,19 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
 
     plays = IG.build_plays(prepared, tracks, artists)
     stored = _read_or_empty(spark, f"{root}/plays", PLAYS_DDL)
-    fresh = plays.join(stored.select("track_id", "played_at"), ["track_id", "played_at"], "left_anti")
-    fresh.write.mode("append").parquet(f"{root}/plays")
+    # Only stored days inside this batch's day range can collide: the range (one row)
+    # becomes a literal filter pushed to the Parquet scan, so a batch does not re-read
+    # the whole history.
+    lo, hi = plays.agg(F.min("played_at"), F.max("played_at")).first()
+    known = plays.filter(F.col("played_at").isNotNull())
+    if lo is not None:
+        in_range = stored.filter(F.col("played_at").between(F.lit(lo), F.lit(hi)))
+        known = known.join(in_range.select("track_id", "played_at"), ["track_id", "played_at"],
+                           "left_anti")
+    # unparsable days (NULL) count as one key per track, compared null-safely
+    nulls = plays.filter(F.col("played_at").isNull()).join(
+        stored.filter(F.col("played_at").isNull()).select("track_id"), "track_id", "left_anti")
+    known.unionByName(nulls).write.mode("append").parquet(f"{root}/plays")
 
 
 def ingest_plays_stream(spark: SparkSession, source_dir: str, tables_root: str,
