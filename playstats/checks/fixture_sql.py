@@ -22,7 +22,7 @@ m_plays_raw AS (
          1 + CAST(l_quantity AS INT) % 5 AS play_count,
          CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) % 4 ELSE 0 END AS skip_count,
          l_orderkey, l_linenumber, l_suppkey, l_extendedprice
-  FROM lineitem WHERE l_orderkey % 40 < l_partkey % 40),
+  FROM lineitem),
 m_plays AS (
   SELECT track_id, played_at, play_duration_ms, play_count, skip_count
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY track_id, played_at

@@ -1,10 +1,10 @@
 """The music model derived from the driver's TPC-H-like tables.
 
 The mapping (documented in FIXTURES.md) turns suppliers into artists, parts into
-tracks, line items into daily plays, part types / brands / order priorities /
-document languages into genres. The modulo rules in it only shape the data
-(missing release years, tracks without audio features, artists without genres,
-duplicate plays per day); every rule keeps work proportional to the input tables.
+tracks, every line item into a play, part types / brands / order priorities /
+document languages into genres. The modulo rules in it only shape dimension values
+(missing release years and durations, tracks without audio features, artists
+without genres); the fact table is used whole.
 
 Everything is lazy: the scalar ``count(supplier)`` is a one-row aggregate joined
 by broadcast (a fixed, one-row size), never a driver round trip.
@@ -64,9 +64,10 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plays_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Play rows before the one-row-per-track-per-day rule, with the tie-break keys."""
+    """Play rows (one per line item, all of them) before the one-row-per-track-per-day
+    rule, with the tie-break keys."""
     li = table(spark, sf_dir, "lineitem")
-    return (li.filter(F.col("l_orderkey") % 40 < F.col("l_partkey") % 40)
+    return (li
             .select(F.col("l_partkey").cast("long").alias("track_id"),
                     F.col("l_shipdate").cast("timestamp_ntz").alias("played_at"),
                     # bround = round-half-even, the rounding of a double -> bigint cast in SQL
@@ -179,7 +180,7 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
     configure(spark)
     if not materialize:
         return build_model(spark, sf_dir)
-    root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v2-"
+    root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v3-"
             f"{_input_signature(spark, sf_dir)}")
     fs, done = _fs(spark, f"{root}/_COMPLETE")
     if not fs.exists(done):
