@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "num_round", "to_double_round", "int_div", "month_name_padded", "year_month",
     "month_start", "safe_ratio", "affinity_tier", "skip_behavior", "listening_pattern",
-    "one_hot", "seconds_between", "AFFINITY_LABELS", "SKIP_LABELS", "PATTERN_LABELS", "col_or_name",
+    "one_hot", "seconds_between", "ntz_literal", "AFFINITY_LABELS", "SKIP_LABELS", "PATTERN_LABELS", "col_or_name",
 ]
 
 # Tier labels and thresholds used by the feature views.
@@ -48,6 +48,16 @@ def int_div(a: str, b: str) -> Column:
     return F.expr(f"({a}) div ({b})")
 
 
+def ntz_literal(value) -> Column:
+    """A timestamp_ntz literal from a datetime/date, independent of any time zone.
+
+    ``F.lit(datetime)`` would make a zoned timestamp through the Python process's
+    local zone; going through text keeps the wall-clock value exactly.
+    """
+    return F.lit(value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()) \
+        .cast("timestamp_ntz")
+
+
 def seconds_between(start: str, end: str) -> Column:
     """Whole seconds from ``start`` to ``end`` (``extract(epoch from end - start)``)."""
     return F.expr(f"timestampdiff(SECOND, {start}, {end})")

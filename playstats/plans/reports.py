@@ -22,8 +22,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playstats.functions.exprs import (int_div, month_name_padded, month_start, num_round,
-                                       year_month)
+from playstats.functions.exprs import (int_div, month_name_padded, month_start, ntz_literal,
+                                       num_round, year_month)
 from playstats.model import Model
 from playstats.operators.ranking import global_rank, grouped_rank, grouped_row_number
 
@@ -238,8 +238,8 @@ def top_tracks_in_year(m: Model, year: int = 2026, n: int = 200) -> DataFrame:
     """
     lo = _dt.datetime(year, 1, 1)
     hi = _dt.datetime(year + 1, 1, 1)
-    p = m.plays.filter((F.col("played_at") >= F.lit(lo).cast("timestamp_ntz"))
-                       & (F.col("played_at") < F.lit(hi).cast("timestamp_ntz")))
+    p = m.plays.filter((F.col("played_at") >= ntz_literal(lo))
+                       & (F.col("played_at") < ntz_literal(hi)))
     if "play_year" in m.plays.columns:  # year-partitioned table: prune directories too
         p = p.filter(F.col("play_year") == year)
     return _title_artist_plays(m, p).orderBy(_desc("plays"), "title", "name").limit(n)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playstats.functions.exprs import month_name_padded, month_start, year_month
+from playstats.functions.exprs import month_name_padded, month_start, ntz_literal, year_month
 from playstats.operators import ingest as IG
 from playstats.sources.readers import PLAY_EXPORT_COLUMNS
 
@@ -97,7 +97,7 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
     lo, hi = plays.agg(F.min("played_at"), F.max("played_at")).first()
     known = plays.filter(F.col("played_at").isNotNull())
     if lo is not None:
-        in_range = stored.filter(F.col("played_at").between(F.lit(lo), F.lit(hi)))
+        in_range = stored.filter(F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
         known = known.join(in_range.select("track_id", "played_at"), ["track_id", "played_at"],
                            "left_anti")
     # unparsable days (NULL) count as one key per track, compared null-safely
