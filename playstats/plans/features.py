@@ -149,9 +149,14 @@ def measure_stats(base: DataFrame) -> DataFrame:
 
 def track_features_clean(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
     """z-scores of log-scaled measures plus the 12 unscaled one-hots."""
+    return clean_from_engineered(track_features_engineered(m, as_of))
+
+
+def clean_from_engineered(eng: DataFrame) -> DataFrame:
+    """F3 from an F2 frame."""
     # base feeds both the statistics pass and the scaling; one checkpoint (per-track
     # rows, far smaller than plays) avoids running the play aggregation twice.
-    base = cut_lineage(clean_base(track_features_engineered(m, as_of)))
+    base = cut_lineage(clean_base(eng))
     stats = measure_stats(base)
     # stats is exactly one row: a broadcast nested-loop join of fixed size.
     j = base.crossJoin(F.broadcast(stats))

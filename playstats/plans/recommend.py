@@ -11,7 +11,7 @@ from playstats.model import Model
 from playstats.operators.similarity import (cosine_to_target, drop_target_cols,
                                             euclidean_to_target)
 from playstats.session import cut_lineage
-from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, track_features_clean,
+from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, clean_from_engineered,
                                       track_features_engineered)
 
 # Column order of the similarity SQL's target vector (skip_low before skip_never).
@@ -19,9 +19,10 @@ SIMILARITY_COLS = FEATURE_COLS
 
 
 def _clean_with_names(m: Model, as_of: _dt.date) -> DataFrame:
-    c = track_features_clean(m, as_of)
-    e = track_features_engineered(m, as_of).select("track_id", "title", "artist", "genres",
-                                                   "total_plays")
+    # F2 once (per-track rows): F3 and the name columns both come from it
+    eng = cut_lineage(track_features_engineered(m, as_of))
+    c = clean_from_engineered(eng)
+    e = eng.select("track_id", "title", "artist", "genres", "total_plays")
     # read twice (target and candidates): one row per track, checkpointed once
     return cut_lineage(c.join(e, "track_id"))
 

@@ -92,3 +92,16 @@ def test_write_tables_round_trip(spark, tmp_path):
     IG.write_tables({"plays": df}, str(tmp_path))
     back = spark.read.parquet(str(tmp_path / "plays"))
     assert back.count() == 1 and "play_year" in back.columns
+
+
+def test_catalog_reader_quoted_multiline_and_bad_numbers(spark, tmp_path):
+    header = ("extra,track_name,track_artist,track_album_name,track_album_release_date,duration_ms,"
+              "playlist_genre,playlist_subgenre,danceability,energy,speechiness,acousticness,valence,tempo")
+    body = ('x,"Line one\nline two",Alpha,"Alb, ""deluxe""",2012,1000,pop,pop,0.1,0.2,0.3,0.4,0.5,100\n'
+            'x,Plain,Beta,Alb,2012,notanumber,rock,rock,0.1,0.2,0.3,0.4,0.5,100\n')
+    p = tmp_path / "cat.csv"
+    p.write_text(header + "\n" + body)
+    cat = readers.read_song_catalog(spark, str(p))
+    got = {r.track_artist: (r.track_name, r.track_album_name, r.duration_ms) for r in cat.collect()}
+    assert got["Alpha"] == ("Line one\nline two", 'Alb, "deluxe"', 1000)
+    assert got["Beta"] == ("Plain", "Alb", None)      # malformed number -> NULL, row kept
