@@ -125,3 +125,12 @@ def test_keep_first_is_idempotent(spark):
     for k, d, a, b in data:
         best[(k, d)] = min(best.get((k, d), (a, b)), (a, b))
     assert {(r.k, r.d): (r.a, r.b) for r in once.collect()} == best
+
+
+def test_clean_genre_rule(spark):
+    from playstats.model import Model
+    names = ["Rock", "rock", "80s", "_x_", "Éire", "ab", "abc", "a" * 39, "a" * 40, "a, b", "[x]", "Zed"]
+    g = spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "genre_id long, name string")
+    m = Model(None, None, None, g, None, None)
+    kept = {r.name for r in R.clean_genres(m).collect()}
+    assert kept == {"Rock", "rock", "abc", "a" * 39, "a, b", "Zed"}
