@@ -30,7 +30,7 @@ from playstats.operators.ranking import global_rank, grouped_rank, grouped_row_n
 AUDIO = ("danceability", "energy", "tempo", "valence", "acousticness", "speechiness")
 
 
-# --------------------------------------------------------------------------- helpers
+# -------------------------------------------------------------------- helpers
 def track_artist(m: Model) -> DataFrame:
     """tracks ⋈ artists: (track_id, title, artist_id, name)."""
     return m.tracks.select("track_id", "title", "artist_id").join(
@@ -81,7 +81,7 @@ def _desc(c: str):
     return F.col(c).desc_nulls_first()
 
 
-# --------------------------------------------------------------- aggregate_functions
+# --------------------------------------------------- audio feature aggregates
 def audio_profile_by_genre(m: Model) -> DataFrame:
     """Average audio features per genre (round 2), by danceability."""
     return _genre_feature_avgs(m, AUDIO).orderBy(_desc("avg_danceability"), "genre")
@@ -122,7 +122,7 @@ def avg_valence_per_artist(m: Model, as_written: bool = False) -> DataFrame:
             .orderBy(_desc("avg_valence"), "artist"))
 
 
-# -------------------------------------------------------------------- explore_kaggle
+# -------------------------------------------------------- catalog exploration
 def top_artists_by_track_count(m: Model, n: int = 20) -> DataFrame:
     """R5."""
     return (tracks_per_artist(m).withColumnRenamed("artist", "name")
@@ -162,7 +162,7 @@ def top_tracks_by_feature(m: Model, feature: str, n: int = 10, ascending: bool =
     return base.join(f, "track_id").orderBy(order, "track_id").limit(n).select(*cols, feature)
 
 
-# ------------------------------------------------------------ genre_enrichment_analysis
+# -------------------------------------------------------------- genre reports
 def clean_genres(m: Model) -> DataFrame:
     """R15 (view): first character A-Z or a-z (code points 65-122 minus 91-96), length 3-39."""
     first = F.ascii(F.substring("name", 1, 1))
@@ -217,7 +217,7 @@ def top_genres_per_year(m: Model, k: int = 5) -> DataFrame:
             .orderBy(F.col("year").desc(), _desc("plays"), "genre"))
 
 
-# ---------------------------------------------------------------- listening_behavior
+# -------------------------------------------------------- listening behaviour
 def _title_artist_plays(m: Model, plays_df: DataFrame | None = None) -> DataFrame:
     p = plays_df if plays_df is not None else m.plays
     per_track = p.groupBy("track_id").agg(F.sum("play_count").alias("plays"))
@@ -295,7 +295,7 @@ def loyalty_ratio_rounded(m: Model, min_plays: int = 1000, n: int = 50) -> DataF
             .orderBy(_desc("loyalty_ratio"), "artist_name").limit(n))
 
 
-# ------------------------------------------------------------------- window_functions
+# ------------------------------------------------------------ catalog windows
 def _track_genre_rows(m: Model) -> DataFrame:
     """tracks ⋈ artists ⋈ artist_genres ⋈ genres: one row per track and artist genre."""
     return track_artist(m).join(genre_bridge(m), "artist_id")
@@ -339,7 +339,7 @@ def length_percent_rank_in_genre(m: Model) -> DataFrame:
     return grouped_rank(rows, ["genre"], [("length", False)], "length_percent_rank", "percent_rank")
 
 
-# --------------------------------------------------------------- window_functions_am
+# ------------------------------------------------------- play-history windows
 def top_tracks_per_year(m: Model, k: int = 10) -> DataFrame:
     """Top k (title, artist) per play year by plays (row_number)."""
     per = (m.plays.groupBy("track_id", F.year("played_at").alias("year"))
