@@ -55,3 +55,23 @@ def read_song_catalog(spark: SparkSession, path: str) -> DataFrame:
 def read_lookup_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed lookup responses: one record (artist_id, body) per artist."""
     return spark.read.schema(LOOKUP_LANDED_SCHEMA).format(fmt).load(path)
+
+
+MODEL_TABLE_NAMES = ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")
+
+
+def read_model(spark: SparkSession, root: str, fmt: str = "parquet"):
+    """The model tables written by :func:`playstats.operators.ingest.write_tables`.
+
+    Missing tables (e.g. a play-history-only load has no audio features) are None.
+    ``plays`` keeps its ``play_year`` partition column so year filters prune.
+    """
+    from playstats.model import Model
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    tables = {}
+    for name in MODEL_TABLE_NAMES:
+        path = f"{root.rstrip('/')}/{name}"
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        tables[name] = spark.read.format(fmt).load(path) if p.getFileSystem(conf).exists(p) else None
+    return Model(**tables)

@@ -105,3 +105,24 @@ def test_catalog_reader_quoted_multiline_and_bad_numbers(spark, tmp_path):
     got = {r.track_artist: (r.track_name, r.track_album_name, r.duration_ms) for r in cat.collect()}
     assert got["Alpha"] == ("Line one\nline two", 'Alb, "deluxe"', 1000)
     assert got["Beta"] == ("Plain", "Alb", None)      # malformed number -> NULL, row kept
+
+
+def test_load_write_read_report_round_trip(spark, tmp_path):
+    from playstats.plans import reports as R
+    header = "Track Description,Date Played,Play Duration Milliseconds,Play Count,Skip Count"
+    lines = [f"Artist {a} - Song {s},202{y}0{m}0{d},1000,{1 + (a + s) % 3},{(a * s) % 2}"
+             for a in range(3) for s in range(4) for y in (3, 4) for m in (1, 2) for d in (1, 2)]
+    p = tmp_path / "plays.csv"
+    _write_csv(p, header, lines)
+    root = str(tmp_path / "model")
+    from playstats import cli
+    cli.main(["load-history", str(p), root])
+    m = readers.read_model(spark, root)
+    assert m.audio_features is None and "play_year" in m.plays.columns
+    got = {r.name: r.plays for r in R.top_artists(m).collect()}
+    expect = {}
+    for a in range(3):
+        expect[f"Artist {a}"] = sum(1 + (a + s) % 3 for s in range(4)) * 8
+    assert got == expect
+    by_year = {r.listen_year: r.yearly_listening_min for r in R.listening_minutes_by_year(m).collect()}
+    assert by_year == {2023: 48 * 1000 // 60000, 2024: 48 * 1000 // 60000}
