@@ -13,6 +13,7 @@ by broadcast (a fixed, one-row size), never a driver round trip.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +139,7 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("p_size") / 50.0).cast("double").alias("danceability")))
 
 
+_MATERIALISE_LOCK = threading.Lock()
 PLAY_YEAR = "play_year"
 MODEL_TABLES = ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")
 
@@ -183,15 +185,21 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
     root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v3-"
             f"{_input_signature(spark, sf_dir)}")
     fs, done = _fs(spark, f"{root}/_COMPLETE")
-    if not fs.exists(done):
-        built = build_model(spark, sf_dir)
-        for name in MODEL_TABLES:
-            df = getattr(built, name)
-            w = df.write.mode("overwrite")
-            if name == "plays":
-                # year partitions: a year filter prunes whole directories
-                df = df.withColumn(PLAY_YEAR, F.year("played_at"))
-                w = df.write.mode("overwrite").partitionBy(PLAY_YEAR)
-            w.parquet(f"{root}/{name}")
-        fs.create(done, True).close()
+    with _MATERIALISE_LOCK:  # concurrent callers in one process build it once
+        if not fs.exists(done):
+            _materialise(spark, sf_dir, root, fs, done)
     return Model(**{name: spark.read.parquet(f"{root}/{name}") for name in MODEL_TABLES})
+
+
+def _materialise(spark: SparkSession, sf_dir: str, root: str, fs, done) -> None:
+    """Write the six tables, then the completion marker (a crash leaves no marker)."""
+    built = build_model(spark, sf_dir)
+    for name in MODEL_TABLES:
+        df = getattr(built, name)
+        w = df.write.mode("overwrite")
+        if name == "plays":
+            # year partitions: a year filter prunes whole directories
+            df = df.withColumn(PLAY_YEAR, F.year("played_at"))
+            w = df.write.mode("overwrite").partitionBy(PLAY_YEAR)
+        w.parquet(f"{root}/{name}")
+    fs.create(done, True).close()
