@@ -134,3 +134,19 @@ def test_clean_genre_rule(spark):
     m = Model(None, None, None, g, None, None)
     kept = {r.name for r in R.clean_genres(m).collect()}
     assert kept == {"Rock", "rock", "abc", "a" * 39, "a, b", "Zed"}
+
+
+def test_sql_over_registered_views_matches_dataframe(spark, small_model):
+    from playstats.plans.views import register_views
+    names = register_views(spark, small_model, prefix="v_")
+    assert "v_track_features_clean" in names
+    sql = spark.sql("""
+        SELECT a.name, sum(p.play_count) AS plays, sum(p.skip_count) AS skips,
+               CAST(sum(p.play_count) + 1 AS DOUBLE) / CAST(sum(p.skip_count) + 1 AS DOUBLE) AS ratio
+        FROM v_artists a JOIN v_tracks t ON a.artist_id = t.artist_id
+        JOIN v_plays p ON t.track_id = p.track_id
+        GROUP BY a.name HAVING sum(p.play_count) > 1000""")
+    df = R.loyalty_ratio(small_model)
+    assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, df.collect()))
+    tiers = spark.sql("SELECT affinity_tier, count(*) n FROM v_track_features GROUP BY 1").collect()
+    assert sum(r.n for r in tiers) == FT.track_features(small_model).count()
