@@ -27,8 +27,22 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+_TABLES_OPENED: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the handle (file listing, footers) is reused while the files'
+    sizes and modification times are unchanged."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    fs, p = _fs(spark, path)
+    stamp = tuple((st.getPath().toString(), st.getLen(), st.getModificationTime())
+                  for st in fs.listStatus(p))
+    key = (spark.sparkContext.applicationId, path)
+    hit = _TABLES_OPENED.get(key)
+    if hit is None or hit[0] != stamp:
+        hit = (stamp, spark.read.parquet(path))
+        _TABLES_OPENED[key] = hit
+    return hit[1]
 
 
 def _supplier_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +154,7 @@ def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MATERIALISE_LOCK = threading.Lock()
+_OPENED: dict = {}
 PLAY_YEAR = "play_year"
 MODEL_TABLES = ("artists", "tracks", "plays", "genres", "artist_genres", "audio_features")
 
@@ -184,11 +199,17 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
         return build_model(spark, sf_dir)
     root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v3-"
             f"{_input_signature(spark, sf_dir)}")
-    fs, done = _fs(spark, f"{root}/_COMPLETE")
+    key = (spark.sparkContext.applicationId, root)
     with _MATERIALISE_LOCK:  # concurrent callers in one process build it once
-        if not fs.exists(done):
-            _materialise(spark, sf_dir, root, fs, done)
-    return Model(**{name: spark.read.parquet(f"{root}/{name}") for name in MODEL_TABLES})
+        if key not in _OPENED:
+            fs, done = _fs(spark, f"{root}/_COMPLETE")
+            if not fs.exists(done):
+                _materialise(spark, sf_dir, root, fs, done)
+            # The folder is content-addressed (input signature) and written once, so
+            # the table handles (file listing, footers) can be reused by every report.
+            _OPENED[key] = Model(**{name: spark.read.parquet(f"{root}/{name}")
+                                    for name in MODEL_TABLES})
+        return _OPENED[key]
 
 
 def _materialise(spark: SparkSession, sf_dir: str, root: str, fs, done) -> None:
