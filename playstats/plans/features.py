@@ -152,11 +152,16 @@ def track_features_clean(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame
     return clean_from_engineered(track_features_engineered(m, as_of))
 
 
-def clean_from_engineered(eng: DataFrame) -> DataFrame:
-    """F3 from an F2 frame."""
-    # base feeds both the statistics pass and the scaling; one checkpoint (per-track
-    # rows, far smaller than plays) avoids running the play aggregation twice.
-    base = cut_lineage(clean_base(eng))
+def clean_from_engineered(eng: DataFrame, checkpoint_base: bool = True) -> DataFrame:
+    """F3 from an F2 frame.
+
+    ``base`` feeds both the statistics pass and the scaling; one checkpoint
+    (per-track rows, far smaller than plays) avoids running the play aggregation
+    twice. Callers that pass an already checkpointed F2 skip it.
+    """
+    base = clean_base(eng)
+    if checkpoint_base:
+        base = cut_lineage(base)
     stats = measure_stats(base)
     # stats is exactly one row: a broadcast nested-loop join of fixed size.
     j = base.crossJoin(F.broadcast(stats))

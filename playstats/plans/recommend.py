@@ -19,12 +19,12 @@ SIMILARITY_COLS = FEATURE_COLS
 
 
 def _clean_with_names(m: Model, as_of: _dt.date) -> DataFrame:
-    # F2 once (per-track rows): F3 and the name columns both come from it
+    # F2 once (per-track rows, checkpointed): F3, the name columns, the target and the
+    # candidates are all cheap projections and joins over it.
     eng = cut_lineage(track_features_engineered(m, as_of))
-    c = clean_from_engineered(eng)
+    c = clean_from_engineered(eng, checkpoint_base=False)
     e = eng.select("track_id", "title", "artist", "genres", "total_plays")
-    # read twice (target and candidates): one row per track, checkpointed once
-    return cut_lineage(c.join(e, "track_id"))
+    return c.join(e, "track_id")
 
 
 def similar_tracks_to(candidates: DataFrame, target: DataFrame, n: int = 10) -> DataFrame:
