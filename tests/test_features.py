@@ -109,3 +109,17 @@ def test_constant_feature_is_reported(spark):
     m = _model(spark, plays, 4)
     const = {r.measure: r.is_constant for r in FT.check_constant_features(m).collect()}
     assert const["log_total_plays"] is True
+
+
+def test_loyalty_index_as_written(spark):
+    # (days_played - whole days of the listening period) * (1 - skip_rate / 100)
+    plays = [(1, _day(d), 100, 2, 1 if d == 0 else 0) for d in range(30)]      # 30 days, span 29
+    plays += [(2, _day(0), 100, 3, 0), (2, _day(9), 100, 1, 0)]               # 2 days, span 9
+    m = _model(spark, plays, 2)
+    got = {r.track_id: (r.days_played, r.skip_rate, r.loyalty_index, r.session_intensity)
+           for r in FT.track_features_engineered(m).collect()}
+    d, rate, loyalty, intensity = got[1]
+    assert (d, rate) == (30, round(1 / 60 * 100, 2))
+    assert abs(loyalty - (30 - 29) * (1 - rate / 100.0)) < 1e-12
+    assert abs(intensity - 2.0) < 1e-12
+    assert got[2][2] == (2 - 9) * 1.0 and got[2][3] == 2.0
