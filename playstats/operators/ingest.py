@@ -3,8 +3,8 @@
 Every step is a DataFrame transformation. Surrogate ids come from
 :func:`dense_index` (ordered by the natural key, so reruns give the same ids) and
 "keep first" de-duplication picks the smallest remaining columns with a
-``min(struct(...))`` hash aggregate, which combines map-side and never sorts a
-whole hot group in one task.
+``min(struct(...))`` aggregate, which combines map-side (sort-based, as struct
+buffers are not hash-aggregatable) and never sorts a whole hot group in one task.
 """
 
 from __future__ import annotations

@@ -96,9 +96,9 @@ def plays_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keep the first raw row per (track_id, played_at) by the tie-break order.
 
-    ``min(struct(tiebreak..., payload...))`` is a hash aggregate with a map-side
-    partial step, so a track/day holding many rows is reduced before the shuffle
-    (a window would sort the whole hot group in one task).
+    ``min(struct(tiebreak..., payload...))`` is an aggregate with a map-side partial
+    step, so a track/day holding many rows is reduced before the shuffle (a window
+    would sort the whole hot group in one task).
     """
     raw = plays_raw(spark, sf_dir)
     first = F.min(F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice",
