@@ -38,3 +38,14 @@ def test_oracle_spot_check(spark):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         d = sorted("|".join(_norm(r[i]) for i in order) for r in res.fetchall())
         assert s == d, key
+
+
+def test_every_registered_query_runs(spark):
+    failures = {}
+    for key, fn in E.queries().items():
+        try:
+            df = fn(spark, SF_SMALL)
+            assert df.count() >= 0 and len(df.columns) > 0
+        except Exception as e:  # noqa: BLE001
+            failures[key] = str(e)[:200]
+    assert not failures, failures
