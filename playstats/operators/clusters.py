@@ -8,9 +8,9 @@ least ``min_cluster_size`` points):
    bandwidth rule h = sigma * n^(-1/6);
 2. points are counted per grid cell (hash aggregate with map-side combine, so a
    cell holding a third of all points is still one row after the partial step);
-3. cells with at least ``min_samples`` points are dense; dense cells touching in
-   the 8-neighbourhood are linked (edges are between *cells*, 8 per cell, never
-   between points);
+3. cells with at least ``min_samples`` points and at least half the mean occupancy
+   of occupied cells are dense; dense cells touching in the 8-neighbourhood are
+   linked (edges are between *cells*, 8 per cell, never between points);
 4. connected components of the dense-cell graph by min-label propagation, with a
    reliable checkpoint every few rounds (the cell graph has about n^(1/3) nodes and
    diameter about n^(1/6), so rounds stay few even at very large n);
@@ -94,13 +94,25 @@ def connected_components(nodes: DataFrame, edges: DataFrame, checkpoint_every: i
 
 
 def density_clusters(points: DataFrame, x: str = "x", y: str = "y", min_cluster_size: int = 20,
-                     min_samples: int | None = None, cell_size: float | None = None) -> DataFrame:
-    """Add ``cluster`` (0.. by descending size, -1 = noise) to every point."""
+                     min_samples: int | None = None, cell_size: float | None = None,
+                     relative_density: float = 0.5) -> DataFrame:
+    """Add ``cluster`` (0.. by descending size, -1 = noise) to every point.
+
+    A cell is dense when it holds at least ``min_samples`` points and at least
+    ``relative_density`` times the mean count of occupied cells. The relative part
+    keeps "dense" meaning "denser than typical" as n grows (cell occupancy grows
+    like n^(2/3) under the bandwidth rule); 0 disables it.
+    """
     min_samples = min_samples or max(2, min_cluster_size // 4)
     pts = grid_cells(points, x, y, cell_size)
     all_cells = pts.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_cnt"))
     all_cells = cut_lineage(all_cells.withColumn("id", _cell_id(F.col("_cx"), F.col("_cy"))))
-    cells = all_cells.filter(F.col("_cnt") >= min_samples)
+    occupancy = all_cells.agg((F.sum("_cnt") / F.count(F.lit(1))).alias("_mean"))  # one row
+    threshold = F.greatest(F.lit(float(min_samples)), F.col("_mean") * F.lit(float(relative_density)))
+    flagged = (all_cells.crossJoin(F.broadcast(occupancy))
+               .withColumn("_dense", F.col("_cnt") >= threshold).drop("_mean"))
+    all_cells = cut_lineage(flagged)
+    cells = all_cells.filter("_dense")
     probes = _neighbour_probes(cells)
     edges = probes.join(cells.select(F.col("id").alias("dst")), "dst")
     comp = connected_components(cells.select("id"), edges)
@@ -112,7 +124,7 @@ def density_clusters(points: DataFrame, x: str = "x", y: str = "y", min_cluster_
             .select("id", (F.col("_cl") - 1).cast("int").alias("cluster")))
     # Border cells: a sparse cell next to a clustered dense cell joins that cluster
     # (the lowest id if it touches several), like border points in density clustering.
-    sparse = all_cells.filter(F.col("_cnt") < min_samples)
+    sparse = all_cells.filter(~F.col("_dense"))
     border = (_neighbour_probes(sparse).join(core.withColumnRenamed("id", "dst"), "dst")
               .groupBy(F.col("src").alias("id")).agg(F.min("cluster").alias("cluster")))
     cell_cluster = core.unionByName(border)
