@@ -18,9 +18,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # delete reliable-checkpoint files once the checkpointed data is unreferenced
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    "spark.cleaner.referenceTracking.blocking": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
