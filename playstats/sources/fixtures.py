@@ -201,10 +201,11 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
             f"{_input_signature(spark, sf_dir)}")
     key = (spark.sparkContext.applicationId, root)
     with _MATERIALISE_LOCK:  # concurrent callers in one process build it once
+        fs, done = _fs(spark, f"{root}/_COMPLETE")
+        if not fs.exists(done):  # first use, or the folder was removed meanwhile
+            _OPENED.pop(key, None)
+            _materialise(spark, sf_dir, root, fs, done)
         if key not in _OPENED:
-            fs, done = _fs(spark, f"{root}/_COMPLETE")
-            if not fs.exists(done):
-                _materialise(spark, sf_dir, root, fs, done)
             # The folder is content-addressed (input signature) and written once, so
             # the table handles (file listing, footers) can be reused by every report.
             _OPENED[key] = Model(**{name: spark.read.parquet(f"{root}/{name}")

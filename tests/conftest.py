@@ -18,8 +18,10 @@ def spark():
     s.stop()
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture
 def small_model(spark):
+    # function scope: fixtures.model() is memoised, and a test that removes the
+    # materialised folder must not leave later tests with stale file handles
     from playstats.sources import fixtures
     return fixtures.model(spark, SF_SMALL)
 

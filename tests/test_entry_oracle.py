@@ -49,3 +49,14 @@ def test_every_registered_query_runs(spark):
         except Exception as e:  # noqa: BLE001
             failures[key] = str(e)[:200]
     assert not failures, failures
+
+
+def test_model_rebuilt_when_folder_removed(spark):
+    import shutil
+    from playstats.sources import fixtures
+    m = fixtures.model(spark, SF_SMALL)
+    path = m.plays.inputFiles()[0].split("/plays/")[0].replace("file:", "")
+    n = m.plays.count()
+    shutil.rmtree(path)
+    m2 = fixtures.model(spark, SF_SMALL)
+    assert m2.plays.count() == n
