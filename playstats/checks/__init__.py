@@ -1,0 +1 @@
+"""DuckDB oracle SQL for the correctness gate (fixture CTEs + one statement per key)."""

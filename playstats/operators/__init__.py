@@ -1 +1 @@
-
+"""Reusable DataFrame operators: ingest, quality, enrich, ranking, similarity, layout, clusters."""
