@@ -357,3 +357,15 @@ def _q_rec_position(spark, sf_dir):
 def _q_rec_random(spark, sf_dir):
     frame = CL.density_clusters(_layout(spark, sf_dir), "x", "y", min_cluster_size=20)
     return RC.recommend_for_random(frame.drop("features"), n=5, seed=42)
+
+
+# ---- streaming: replay the derived export as drops through ST1 and ST2
+@register("stream_monthly_plays")
+def _q_stream_monthly(spark, sf_dir):
+    import uuid
+    from playstats.session import ensure_checkpoint_dir
+    from playstats.streaming.plays_stream import stream_monthly_from_export
+    run = uuid.uuid4().hex
+    work = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-stream/{run}"
+    return stream_monthly_from_export(spark, DV.raw_play_export(spark, sf_dir), work,
+                                      query_name=f"monthly_plays_{run}")

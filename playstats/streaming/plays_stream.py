@@ -132,3 +132,32 @@ def monthly_plays_stream(spark: SparkSession, plays_dir: str, checkpoint_locatio
     return (monthly.writeStream.outputMode("complete").format(sink).queryName(query_name)
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
+
+
+def replay_as_drops(raw: DataFrame, work_dir: str, n_files: int = 4) -> str:
+    """Write raw export rows as CSV drop files, whole calendar years per file.
+
+    All rows of one day land in the same file, so a day is never split across
+    micro-batches and the per-batch keep-first rule equals the batch loader's.
+    Returns the drop folder.
+    """
+    drops = f"{work_dir.rstrip('/')}/drops"
+    year = F.substring(F.col("`Date Played`"), 1, 4)
+    (raw.repartition(n_files, year).select(*[F.col(f"`{c}`") for c in PLAY_EXPORT_COLUMNS])
+     .write.mode("overwrite").option("header", True).csv(drops))
+    return drops
+
+
+def stream_monthly_from_export(spark: SparkSession, raw: DataFrame, work_dir: str,
+                               query_name: str, n_files: int = 4) -> DataFrame:
+    """End to end: drops -> ST1 (one file per micro-batch) -> ST2 -> monthly table."""
+    root = work_dir.rstrip("/")
+    drops = replay_as_drops(raw, root, n_files)
+    stream = (spark.readStream.schema(_export_schema()).option("header", True)
+              .option("enforceSchema", False).option("maxFilesPerTrigger", 1).csv(drops))
+    (stream.writeStream.foreachBatch(lambda df, epoch: merge_play_batch(df, f"{root}/tables"))
+     .option("checkpointLocation", f"{root}/ck/ingest").trigger(availableNow=True).start()
+     .awaitTermination())
+    monthly_plays_stream(spark, f"{root}/tables/plays", f"{root}/ck/monthly",
+                         query_name=query_name).awaitTermination()
+    return spark.table(query_name)
