@@ -345,7 +345,7 @@ def _q_label_clusters(spark, sf_dir):
 @register("silhouette")
 def _q_silhouette(spark, sf_dir):
     emb = fixtures.table(spark, sf_dir, "embeddings")
-    return CL.silhouette(emb, "embedding", "label", exclude_noise=True)
+    return _rounded(CL.silhouette(emb, "embedding", "label", exclude_noise=True), ["silhouette"], 6)
 
 
 @register("recommend_by_position")
