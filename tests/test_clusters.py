@@ -102,3 +102,78 @@ def test_export_round_trip(spark, tmp_path):
     RC.export_clusters(df, str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert back.count() == df.count() and "cluster_label" in back.columns
+
+
+def test_pca_layout_matches_numpy(spark, small_model):
+    import numpy as np
+    from playstats.operators.layout import pca_layout
+    from playstats.plans.features import feature_matrix
+    fm = feature_matrix(small_model)
+    laid = {r.track_id: (r.x, r.y) for r in pca_layout(fm).select("track_id", "x", "y").collect()}
+    rows = sorted((r.track_id, r.features) for r in fm.select("track_id", "features").collect())
+    X = np.array([f for _, f in rows], dtype=float)
+    X = X / np.linalg.norm(X, axis=1, keepdims=True)
+    cov = np.cov(X, rowvar=False)
+    vals, vecs = np.linalg.eigh(cov)
+    pc = vecs[:, np.argsort(vals)[::-1][:2]]
+    for j in range(2):
+        if pc[np.abs(pc[:, j]).argmax(), j] < 0:
+            pc[:, j] *= -1
+    proj = X @ pc
+    for (tid, _), (x, y) in zip(rows, proj):
+        assert abs(laid[tid][0] - x) < 1e-6 and abs(laid[tid][1] - y) < 1e-6
+
+
+def _grid_clusters_brute_force(points, min_cluster_size=20, relative_density=0.5):
+    """Plain-Python version of the grid density rule, for checking the Spark job."""
+    import math
+    n = len(points)
+    xs = [p[1] for p in points]
+    ys = [p[2] for p in points]
+    var = lambda v: sum((a - sum(v) / n) ** 2 for a in v) / n
+    h = math.sqrt((var(xs) + var(ys)) / 2.0) * n ** (-1.0 / 6.0)
+    h = h if h > 0 else 1.0
+    cell = {p[0]: (math.floor(p[1] / h), math.floor(p[2] / h)) for p in points}
+    counts = Counter(cell.values())
+    thr = max(max(2, min_cluster_size // 4), relative_density * n / len(counts))
+    dense = {c for c, k in counts.items() if k >= thr}
+    parent = {c: c for c in dense}
+
+    def find(c):
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+    for (cx, cy) in dense:
+        for dx in (-1, 0, 1):
+            for dy in (-1, 0, 1):
+                o = (cx + dx, cy + dy)
+                if o in dense:
+                    ra, rb = find((cx, cy)), find(o)
+                    if ra != rb:
+                        parent[max(ra, rb)] = min(ra, rb)
+    comps = {}
+    for c in dense:
+        comps.setdefault(find(c), []).append(c)
+    big = [(sum(counts[c] for c in cs), min(cs), cs) for cs in comps.values()]
+    big = sorted((b for b in big if b[0] >= min_cluster_size), key=lambda b: (-b[0], b[1]))
+    cluster_of = {c: i for i, (_, _, cs) in enumerate(big) for c in cs}
+    for c in counts:
+        if c not in dense:
+            near = [cluster_of[(c[0] + dx, c[1] + dy)] for dx in (-1, 0, 1) for dy in (-1, 0, 1)
+                    if (c[0] + dx, c[1] + dy) in cluster_of and (c[0] + dx, c[1] + dy) in dense]
+            if near:
+                cluster_of[c] = min(near)
+    return {pid: cluster_of.get(cell[pid], CL.NOISE) for pid in cell}
+
+
+def test_density_clusters_match_brute_force(spark, small_model):
+    from playstats.operators.layout import pca_layout
+    from playstats.plans.features import feature_matrix
+    blobs = [(r.id, r.x, r.y) for r in _blobs(spark).collect()]
+    got = {r.id: r.cluster for r in CL.density_clusters(_blobs(spark)).collect()}
+    assert got == _grid_clusters_brute_force(blobs)
+    laid = pca_layout(feature_matrix(small_model)).select("track_id", "x", "y")
+    pts = [(r.track_id, r.x, r.y) for r in laid.collect()]
+    got = {r.track_id: r.cluster for r in CL.density_clusters(laid).collect()}
+    assert got == _grid_clusters_brute_force(pts)
