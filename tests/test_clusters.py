@@ -177,3 +177,20 @@ def test_density_clusters_match_brute_force(spark, small_model):
     pts = [(r.track_id, r.x, r.y) for r in laid.collect()]
     got = {r.track_id: r.cluster for r in CL.density_clusters(laid).collect()}
     assert got == _grid_clusters_brute_force(pts)
+
+
+def test_recommendations_match_brute_force(spark, small_model):
+    import numpy as np
+    from playstats.operators.layout import pca_layout
+    from playstats.plans.features import FEATURE_COLS, feature_matrix
+    fm = feature_matrix(small_model)
+    laid = pca_layout(fm).drop("features")
+    for frame, cols, fn in ((laid, ("x", "y"), RC.recommend_by_position),
+                            (fm.drop("features"), FEATURE_COLS, RC.recommend_by_feature)):
+        rows = sorted((r.track_id, [float(r[c]) for c in cols]) for r in frame.collect())
+        ids = np.array([t for t, _ in rows])
+        X = np.array([v for _, v in rows])
+        d = np.sqrt(((X - X[0]) ** 2).sum(axis=1))
+        order = sorted((round(float(dd), 9), int(t)) for t, dd in zip(ids[1:], d[1:]))[:5]
+        got = [(round(r.distance, 9), r.track_id) for r in fn(frame, None, n=5).collect()]
+        assert sorted(got) == order
