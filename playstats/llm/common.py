@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from playstats.session import ensure_checkpoint_dir
 
@@ -57,17 +58,24 @@ def strip_ascii(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
-def bucketed_number(df: DataFrame, group: str, spread: list[str], order: list[str], buckets: int,
+NUMBER_ROWS = 1_000        # rows a bucket of bucketed_number, up to NUMBER_BUCKETS a group
+NUMBER_BUCKETS = 100_000
+
+
+def bucketed_number(df: DataFrame, group: str, sizes: dict[int, int], spread: list[str], order: list[str],
                     out: str) -> DataFrame:
-    """Number the rows of each ``group`` gaplessly from 0 without sorting a group in one task.
+    """Number the rows of each ``group`` gaplessly from 0 without sorting a large group in one task.
 
-    Rows are dealt to ``buckets`` hash buckets of ``spread`` within their group; each
-    (group, bucket) is numbered by itself and moved up by the rows of the group's earlier
-    buckets (a table of at most groups x buckets rows). Rows equal in ``spread`` and
-    ``order`` are interchangeable.
+    ``sizes`` has the row count of every group (few groups). The rows of a group are dealt to
+    hash buckets of ``spread``; each (group, bucket) is numbered by itself and moved up by the
+    rows of the group's earlier buckets. Rows equal in ``spread`` and ``order`` are interchangeable.
     """
-    b = df.withColumn("_bn_b", F.pmod(F.xxhash64(*spread), F.lit(buckets)).cast("int"))
-    from pyspark.sql import Window
+    share = {g: min(NUMBER_BUCKETS, -(-n // NUMBER_ROWS)) for g, n in sizes.items() if n > NUMBER_ROWS}
+    buckets = F.lit(1)
+    if share:
+        table = F.create_map(*[F.lit(x) for gn in share.items() for x in gn])
+        buckets = F.coalesce(table[F.col(group)], buckets)
+    b = df.withColumn("_bn_b", F.pmod(F.xxhash64(*spread), buckets).cast("int"))
     counts = b.groupBy(group, "_bn_b").agg(F.count(F.lit(1)).alias("_bn_n"))
     before = Window.partitionBy(group).orderBy("_bn_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col(group).alias("_bn_g"), F.col("_bn_b").alias("_bn_s"),

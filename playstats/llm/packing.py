@@ -5,7 +5,7 @@ Piece lengths are whole numbers up to the capacity, so their histogram is bounde
 (at most 2048 rows at 2048 tokens), whatever the number of documents, and the packing is planned
 on that histogram alone:
 
-1. *Linear grouping*: the lengths above ``small`` are put in order and cut into groups of
+1. *Linear grouping*: the lengths above ``small`` (a third of the capacity) are put in order and cut into groups of
    equal cardinality; every length of a group is rounded up to its largest.
 2. *Few-size configurations*: the multiplicities of the ways to fill a sequence with rounded
    lengths are optimised by column generation (a revised simplex over one row a group,
@@ -37,8 +37,7 @@ from playstats.llm.tokens import encoder
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
-GROUPS = 60
-ROWS_PER_BUCKET = 20_000
+GROUPS = 800
 
 
 # ---- pieces -----------------------------------------------------------------------------
@@ -88,19 +87,23 @@ def linear_groups(counts: dict[int, int], small: int, groups: int) -> list[tuple
 
 
 def _best_fill(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The most valuable way to fill a sequence with any number of each size (knapsack)."""
-    best = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1)
-    order = np.argsort(sizes)
-    sz, w = sizes[order], worth[order]
-    for c in range(int(sz[0]), capacity + 1):
-        k = np.searchsorted(sz, c, side="right")
-        v = best[c - sz[:k]] + w[:k]
-        i = int(v.argmax())
-        if v[i] > best[c - 1] + 1e-12:
-            best[c], last[c] = v[i], order[i]
-        else:
-            best[c] = best[c - 1]
+    """The most valuable way to fill a sequence with any number of each size (knapsack).
+
+    Room is handled in blocks as wide as the smallest size, which depend on earlier blocks only.
+    """
+    least = int(sizes.min())
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    pad = int(sizes.max())
+    held = np.concatenate([np.full(pad, -np.inf), best])      # room below 0 fits nothing
+    for lo in range(least, capacity + 1, least):
+        room = np.arange(lo, min(lo + least, capacity + 1))
+        value = held[pad + room[:, None] - sizes[None, :]] + worth[None, :]
+        pick = value.argmax(axis=1)
+        top = value[np.arange(len(room)), pick]
+        run = np.maximum.accumulate(np.maximum(top, best[lo - 1]))
+        better = top >= run - 1e-12
+        best[room], last[room] = run, np.where(better & (top > 0), pick, -1)
+        held[pad + room] = run
     use, c = np.zeros(len(sizes)), capacity
     while c > 0:
         if last[c] < 0:
@@ -108,33 +111,42 @@ def _best_fill(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[flo
         else:
             use[last[c]] += 1
             c -= int(sizes[last[c]])
-    return float(best[capacity]), use
+    return float(worth @ use), use
 
 
-def configurations(sizes: list[int], need: list[int], capacity: int,
-                   rounds: int = 2000) -> list[tuple[tuple[int, ...], int]]:
+def configurations(sizes: list[int], need: list[int], capacity: int, gap: float = 2e-4,
+                   rounds: int = 5000) -> list[tuple[tuple[int, ...], int]]:
     """(number of each size, sequences) that cover ``need`` with near as few sequences as can be.
 
     Column generation: the basis starts with one-size fillings; the filling with the best
-    reduced cost enters until none gains. ``rounds`` only stops the polishing; any basis is a
-    valid packing. Fractions are rounded down; the remainder goes to best fit.
+    reduced cost enters until the solution is within ``gap`` of the bound. ``rounds`` only stops
+    the polishing; any basis is a valid packing. Fractions are rounded down; the remainder goes
+    to best fit.
     """
     if not sizes:
         return []
     sz, d = np.asarray(sizes), np.asarray(need, dtype=float)
     basis = np.diag([float(capacity // s) for s in sizes])
-    for _ in range(rounds):
-        x = np.linalg.solve(basis, d)
-        price = np.linalg.solve(basis.T, np.ones(len(sizes)))
-        gain, col = _best_fill(sz, np.maximum(price, 0), capacity)
-        if gain <= 1 + 1e-7:
+    inverse, x = np.linalg.inv(basis), None
+    for i in range(rounds):
+        if i % 100 == 0:
+            inverse = np.linalg.inv(basis)
+            x = inverse @ d
+        gain, col = _best_fill(sz, np.maximum(inverse.sum(axis=0), 0), capacity)
+        if gain <= 1 + gap:
             break
-        step = np.linalg.solve(basis, col)
+        step = inverse @ col
         able = step > 1e-9
         if not able.any():
             break
-        ratio = np.where(able, x / np.where(able, step, 1), np.inf)
-        basis[:, int(ratio.argmin())] = col
+        ratio = np.where(able, np.maximum(x, 0) / np.where(able, step, 1), np.inf)
+        r = int(ratio.argmin())
+        basis[:, r] = col
+        row = inverse[r] / step[r]
+        inverse -= np.outer(step, row)
+        inverse[r] = row
+        x = x - step * ratio[r]
+        x[r] = ratio[r]
     x = np.linalg.solve(basis, d)
     out, left = [], np.asarray(need, dtype=np.int64)
     for j in np.argsort(-x):
@@ -186,7 +198,7 @@ class _Runs:
 def plan_packing(counts: dict[int, int], capacity: int, groups: int = GROUPS,
                  small: int | None = None) -> list[tuple[tuple[int, ...], int]]:
     """(lengths in a sequence, number of such sequences) for a histogram of lengths."""
-    small = capacity // 8 if small is None else small
+    small = capacity // 3 if small is None else small
     left = {s: n for s, n in counts.items() if n > 0}
     runs = _Runs(capacity)
     if left.get(capacity):
@@ -255,8 +267,7 @@ def place_pieces(pieces: DataFrame, capacity: int = 2048, groups: int = GROUPS)
         return pieces.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long"))
     segs = _segments(plan_packing(hist, capacity, groups))     # bounded by the capacity, not by the rows
     shared = pieces.sparkSession.sparkContext.broadcast(segs)
-    buckets = max(1, sum(hist.values()) // ROWS_PER_BUCKET)
-    numbered = bucketed_number(pieces, "length", ["doc_id", "piece"], ["doc_id", "piece", "ids_crc32"], buckets, "_pk_n")
+    numbered = bucketed_number(pieces, "length", hist, ["doc_id", "piece"], ["doc_id", "piece", "ids_crc32"], "_pk_n")
     names = pieces.columns
     schema = pa.schema([("sequence_id", pa.int64()), ("offset", pa.int64())])
 

@@ -30,7 +30,6 @@ from playstats.llm.common import bucketed_number, write_once
 
 BINS = 12
 KEY_BITS = 63
-ROWS_PER_BUCKET = 20_000
 OUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
@@ -142,9 +141,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
         F.coalesce(F.crc32(F.encode(text_col, "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
         tie.alias("_kd_tie"), *[c.alias(n) for n, c in dims.items()]), "shard-sizes")
     placed = write_once(kd_shards(slim, list(dims), shards).drop("_kd_tie", *dims), "shard-places")
-    n = placed.count()
-    return (bucketed_number(placed, "shard", [*keep, "text_crc32"], [*keep, "text_crc32"],
-                            max(1, n // (shards * ROWS_PER_BUCKET)), "slot")
+    sizes = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return (bucketed_number(placed, "shard", sizes, [*keep, "text_crc32"], [*keep, "text_crc32"], "slot")
             .select(*keep, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 8192
+QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 4096
 
 
 def finite_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
