@@ -1,11 +1,11 @@
 """Quality classifier from weak labels: labellers, expectation-maximisation, hashed linear scorer.
 
 Heuristic labellers vote good (1), poor (0) or abstain (2) on each whole text. The vote patterns of
-all documents are counted (at most 3^labellers rows), and expectation-maximisation on these counts
+all documents are counted (at most 3^9 rows), and expectation-maximisation on these counts
 estimates the share of good documents and each labeller's vote rates in either class, with no
 true label. The posteriors label a bounded sample (``SAMPLE`` documents, drawn by hash of the id)
-on which a logistic scorer over hashed trigrams, capital and symbol shapes is fitted; it scores
-every document. A document is kept if its score reaches ``KEEP``.
+on which a logistic scorer over hashed byte trigrams and the votes is fitted; it scores every
+document. A document is kept if its score reaches ``KEEP``.
 
 Defined results. A null or empty text, or one without words, gets no vote, the prior as weak label,
 score 0 and is not kept. Repeated rows are judged alike. An empty table gives an empty result.
@@ -15,7 +15,9 @@ If the sample's labels are all alike, the weak label itself is the score.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,12 @@ from playstats.llm.common import small_batches, write_once
 SAMPLE = 6_000
 BINS = 512
 KEEP = 0.5
-_SYMBOLS = re.compile(r"[#$%&*@^~|\\<>{}=_+\[\]]|!{2,}")
-_LETTERS = re.compile(r"[^\W\d_]+")
+# classes of UTF-8 bytes: 0 other, 1 small letter, 2 capital, 3 first byte of a character beyond
+# ASCII, 4 symbol, 5 later byte
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[97:123], _CLASS[65:91], _CLASS[192:], _CLASS[128:192] = 1, 2, 3, 5
+_CLASS[[ord(c) for c in "#$%&*@^~|\\<>{}=_+[]"]] = 4
+_BARE = re.compile(r"(?<!\S)[^\w\s]+(?!\S)")
 
 
 def _between(x: float, good: float, poor: float) -> int:
@@ -46,36 +52,43 @@ def votes(text: str | None) -> tuple[int, ...]:
     n = len(words)
     if not n:
         return (2,) * len(LABELLERS)
-    letters = _LETTERS.findall(text)
-    chars = sum(map(len, letters))
-    upper = sum(1 for c in text if c.isupper())
-    common = Counter(w.lower() for w in letters)
+    raw = text.encode("utf-8", "surrogatepass")
+    _, small, capital, beyond, symbol, later = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=6).tolist()
+    letters = small + capital + beyond
+    follow = words[1:]
+    top = max(Counter(words).values())
     return (
-        _between(len(_SYMBOLS.findall(text)) / n, 0.05, 0.2),
-        _between(upper / max(1, chars), 0.15, 0.4),
-        _between(sum(1 for w in words if not _LETTERS.search(w)) / n, 0.05, 0.2),
-        _between(chars / max(1, len(text)), 0.7, 0.6),
-        _between(sum(1 for w in letters if len(w) <= 3) / max(1, len(letters)), 0.15, 0.05),
-        _between(max(common.values(), default=n) / max(20, len(letters)), 0.15, 0.35),
-        2 if n < 30 else _between(sum(1 for a, b in zip(words, words[1:]) if a == b) / n, 0.02, 0.1),
+        _between((symbol + text.count("!!")) / n, 0.05, 0.2),
+        _between(capital / max(1, letters), 0.15, 0.4),
+        _between(len(_BARE.findall(text)) / n, 0.05, 0.2),
+        _between(letters / (len(raw) - later), 0.7, 0.6),
+        2 if n < 15 else _between(sum(map((4).__gt__, map(len, words))) / n, 0.15, 0.05),
+        _between(top / max(20, n), 0.15, 0.35),
+        2 if n < 10 else _between(sum(map(eq, words, follow)) / n, 0.02, 0.1),
+        2 if n < 10 else _between(len(set(zip(words, follow))) / (n - 1), 0.8, 0.6),
+        2 if n < 30 else _between(len(zlib.compress(raw, 1)) / len(raw), 0.37, 0.35),
     )
 
 
-LABELLERS = ("symbols", "capitals", "bare separators", "letter share", "short words", "one word's share", "stutter")
+LABELLERS = ("symbols", "capitals", "bare separators", "letter share", "short words", "one word's share", "stutter", "pair variety",
+             "compressibility")
 
 
 def fit_label_model(patterns: dict[tuple[int, ...], int], rounds: int = 200) -> tuple[float, np.ndarray]:
-    """(share of good documents, P(vote | labeller, class) as labellers x 2 x 3) by EM on vote counts."""
+    """(share of good documents, P(vote | labeller, class) as labellers x 2 x 2) by EM on vote counts.
+
+    An abstention says nothing about the class.
+    """
     v = np.asarray(list(patterns), dtype=np.int64).reshape(len(patterns), -1)
     n = np.asarray(list(patterns.values()), dtype=float)
     yes, no = (v == 1).sum(axis=1), (v == 0).sum(axis=1)
     post = (yes + 1.0) / (yes + 3.0 * no + 2.0)          # start: good unless labellers object
     for _ in range(rounds):
         share = float((n * post).sum() / n.sum())
-        rates = np.empty((v.shape[1], 2, 3))
+        rates = np.empty((v.shape[1], 2, 2))
         for j in range(v.shape[1]):
             for c, w in enumerate((n * (1 - post), n * post)):
-                rates[j, c] = [w[v[:, j] == x].sum() + 0.5 for x in range(3)]
+                rates[j, c] = [w[v[:, j] == x].sum() + 0.5 for x in range(2)]
         rates /= rates.sum(axis=2, keepdims=True)
         new = posterior(v, share, rates)
         if np.abs(new - post).max() < 1e-9:
@@ -86,14 +99,19 @@ def fit_label_model(patterns: dict[tuple[int, ...], int], rounds: int = 200) ->
 
 def posterior(v: np.ndarray, share: float, rates: np.ndarray) -> np.ndarray:
     """P(good | votes) of each row of votes."""
+    heard = np.concatenate([np.log(rates), np.zeros((*rates.shape[:2], 1))], axis=2)     # 2: abstained
     logs = np.log(np.clip([1 - share, share], 1e-9, 1))[None, :] + sum(
-        np.log(rates[j][:, v[:, j]]).T for j in range(v.shape[1]))
+        heard[j][:, v[:, j]].T for j in range(v.shape[1]))
     return 1 / (1 + np.exp(np.clip(logs[:, 0] - logs[:, 1], -700, 700)))
 
 
-# byte classes of the scorer's trigrams: small letters keep their value, capitals, digits, symbols too
-def features(text: str | None) -> np.ndarray:
-    """Hashed trigram frequencies (square roots, unit length)."""
+def features(text: str | None, voted: tuple[int, ...]) -> np.ndarray:
+    """Hashed trigram frequencies (square roots, unit length), then the good and poor votes."""
+    own = np.asarray([[v == 1, v == 0] for v in voted], dtype=np.float32).ravel()
+    return np.concatenate([_trigrams(text), own])
+
+
+def _trigrams(text: str | None) -> np.ndarray:
     b = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
     if len(b) < 3:
         return np.zeros(BINS, np.float32)
@@ -114,12 +132,11 @@ def _voted(rows: DataFrame) -> DataFrame:
 def _featured(rows: DataFrame) -> DataFrame:
     def make(batches):
         for batch in small_batches(batches):
-            x = [features(t) for t in batch.column(1).to_pylist()]
-            v = [posterior_code(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, pa.string()), pa.array(x, pa.list_(pa.float32()))], ["votes", "x"])
+            texts = batch.column(1).to_pylist()
+            v = [votes(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(["".join(map(str, x)) for x in v], pa.string()), pa.array(
+                [features(t, x) for t, x in zip(texts, v)], pa.list_(pa.float32()))], ["votes", "x"])
 
-    def posterior_code(t):
-        return "".join(map(str, votes(t)))
     return rows.mapInArrow(make, "votes string, x array<float>")
 
 
@@ -158,10 +175,11 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def score(batches):
         for batch in small_batches(batches):
             texts = batch.column(1).to_pylist()
-            codes = ["".join(map(str, votes(t))) for t in texts]
+            voted = [votes(t) for t in texts]
+            codes = ["".join(map(str, v)) for v in voted]
             p = [weak.get(c, share) for c in codes]
             if model:
-                raw = np.stack([features(t) for t in texts]) @ model[0] + model[1]
+                raw = np.stack([features(t, v) for t, v in zip(texts, voted)]) @ model[0] + model[1]
                 s = 1 / (1 + np.exp(-np.clip(raw, -700, 700)))
             else:
                 s = np.asarray(p)
