@@ -13,12 +13,11 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000    # entries kept a table and worker; a table is emptied beyond it
+CACHE_ENTRIES = 1_000_000    # entries kept a table and worker; a table is emptied beyond it
 CHUNK_CHARS = 64           # longer chunks are encoded but not kept
 
-_SPACE = re.compile("[ \n]+")
-# letters that are single NFC characters, then ASCII punctuation without the apostrophe
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
+_PUNCTUATION = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")        # single characters in NFC
 _LOADED: dict[str, "ChunkEncoder"] = {}
 
 
@@ -51,21 +50,33 @@ class ChunkEncoder:
         return out
 
     def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        parts = {c: m.groups() for c in chunks if (m := _PLAIN.fullmatch(c))}
-        wanted = {w.lower() for p in parts.values() for w in p}
-        words = {w: self._words[w] for w in wanted if w in self._words}
-        if len(wanted) > len(words):
-            learnt = self._learn_words(wanted.difference(words))
-            if len(self._words) + len(learnt) > CACHE_ENTRIES:
-                self._words = {"": b""}
-            self._words.update((w, b) for w, b in learnt.items() if len(w) <= CHUNK_CHARS)
-            words |= learnt
-        out = {c: words[a.lower()] + words[b] for c, (a, b) in parts.items()}
-        out.update((c, self._ids(c).tobytes()) for c in chunks if c not in parts)
+        """Ids of new chunks: a word of plain letters with punctuation behind it, or anything else."""
+        words, out, wait = self._words, {}, []
+        for c in chunks:
+            word = c.rstrip(_PUNCTUATION)
+            tail = c[len(word):]
+            if word and not (word.isascii() and word.isalpha() or _LETTERS.fullmatch(word)):
+                out[c] = self._ids(c).tobytes()
+                continue
+            word = word.lower()
+            head, end = words.get(word), words.get(tail)
+            if head is None or end is None:
+                wait.append((c, word, tail))
+            else:
+                out[c] = head + end
+        if wait:
+            new = {w for _, *ws in wait for w in ws}
+            learnt = {w: words[w] for w in new if w in words}
+            learnt |= self._learn_words(new.difference(learnt))
+            if len(words) + len(learnt) > CACHE_ENTRIES:
+                self._words = words = {"": b""}
+            words.update((w, b) for w, b in learnt.items() if len(w) <= CHUNK_CHARS)
+            for c, word, tail in wait:
+                out[c] = learnt[word] + learnt[tail]
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [_SPACE.split(t) for t in texts]
+        chunks = [t.replace("\n", " ").split(" ") for t in texts]
         known = self._chunks
         missing = set().union(*chunks).difference(known)
         if missing:
