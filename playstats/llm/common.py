@@ -54,10 +54,6 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 
 
-def strip_ascii(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITE_SPACE))
-
-
 NUMBER_ROWS = 1_000        # rows a bucket of bucketed_number, up to NUMBER_BUCKETS a group
 NUMBER_BUCKETS = 100_000
 
