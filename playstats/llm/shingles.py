@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 500_000      # word hashes kept a worker; the table is emptied beyond it
+CACHE_WORDS = 200_000      # word hashes kept a worker; the table is emptied beyond it
 
 
 class _WordHash(dict):

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from playstats.llm.packing import TOKENIZER, configurations, linear_groups, pack_documents, plan_packing
-from playstats.llm.tokens import ChunkEncoder
+from playstats.llm.tokens import WordEncoder
 
 PATH = public_tokenizers.path(TOKENIZER)
 
@@ -100,7 +100,7 @@ def test_configurations_reach_the_optimum_of_a_known_case():
 
 
 def test_chunks_equal_whole_texts():
-    enc, tok = ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    enc, tok = WordEncoder(PATH), Tokenizer.from_file(PATH)
     odd = ["", " ", "a<|endoftext|>b c", "don't 'S we'll", "É́x ß ΑΣ Σ", "tab\tand\x0bfeed\x0c\r\n", "12 3.5 ²³ ª",
            "日本 🎉 x", "x" * 9000, "word, word. (word) [x]|", "a\x1cb\x85c\xa0d"]
     assert enc.encode(odd) == [plain_ids(tok, t) for t in odd]
@@ -114,13 +114,13 @@ def test_chunks_equal_whole_texts_property(texts):
     assert enc.encode(texts) == [plain_ids(tok, t) for t in texts]
 
 
-_PAIR = (ChunkEncoder(PATH), Tokenizer.from_file(PATH))
+_PAIR = (WordEncoder(PATH), Tokenizer.from_file(PATH))
 
 
 def test_full_tables_are_emptied(monkeypatch):
     from playstats.llm import tokens
-    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 5)
-    enc, tok = ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 5)
+    enc, tok = WordEncoder(PATH), Tokenizer.from_file(PATH)
     texts = [f"alpha beta gamma{i} delta, epsilon{i}. 1{i}" for i in range(30)]
     for at in range(0, 30, 3):
         part = texts[at:at + 3] + texts[:2]
