@@ -17,9 +17,12 @@ m_tracks AS (
          CASE WHEN p_size % 7 <> 0 THEN CAST(ROUND(p_retailprice * 200) AS INT) END AS duration_ms
   FROM part),
 m_plays_raw AS (
-  SELECT l_partkey AS track_id, l_shipdate AS played_at,
+  SELECT l_partkey AS track_id, CASE WHEN l_partkey % 30 = 2 THEN TIMESTAMP '1998-06-01'
+              WHEN l_partkey % 6 = 0 THEN CAST(date_trunc('year', l_shipdate) AS TIMESTAMP)
+              WHEN l_partkey % 6 = 1 THEN CAST(date_trunc('quarter', l_shipdate) AS TIMESTAMP)
+              ELSE CAST(l_shipdate AS TIMESTAMP) END AS played_at,
          CAST(l_extendedprice * 3 AS BIGINT) AS play_duration_ms,
-         1 + CAST(l_quantity AS INT) % 5 AS play_count,
+         CASE WHEN CAST(l_quantity AS INT) <= l_partkey % 50 THEN 1 + CAST(l_quantity AS INT) % 5 ELSE 0 END AS play_count,
          CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) % 4 ELSE 0 END AS skip_count,
          l_orderkey, l_linenumber, l_suppkey, l_extendedprice
   FROM lineitem),
@@ -40,15 +43,14 @@ m_artist_genres AS (
         FROM part
         UNION
         SELECT o_custkey % (SELECT COUNT(*) FROM supplier), o_orderpriority
-        FROM orders WHERE o_custkey % 5 = 0) x
-  JOIN m_genres USING (name)
-  WHERE artist_id % 10 <> 7),
+        FROM orders) x
+  JOIN m_genres USING (name)),
 m_audio_features AS (
   SELECT p_partkey AS track_id, 60 + p_size * 2.5 AS tempo,
          (p_partkey * 37 % 101) / 100.0 AS energy, (p_partkey * 53 % 101) / 100.0 AS valence,
          (p_partkey * 71 % 101) / 100.0 AS acousticness, (p_partkey * 11 % 101) / 100.0 AS speechiness,
          p_size / 50.0 AS danceability
-  FROM part WHERE p_partkey % 9 <> 0),
+  FROM part),
 m_clean_genres AS (
   SELECT genre_id, name FROM m_genres
   WHERE ascii(left(name, 1)) BETWEEN 65 AND 122

@@ -9,9 +9,9 @@ as they would run on CSV / JSON files read by :mod:`playstats.sources.readers`:
   6) lack the separator, so the null and no-separator paths carry data.
 * ``raw_song_catalog``  one catalog row per part, artist = the fixture artist of the
   part, release dates of mixed precision plus junk, both genre columns.
-* ``landed_lookups``    one lookup response per artist except every fourth (those
-  are "not fetched yet"): no hits for negative balances, no tags below 1000,
-  no country for some nations, a truncated body for every fiftieth id.
+* ``landed_lookups``    one lookup response per artist: no hits for negative balances,
+  no tags below 1000, no country for some nations, a truncated body (a failed fetch, to
+  be tried again) for every fiftieth id.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstats.sources.fixtures import table
+from playstats.sources.fixtures import play_count, play_day, table
 
 
 def _n_sup(spark, sf_dir):
@@ -37,9 +37,10 @@ def raw_play_export(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat(F.col("s_name"), F.lit(" - "), F.col("p_name"))))
     return rows.select(
         desc.cast("string").alias("Track Description"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("Date Played"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 5), F.lit("unknown"))
+        .otherwise(F.regexp_replace(play_day().cast("string"), "-", "")).alias("Date Played"),
         F.bround(F.col("l_extendedprice") * 3, 0).cast("long").alias("Play Duration Milliseconds"),
-        (1 + F.col("l_quantity").cast("int") % 5).cast("int").alias("Play Count"),
+        play_count().alias("Play Count"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int") % 4)
         .otherwise(F.lit(0)).cast("int").alias("Skip Count"))
 
@@ -77,8 +78,7 @@ def landed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    j = (s.filter(F.col("s_suppkey") % 4 != 3)
-         .join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey))
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     tag = lambda c: F.struct(F.lower(c).alias("name"))
     hit = F.struct(
         F.concat(F.lit("mb-"), F.col("s_suppkey").cast("string")).alias("id"),

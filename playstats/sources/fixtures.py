@@ -78,16 +78,31 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("duration_ms")))
 
 
+def play_day():
+    """The day of a line item's play: most parts keep the ship date, some are played on the first
+    day of a quarter or year only, some on one day ever (so that few-day tracks occur)."""
+    k, day = F.col("l_partkey"), F.col("l_shipdate").cast("date")
+    return (F.when(k % 30 == 2, F.lit("1998-06-01").cast("date"))
+            .when(k % 6 == 0, F.trunc(day, "year")).when(k % 6 == 1, F.trunc(day, "quarter"))
+            .otherwise(day))
+
+
+def play_count():
+    """Plays of a line item: 1 to 5, or none for quantities above a part's level (all tiers occur)."""
+    qty = F.col("l_quantity").cast("int")
+    return F.when(qty <= F.col("l_partkey") % 50, 1 + qty % 5).otherwise(F.lit(0)).cast("int")
+
+
 def plays_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Play rows (one per line item, all of them) before the one-row-per-track-per-day
     rule, with the tie-break keys."""
     li = table(spark, sf_dir, "lineitem")
     return (li
             .select(F.col("l_partkey").cast("long").alias("track_id"),
-                    F.col("l_shipdate").cast("timestamp_ntz").alias("played_at"),
+                    play_day().cast("timestamp_ntz").alias("played_at"),
                     # bround = round-half-even, the rounding of a double -> bigint cast in SQL
                     F.bround(F.col("l_extendedprice") * 3, 0).cast("long").alias("play_duration_ms"),
-                    (1 + F.col("l_quantity").cast("int") % 5).cast("int").alias("play_count"),
+                    play_count().alias("play_count"),
                     F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int") % 4)
                     .otherwise(F.lit(0)).cast("int").alias("skip_count"),
                     "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"))
@@ -130,27 +145,23 @@ def artist_genres(spark: SparkSession, sf_dir: str, genres_df: DataFrame | None
     from_parts = p.crossJoin(n_sup).select(
         _artist_of("p_partkey").alias("artist_id"),
         F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).otherwise(F.col("p_type")).alias("name"))
-    from_orders = (o.filter(F.col("o_custkey") % 5 == 0).crossJoin(n_sup)
-                   .select(_artist_of("o_custkey").alias("artist_id"),
-                           F.col("o_orderpriority").alias("name")))
+    from_orders = o.crossJoin(n_sup).select(_artist_of("o_custkey").alias("artist_id"),
+                                            F.col("o_orderpriority").alias("name"))
     pairs = from_parts.unionByName(from_orders).distinct()
     g = genres_df if genres_df is not None else genres(spark, sf_dir)
-    return (pairs.filter(F.col("artist_id") % 10 != 7)
-            .join(g, "name")
-            .select("artist_id", "genre_id").distinct())
+    return pairs.join(g, "name").select("artist_id", "genre_id").distinct()
 
 
 def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    return (p.filter(k % 9 != 0)
-            .select(k.cast("long").alias("track_id"),
+    return p.select(k.cast("long").alias("track_id"),
                     (60 + F.col("p_size") * 2.5).cast("double").alias("tempo"),
                     ((k * 37 % 101) / 100.0).cast("double").alias("energy"),
                     ((k * 53 % 101) / 100.0).cast("double").alias("valence"),
                     ((k * 71 % 101) / 100.0).cast("double").alias("acousticness"),
                     ((k * 11 % 101) / 100.0).cast("double").alias("speechiness"),
-                    (F.col("p_size") / 50.0).cast("double").alias("danceability")))
+                    (F.col("p_size") / 50.0).cast("double").alias("danceability"))
 
 
 _MATERIALISE_LOCK = threading.Lock()
@@ -197,7 +208,7 @@ def model(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Model:
     configure(spark)
     if not materialize:
         return build_model(spark, sf_dir)
-    root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v3-"
+    root = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-model/v4-"
             f"{_input_signature(spark, sf_dir)}")
     key = (spark.sparkContext.applicationId, root)
     with _MATERIALISE_LOCK:  # concurrent callers in one process build it once
