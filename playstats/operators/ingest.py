@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playstats.operators.ranking import dense_index
+from playstats.operators.ranking import dense_index, global_row_number
 from playstats.session import cut_lineage
 
 DESCRIPTION_SEPARATOR = " - "
@@ -41,15 +41,18 @@ def split_description(df: DataFrame, col: str = "Track Description",
 
 
 def parse_compact_date(c) -> Column:
-    """``yyyyMMdd`` text -> timestamp_ntz; unparsable -> NULL."""
+    """``yyyyMMdd`` text -> timestamp_ntz; unparsable -> NULL.
+
+    Parsed as a date, never as a zoned timestamp: a midnight that a zone skips would move.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col.cast("string"), F.lit("yyyyMMdd")).cast("timestamp_ntz")
+    return F.try_to_date(col.cast("string"), "yyyyMMdd").cast("timestamp_ntz")
 
 
 def lenient_year(c) -> Column:
     """Year of a date of any precision ('2012', '2012-05', '2012-05-04'); junk -> NULL."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.year(F.try_to_timestamp(col))
+    return F.year(col.try_cast("date"))
 
 
 def keep_first(df: DataFrame, key_cols, order_cols, payload_cols=None) -> DataFrame:
@@ -141,15 +144,11 @@ def build_catalog_tracks(cat: DataFrame, artists: DataFrame) -> DataFrame:
                        ["track_name", "track_artist"],
                        ["track_album_name", "track_album_release_date", "duration_ms"])
     j = first.join(artists.select("artist_id", F.col("name").alias("track_artist")), "track_artist")
-    numbered = dense_index(j.select(F.col("track_name").alias("title"), "artist_id"),
-                           ["artist_id", "title"], "track_id")
-    return (numbered.join(j.select(F.col("track_name").alias("title"), "artist_id",
-                                   F.col("track_album_name").alias("album"),
-                                   "track_album_release_date", "duration_ms"),
-                          ["artist_id", "title"])
-            .select("track_id", "title", "artist_id", "album",
-                    lenient_year("track_album_release_date").alias("release_year"),
-                    "duration_ms"))
+    # (artist, title) is unique after keep_first, so the rows themselves are numbered
+    numbered = global_row_number(j.withColumnRenamed("track_name", "title"),
+                                 [("artist_id", True), ("title", True)], "track_id", nulls_first=False)
+    return numbered.select("track_id", "title", "artist_id", F.col("track_album_name").alias("album"),
+                           lenient_year("track_album_release_date").alias("release_year"), "duration_ms")
 
 
 def build_genres(cat: DataFrame) -> DataFrame:
@@ -225,10 +224,24 @@ def load_summary(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Columns that a table has in the schema even where its loader does not know them.
+FULL_SCHEMA = {"artists": {"mbid": "string", "country": "string"},
+               "tracks": {"album": "string", "release_year": "int", "duration_ms": "int"}}
+
+
+def full_schema(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with every column of the schema, NULL where nothing is known yet."""
+    return {name: df.withColumns({c: F.lit(None).cast(t) for c, t in FULL_SCHEMA.get(name, {}).items()
+                                  if c not in df.columns}) for name, df in tables.items()}
+
+
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite",
                  fmt: str = "parquet") -> None:
-    """Full refresh (overwrite) or append; plays partitioned by play year."""
-    for name, df in tables.items():
+    """Full refresh (overwrite) or append; plays partitioned by play year.
+
+    The one writer of model tables, for the batch loaders and for the stream.
+    """
+    for name, df in full_schema(tables).items():
         w = df.write.mode(mode).format(fmt)
         if name == "plays" and "played_at" in df.columns:
             df = df.withColumn("play_year", F.year("played_at"))

@@ -2,13 +2,17 @@
 monthly aggregate over the ingested plays (ST2).
 
 ST1: a CSV file source over the drop folder; each micro-batch runs the same ingest
-operators as the batch loader and merges into the model tables:
+operators as the batch loader and appends to the same model tables, with the same writer
+(plays partitioned by play year), so a stream goes on where a batch load ended:
 
 * new artist names / (title, artist) pairs get ids after the current maximum
   (one-row aggregate, broadcast) in natural-key order;
 * plays are de-duplicated inside the batch (one row per track and day) and
-  anti-joined on (track_id, played_at) against the stored plays, so a replayed
-  batch (after a failure) or a re-sent day appends nothing twice.
+  anti-joined on (track_id, played_at) against the stored plays of the batch's years, so a
+  replayed batch (after a failure) or a re-sent day appends nothing twice.
+
+A day belongs to the drop that brings it first: rows of a stored day in a later drop are
+left out, whatever their values.
 
 No watermark is needed: the key is a calendar day and every day stays open; a late
 file is simply another batch of days.
@@ -25,6 +29,7 @@ from pyspark.sql import types as T
 
 from playstats.functions.exprs import month_name_padded, month_start, ntz_literal, year_month
 from playstats.operators import ingest as IG
+from playstats.session import cut_lineage
 from playstats.sources.readers import PLAY_EXPORT_COLUMNS
 
 PLAYS_SCHEMA = T.StructType([
@@ -33,11 +38,12 @@ PLAYS_SCHEMA = T.StructType([
     T.StructField("play_duration_ms", T.LongType()),
     T.StructField("play_count", T.IntegerType()),
     T.StructField("skip_count", T.IntegerType()),
+    T.StructField("play_year", T.IntegerType()),       # the partition
 ])
 
 
 PLAYS_DDL = ("track_id long, played_at timestamp_ntz, play_duration_ms long, play_count int, "
-             "skip_count int")
+             "skip_count int, play_year int")
 
 
 def _export_schema(columns=None) -> T.StructType:
@@ -71,12 +77,11 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
     spark = batch.sparkSession
     root = tables_root.rstrip("/")
     raw = batch.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in PLAY_EXPORT_COLUMNS.items()])
-    prepared = IG.prepare_play_export(raw)
+    prepared = cut_lineage(IG.prepare_play_export(raw))     # the drop's files are read once
     artists = _read_or_empty(spark, f"{root}/artists", "artist_id long, name string")
     new_names = (prepared.select(F.col("artist_name").alias("name")).dropna().distinct()
                  .join(artists.select("name"), "name", "left_anti"))
-    new_artists = _with_new_ids(new_names, artists, ["name"], "artist_id")
-    new_artists.write.mode("append").parquet(f"{root}/artists")
+    IG.write_tables({"artists": _with_new_ids(new_names, artists, ["name"], "artist_id")}, root, "append")
     artists = spark.read.parquet(f"{root}/artists")
 
     tracks = _read_or_empty(spark, f"{root}/tracks", "track_id long, title string, artist_id long")
@@ -86,35 +91,41 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
              .select("title", "artist_id")
              .join(tracks.select("title", "artist_id"), ["title", "artist_id"], "left_anti"))
     new_tracks = _with_new_ids(pairs, tracks, ["artist_id", "title"], "track_id")
-    new_tracks.select("track_id", "title", "artist_id").write.mode("append").parquet(f"{root}/tracks")
+    IG.write_tables({"tracks": new_tracks.select("track_id", "title", "artist_id")}, root, "append")
     tracks = spark.read.parquet(f"{root}/tracks")
 
-    plays = IG.build_plays(prepared, tracks, artists)
+    plays = cut_lineage(IG.build_plays(prepared, tracks, artists))
     stored = _read_or_empty(spark, f"{root}/plays", PLAYS_DDL)
-    # Only stored days inside this batch's day range can collide: the range (one row)
-    # becomes a literal filter pushed to the Parquet scan, so a batch does not re-read
+    # Only stored days inside this batch's range can collide: the range (one row) becomes
+    # literal filters, on the year folders and on the day column, so a batch does not re-read
     # the whole history.
     lo, hi = plays.agg(F.min("played_at"), F.max("played_at")).first()
     known = plays.filter(F.col("played_at").isNotNull())
     if lo is not None:
-        in_range = stored.filter(F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
+        in_range = stored.filter(F.col("play_year").between(lo.year, hi.year)
+                                 & F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
         known = known.join(in_range.select("track_id", "played_at"), ["track_id", "played_at"],
                            "left_anti")
     # unparsable days (NULL) count as one key per track, compared null-safely
     nulls = plays.filter(F.col("played_at").isNull()).join(
-        stored.filter(F.col("played_at").isNull()).select("track_id"), "track_id", "left_anti")
-    known.unionByName(nulls).write.mode("append").parquet(f"{root}/plays")
+        stored.filter(F.col("play_year").isNull()).select("track_id"), "track_id", "left_anti")
+    # adaptive execution sizes the files: one per year and advisory partition size
+    fresh = known.unionByName(nulls).withColumn("play_year", F.year("played_at")).hint("rebalance", "play_year")
+    IG.write_tables({"plays": fresh}, root, "append")
 
 
 def ingest_plays_stream(spark: SparkSession, source_dir: str, tables_root: str,
-                        checkpoint_location: str, columns=None, available_now: bool = True):
+                        checkpoint_location: str, columns=None, available_now: bool = True,
+                        files_per_batch: int | None = None):
     """ST1: start the ingest stream; returns the StreamingQuery.
 
     ``columns`` lists the export's columns in file order (names are validated
     against the header); the default is the five columns the loader reads.
     """
-    stream = (spark.readStream.schema(_export_schema(columns)).option("header", True)
-              .option("enforceSchema", False).csv(source_dir))
+    reader = spark.readStream.schema(_export_schema(columns)).option("header", True).option("enforceSchema", False)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.csv(source_dir)
     w = (stream.writeStream.foreachBatch(lambda df, epoch: merge_play_batch(df, tables_root))
          .option("checkpointLocation", checkpoint_location))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -122,42 +133,47 @@ def ingest_plays_stream(spark: SparkSession, source_dir: str, tables_root: str,
 
 
 def monthly_plays_stream(spark: SparkSession, plays_dir: str, checkpoint_location: str,
-                         query_name: str = "monthly_plays", sink: str = "memory"):
-    """ST2: running plays per month over the ingested plays table (complete mode)."""
+                         query_name: str | None = "monthly_plays", sink: str = "memory",
+                         out_dir: str | None = None):
+    """ST2: running plays per month over the ingested plays table (complete mode).
+
+    ``sink="parquet"`` replaces the table in ``out_dir`` after each micro-batch; the memory
+    sink keeps it on the driver (one row per month).
+    """
     plays = spark.readStream.schema(PLAYS_SCHEMA).parquet(plays_dir)
     monthly = (plays.groupBy(month_start("played_at").alias("month"))
                .agg(F.sum("play_count").alias("plays"))
                .select("plays", month_name_padded("month").alias("month_name"),
                        year_month("month").alias("year_month")))
-    return (monthly.writeStream.outputMode("complete").format(sink).queryName(query_name)
-            .option("checkpointLocation", checkpoint_location)
-            .trigger(availableNow=True).start())
+    w = monthly.writeStream.outputMode("complete")
+    if query_name:
+        w = w.queryName(query_name)
+    if sink == "parquet":
+        w = w.foreachBatch(lambda df, _: df.coalesce(1).write.mode("overwrite").parquet(out_dir))  # a row a month
+    else:
+        w = w.format(sink)
+    return w.option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start()
 
 
-def replay_as_drops(raw: DataFrame, work_dir: str, n_files: int = 4) -> str:
-    """Write raw export rows as CSV drop files, whole calendar years per file.
+def replay_as_drops(raw: DataFrame, work_dir: str) -> str:
+    """Write raw export rows as CSV drop files, whole days per file; returns the drop folder.
 
-    All rows of one day land in the same file, so a day is never split across
-    micro-batches and the per-batch keep-first rule equals the batch loader's.
-    Returns the drop folder.
+    A day is never split across files, so the first-drop rule equals the batch loader's
+    keep-first. The number of files follows the data (adaptive execution coalesces the days).
     """
     drops = f"{work_dir.rstrip('/')}/drops"
-    year = F.substring(F.col("`Date Played`"), 1, 4)
-    (raw.repartition(n_files, year).select(*[F.col(f"`{c}`") for c in PLAY_EXPORT_COLUMNS])
+    (raw.repartition(F.col("`Date Played`")).select(*[F.col(f"`{c}`") for c in PLAY_EXPORT_COLUMNS])
      .write.mode("overwrite").option("header", True).csv(drops))
     return drops
 
 
 def stream_monthly_from_export(spark: SparkSession, raw: DataFrame, work_dir: str,
-                               query_name: str, n_files: int = 4) -> DataFrame:
-    """End to end: drops -> ST1 (one file per micro-batch) -> ST2 -> monthly table."""
+                               files_per_batch: int = 16) -> DataFrame:
+    """End to end: drops -> ST1 (``files_per_batch`` files a micro-batch) -> ST2 -> monthly table."""
     root = work_dir.rstrip("/")
-    drops = replay_as_drops(raw, root, n_files)
-    stream = (spark.readStream.schema(_export_schema()).option("header", True)
-              .option("enforceSchema", False).option("maxFilesPerTrigger", 1).csv(drops))
-    (stream.writeStream.foreachBatch(lambda df, epoch: merge_play_batch(df, f"{root}/tables"))
-     .option("checkpointLocation", f"{root}/ck/ingest").trigger(availableNow=True).start()
-     .awaitTermination())
-    monthly_plays_stream(spark, f"{root}/tables/plays", f"{root}/ck/monthly",
-                         query_name=query_name).awaitTermination()
-    return spark.table(query_name)
+    drops = replay_as_drops(raw, root)
+    ingest_plays_stream(spark, drops, f"{root}/tables", f"{root}/ck/ingest",
+                        files_per_batch=files_per_batch).awaitTermination()
+    monthly_plays_stream(spark, f"{root}/tables/plays", f"{root}/ck/monthly", query_name=None, sink="parquet",
+                         out_dir=f"{root}/monthly").awaitTermination()
+    return spark.read.parquet(f"{root}/monthly")

@@ -44,3 +44,19 @@ def test_stream_ingest_is_idempotent_and_monthly_matches_batch(spark, tmp_path):
     assert streamed == batch
     assert [t for t in batch if t[2] is not None] == [(2, "March    ", "2024-03"),
                                                       (4, "April    ", "2024-04")]
+
+
+def test_stream_goes_on_after_a_batch_load(spark, tmp_path):
+    from playstats.operators import ingest as IG
+    from playstats.sources import readers
+    src, tables = tmp_path / "drops", str(tmp_path / "tables")
+    _drop(tmp_path / "batch", "old.csv", ["A - x,20240301,1000,2,0", "B - y,20231231,500,1,0"])
+    IG.write_tables(IG.load_play_history(readers.read_play_history(spark, str(tmp_path / "batch"))), tables)
+    new = ["A - x,20240301,900,1,1", "A - x,20240302,10,4,0", "C - z,20250101,20,1,0"]
+    for i in range(2):                      # the same rows again, as another file
+        _drop(src, f"new{i}.csv", new)
+        ST.ingest_plays_stream(spark, str(src), tables, str(tmp_path / "ck")).awaitTermination()
+    m = readers.read_model(spark, tables)
+    assert sorted((r.play_duration_ms, r.play_year) for r in m.plays.collect()) == [(10, 2024), (20, 2025), (500, 2023), (1000, 2024)]
+    assert {r.name for r in m.artists.collect()} == {"A", "B", "C"} and "mbid" in m.artists.columns
+    assert R.genre_match_rate(m).first()["total_artists"] == 3
