@@ -2,145 +2,146 @@
 
 Density clustering (re-aim of the reference's single-machine hierarchical density
 clustering, same contract: ``cluster`` id per point, -1 = noise, clusters of at
-least ``min_cluster_size`` points):
-
-1. one global aggregate gives n and the spread; the cell side is the 2-D kernel
-   bandwidth rule h = sigma * n^(-1/6);
-2. points are counted per grid cell (hash aggregate with map-side combine, so a
-   cell holding a third of all points is still one row after the partial step);
-3. cells with at least ``min_samples`` points and at least half the mean occupancy
-   of occupied cells are dense; dense cells touching in the 8-neighbourhood are
-   linked (edges are between *cells*, 8 per cell, never between points);
-4. connected components of the dense-cell graph by min-label propagation, with a
-   reliable checkpoint every few rounds (the cell graph has about n^(1/3) nodes and
-   diameter about n^(1/6), so rounds stay few even at very large n);
-5. components with at least ``min_cluster_size`` points become clusters, numbered
-   by descending size; every other point is noise.
-
-No pairs of points are ever formed.
+least ``min_cluster_size`` points), over a grid instead of point pairs:
+
+1. one global aggregate gives n, the means and the spread; the grid has a side of
+   sigma * n^(-1/4), and at most ``GRID`` cells an axis (points beyond six sigma lie in
+   the outermost cells), so it has at most GRID^2 cells whatever n is;
+2. points are counted per cell (hash aggregate with map-side combine, so a cell that
+   holds a third of all points is one row after the partial step). This bounded table of
+   counts is all that reaches the driver;
+3. the hierarchy: cells enter in the order of their smoothed density and join the
+   components of their 8 neighbours; a component of ``min_cluster_size`` points is a cluster,
+   and two clusters that meet become the children of a new one;
+4. clusters are chosen by stability, the excess of density over the level at which a cluster
+   meets another, summed over its points: a parent that is more stable than its chosen
+   children replaces them. All cells of no chosen cluster are noise;
+5. the chosen cells (bounded as above) are joined to the points by broadcast.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstats.functions.exprs import num_round
-from playstats.operators.ranking import global_row_number
-from playstats.session import cut_lineage
 
 NOISE = -1
 NOISE_LABEL = "Noise / Unclassified"
-_OFF = 1 << 30
-
-
-def _cell_id(cx, cy):
-    return (cx + F.lit(_OFF)) * F.lit(1 << 31) + (cy + F.lit(_OFF))
-
-
-def grid_cells(points: DataFrame, x: str = "x", y: str = "y", cell_size: float | None = None) -> DataFrame:
-    """Add integer grid coordinates ``_cx``, ``_cy`` (cell side from the data if not given)."""
-    if cell_size is None:
-        stats = points.agg(F.count(F.lit(1)).alias("_n"), F.var_pop(x).alias("_vx"),
-                           F.var_pop(y).alias("_vy"))
-        h = (F.sqrt((F.col("_vx") + F.col("_vy")) / 2.0) * F.pow(F.col("_n").cast("double"), -1.0 / 6.0))
-        stats = stats.select(F.when(h > 0, h).otherwise(F.lit(1.0)).alias("_h"))
-        p = points.crossJoin(F.broadcast(stats))  # one row
-    else:
-        p = points.withColumn("_h", F.lit(float(cell_size)))
-    return (p.withColumn("_cx", F.floor(F.col(x) / F.col("_h")).cast("long"))
-            .withColumn("_cy", F.floor(F.col(y) / F.col("_h")).cast("long")).drop("_h"))
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, checkpoint_every: int = 4,
-                         max_rounds: int = 10_000) -> DataFrame:
-    """Min-label propagation with pointer jumping.
-
-    nodes(id) + undirected edges(src, dst) -> (id, component), where the component
-    id is the smallest node id in the component. A round is (1) take the minimum
-    label over the node's neighbours, (2) jump: replace the label by the label of
-    the node it names, which shortcuts chains the way path compression does, so
-    rounds grow with the log of the component diameter rather than the diameter.
-    Convergence is tested every second round with one ``limit(1).count()``; state
-    is checkpointed to the shared folder every ``checkpoint_every`` rounds.
-    """
-    labels = nodes.select("id", F.col("id").alias("label"))
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"),
-                                                               F.col("src").alias("dst"))).distinct()
-    both = cut_lineage(both)
-    labels = cut_lineage(labels)
-    prev = labels
-    for i in range(max_rounds):
-        nbr = (both.join(labels.withColumnRenamed("id", "src"), "src")
-               .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("_nl")))
-        step = (labels.join(nbr, "id", "left")
-                .select("id", F.least("label", F.coalesce("_nl", "label")).alias("label")))
-        parent = step.select(F.col("id").alias("label"), F.col("label").alias("_pl"))
-        labels = (step.join(parent, "label", "left")
-                  .select("id", F.least("label", F.coalesce("_pl", "label")).alias("label")))
-        if (i + 1) % checkpoint_every == 0 or i % 2 == 1:
-            labels = cut_lineage(labels)
-        if i % 2 == 1:
-            changed = labels.join(prev.withColumnRenamed("label", "_old"), "id").filter(
-                F.col("label") != F.col("_old")).limit(1).count()
-            if changed == 0:
-                break
-            prev = labels
-    return labels.withColumnRenamed("label", "component")
-
-
-def density_clusters(points: DataFrame, x: str = "x", y: str = "y", min_cluster_size: int = 20,
-                     min_samples: int | None = None, cell_size: float | None = None,
-                     relative_density: float = 0.5) -> DataFrame:
-    """Add ``cluster`` (0.. by descending size, -1 = noise) to every point.
-
-    A cell is dense when it holds at least ``min_samples`` points and at least
-    ``relative_density`` times the mean count of occupied cells. The relative part
-    keeps "dense" meaning "denser than typical" as n grows (cell occupancy grows
-    like n^(2/3) under the bandwidth rule); 0 disables it.
-    """
-    min_samples = min_samples or max(2, min_cluster_size // 4)
-    pts = grid_cells(points, x, y, cell_size)
-    all_cells = pts.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_cnt"))
-    all_cells = cut_lineage(all_cells.withColumn("id", _cell_id(F.col("_cx"), F.col("_cy"))))
-    occupancy = all_cells.agg((F.sum("_cnt") / F.count(F.lit(1))).alias("_mean"))  # one row
-    threshold = F.greatest(F.lit(float(min_samples)), F.col("_mean") * F.lit(float(relative_density)))
-    flagged = (all_cells.crossJoin(F.broadcast(occupancy))
-               .withColumn("_dense", F.col("_cnt") >= threshold).drop("_mean"))
-    all_cells = cut_lineage(flagged)
-    cells = all_cells.filter("_dense")
-    probes = _neighbour_probes(cells)
-    edges = probes.join(cells.select(F.col("id").alias("dst")), "dst")
-    comp = connected_components(cells.select("id"), edges)
-    sized = (cells.join(comp, "id").groupBy("component").agg(F.sum("_cnt").alias("_size"))
-             .filter(F.col("_size") >= min_cluster_size))
-    numbered = global_row_number(sized.withColumn("_neg", -F.col("_size")),
-                                 [("_neg", True), ("component", True)], "_cl")
-    core = (cells.join(comp, "id").join(numbered.select("component", "_cl"), "component")
-            .select("id", (F.col("_cl") - 1).cast("int").alias("cluster")))
-    # Border cells: a sparse cell next to a clustered dense cell joins that cluster
-    # (the lowest id if it touches several), like border points in density clustering.
-    sparse = all_cells.filter(~F.col("_dense"))
-    border = (_neighbour_probes(sparse).join(core.withColumnRenamed("id", "dst"), "dst")
-              .groupBy(F.col("src").alias("id")).agg(F.min("cluster").alias("cluster")))
-    cell_cluster = core.unionByName(border)
-    return (pts.withColumn("id_", _cell_id(F.col("_cx"), F.col("_cy")))
-            .join(cell_cluster.withColumnRenamed("id", "id_"), "id_", "left")
+GRID = 256          # cells an axis, at most
+REACH = 6.0         # the grid spans so many sigma to each side of the mean
+
+
+def grid_cells(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """Add integer grid coordinates ``_cx``, ``_cy`` in 0..GRID-1."""
+    n, mx, my, vx, vy = points.agg(F.count(F.lit(1)), F.avg(x), F.avg(y), F.var_pop(x), F.var_pop(y)).first()
+    sigma = (((vx or 0.0) + (vy or 0.0)) / 2) ** 0.5
+    side = max(sigma * max(n, 1) ** -0.25, 2 * REACH * sigma / GRID) or 1.0
+
+    def cell(c: str, mean: float | None):
+        i = F.floor((F.col(c) - F.lit(mean or 0.0)) / F.lit(side)) + GRID // 2
+        return F.least(F.greatest(i, F.lit(0)), F.lit(GRID - 1)).cast("int")
+
+    return points.withColumns({"_cx": cell(x, mx), "_cy": cell(y, my)})
+
+
+def _around(c: tuple[int, int]):
+    return [(c[0] + dx, c[1] + dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy]
+
+
+def cell_clusters(counts: dict[tuple[int, int], int], min_cluster_size: int) -> dict[tuple[int, int], int]:
+    """Cell -> cluster number (by descending size) of the cells in a chosen cluster."""
+    weight = {0: 4, 1: 2, 2: 1}
+    density = {c: (4 * n + sum(weight[abs(o[0] - c[0]) + abs(o[1] - c[1])] * counts.get(o, 0)
+                               for o in _around(c))) / 16 for c, n in counts.items()}
+    root: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    size: dict[tuple[int, int], int] = {}
+    loose: dict[tuple[int, int], list] = {}          # cells of a component that is no cluster yet
+    node: dict[tuple[int, int], int] = {}            # component -> its cluster
+    excess, weightof, kids, cells = [], [], [], []   # by cluster
+
+    def add(k: int, cs: list, level: float) -> None:
+        cells[k] += cs
+        n = sum(counts[c] for c in cs)
+        excess[k] += n * level
+        weightof[k] += n
+
+    def new(children: list[int], level: float) -> int:
+        excess.append(0.0)
+        weightof.append(0)
+        kids.append(children)
+        cells.append([])
+        for k in children:                           # they end here, and their points go on in the parent
+            excess[-1] += weightof[k] * level
+            weightof[-1] += weightof[k]
+            excess[k] -= weightof[k] * level
+        return len(excess) - 1
+
+    for c in sorted(counts, key=lambda c: (-density[c], c)):
+        level = density[c]
+        root[c], size[c], loose[c] = c, counts[c], [c]
+        parts = {find(o) for o in _around(c) if o in root} | {c}
+        top = min(parts, key=lambda r: (-size[r], r))
+        held = sorted({node[r] for r in parts if r in node})
+        free = [x for r in parts for x in loose.pop(r, [])]
+        total = sum(size[r] for r in parts)
+        for r in parts:
+            root[r] = top
+            node.pop(r, None)
+        size[top] = total
+        if len(held) > 1:
+            node[top] = new(held, level)
+        elif held:
+            node[top] = held[0]
+        elif total >= min_cluster_size:
+            node[top] = new([], level)
+        if top in node:
+            add(node[top], free, level)
+        else:
+            loose[top] = free
+    tops = set(node.values())
+    best, chosen = [0.0] * len(excess), [True] * len(excess)
+    for k in range(len(excess)):                     # children come before parents
+        below = sum(best[j] for j in kids[k])
+        alone = k in tops and len(tops) == 1 and kids[k]      # the whole is no cluster if it has parts
+        chosen[k] = not kids[k] or (excess[k] >= below and not alone)
+        best[k] = excess[k] if chosen[k] else below
+    picked, stack = [], list(tops)
+    while stack:
+        k = stack.pop()
+        if chosen[k]:
+            inside, todo = [], [k]
+            while todo:
+                j = todo.pop()
+                inside += cells[j]
+                todo += kids[j]
+            picked.append(inside)
+        else:
+            stack += kids[k]
+    picked.sort(key=lambda cs: (-sum(counts[c] for c in cs), min(cs)))
+    return {c: i for i, cs in enumerate(picked) for c in cs}
+
+
+def density_clusters(points: DataFrame, x: str = "x", y: str = "y", min_cluster_size: int = 20) -> DataFrame:
+    """Add ``cluster`` (0.. by descending size, -1 = noise) to every point."""
+    pts = grid_cells(points, x, y)
+    counts = {(r["_cx"], r["_cy"]): r["n"] for r in
+              pts.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("n")).collect()}    # at most GRID^2 rows
+    counts = {c: n for c, n in counts.items() if None not in c}
+    found = [(*c, k) for c, k in sorted(cell_clusters(counts, min_cluster_size).items())]
+    table = points.sparkSession.createDataFrame(found, "_gx int, _gy int, cluster int")
+    return (pts.join(F.broadcast(table), (F.col("_cx") == F.col("_gx")) & (F.col("_cy") == F.col("_gy")), "left")
             .withColumn("cluster", F.coalesce(F.col("cluster"), F.lit(NOISE)))
-            .drop("_cx", "_cy", "id_"))
-
-
-def _neighbour_probes(cells: DataFrame) -> DataFrame:
-    """(src cell id, dst = id of each of its 8 neighbouring cells)."""
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx in (-1, 0, 1) for dy in (-1, 0, 1) if (dx, dy) != (0, 0)])
-    return cells.select("id", "_cx", "_cy", F.explode(offsets).alias("_o")).select(
-        F.col("id").alias("src"),
-        _cell_id(F.col("_cx") + F.col("_o.dx"), F.col("_cy") + F.col("_o.dy")).alias("dst"))
+            .drop("_cx", "_cy", "_gx", "_gy"))
 
 
 def cluster_summary(df: DataFrame, cluster_col: str = "cluster") -> DataFrame:
@@ -229,7 +230,3 @@ def silhouette(df: DataFrame, features_col: str, cluster_col: str = "cluster",
         value = float(ClusteringEvaluator(featuresCol="_f", predictionCol="_p",
                                           metricName="silhouette").evaluate(d))
     return spark.createDataFrame([(value,)], "silhouette double")
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)

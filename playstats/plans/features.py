@@ -122,8 +122,11 @@ def _ln1p_pos(c: Column) -> Column:
     return F.ln(1 + F.greatest(c.cast("double"), F.lit(0.0)))
 
 
-def clean_base(eng: DataFrame) -> DataFrame:
-    """The nine measures before scaling (F3 ``base``): tracks with at least 2 plays."""
+def clean_base(eng: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The nine measures before scaling (F3 ``base``): tracks with at least 2 plays.
+
+    ``carry`` names further columns of F2 to keep.
+    """
     period_s = seconds_between("first_played", "last_played")
     return eng.filter(F.col("total_plays") >= 2).select(
         "track_id",
@@ -136,7 +139,7 @@ def clean_base(eng: DataFrame) -> DataFrame:
         "recency_score",
         F.col("loyalty_index").cast("double").alias("loyalty_index"),
         F.col("genre_diversity").cast("double").alias("genre_diversity"),
-        *ONE_HOTS)
+        *ONE_HOTS, *carry)
 
 
 def measure_stats(base: DataFrame) -> DataFrame:
@@ -152,14 +155,15 @@ def track_features_clean(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame
     return clean_from_engineered(track_features_engineered(m, as_of))
 
 
-def clean_from_engineered(eng: DataFrame, checkpoint_base: bool = True) -> DataFrame:
+def clean_from_engineered(eng: DataFrame, checkpoint_base: bool = True,
+                          carry: tuple[str, ...] = ()) -> DataFrame:
     """F3 from an F2 frame.
 
     ``base`` feeds both the statistics pass and the scaling; one checkpoint
     (per-track rows, far smaller than plays) avoids running the play aggregation
     twice. Callers that pass an already checkpointed F2 skip it.
     """
-    base = clean_base(eng)
+    base = clean_base(eng, carry)
     if checkpoint_base:
         base = cut_lineage(base)
     stats = measure_stats(base)
@@ -167,7 +171,7 @@ def clean_from_engineered(eng: DataFrame, checkpoint_base: bool = True) -> DataF
     j = base.crossJoin(F.broadcast(stats))
     z = [((F.col(c) - F.col(f"mean_{c}")) / F.when(F.col(f"sd_{c}") != 0, F.col(f"sd_{c}")))
          .alias(f"z_{c}") for c in Z_MEASURES]
-    return j.select("track_id", *z, *ONE_HOTS)
+    return j.select("track_id", *z, *ONE_HOTS, *carry)
 
 
 def check_constant_features(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:

@@ -19,12 +19,9 @@ SIMILARITY_COLS = FEATURE_COLS
 
 
 def _clean_with_names(m: Model, as_of: _dt.date) -> DataFrame:
-    # F2 once (per-track rows, checkpointed): F3, the name columns, the target and the
-    # candidates are all cheap projections and joins over it.
-    eng = cut_lineage(track_features_engineered(m, as_of))
-    c = clean_from_engineered(eng, checkpoint_base=False)
-    e = eng.select("track_id", "title", "artist", "genres", "total_plays")
-    return c.join(e, "track_id")
+    # The scaled rows with their names, stored once: target and candidates are read from them.
+    return cut_lineage(clean_from_engineered(track_features_engineered(m, as_of),
+                                             carry=("title", "artist", "genres", "total_plays")))
 
 
 def similar_tracks_to(candidates: DataFrame, target: DataFrame, n: int = 10) -> DataFrame:
@@ -87,6 +84,7 @@ def recommend_for_random(frame: DataFrame, n: int = 5, seed: int = 42,
     Output: every row of ``frame`` with ``distance`` and ``role`` in
     {'target', 'recommendation', 'background'}.
     """
+    frame = cut_lineage(frame)   # read for the pick, the target and the scores
     h = frame.withColumn("_h", F.xxhash64("track_id", F.lit(seed)))
     non_noise = h.filter(F.col("cluster") != -1) if "cluster" in frame.columns else h
     pick = non_noise.select(F.min(F.struct("_h", "track_id")).alias("_p"))
@@ -108,27 +106,14 @@ def recommend_for_random(frame: DataFrame, n: int = 5, seed: int = 42,
     return drop_target_cols(out, cols, "track_id")
 
 
-def behaviour_groups(fm: DataFrame) -> DataFrame:
-    """A SQL-expressible segmentation of the feature matrix, used to check the labeller.
-
-    cluster = 4 * (affinity tier index) + (listening pattern index); tracks with a
-    high skip rate form the noise group -1.
-    """
-    aff = (F.when(F.col("affinity_loved") == 1, 0).when(F.col("affinity_liked") == 1, 1)
-           .when(F.col("affinity_casual") == 1, 2).otherwise(3))
-    pat = (F.when(F.col("pattern_long_term") == 1, 0).when(F.col("pattern_regular") == 1, 1)
-           .when(F.col("pattern_occasional") == 1, 2).otherwise(3))
-    return fm.withColumn("cluster", F.when(F.col("skip_high") == 1, F.lit(-1))
-                         .otherwise(aff * 4 + pat).cast("int"))
-
-
 def cluster_tracks(m: Model, min_cluster_size: int = 20, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
     """The recommender frame: feature matrix + 2-D layout + density cluster + label."""
     from playstats.operators.clusters import attach_labels, density_clusters
     from playstats.operators.layout import pca_layout
     from playstats.plans.features import feature_matrix
     laid = pca_layout(feature_matrix(m, as_of))
-    clustered = density_clusters(laid, "x", "y", min_cluster_size=min_cluster_size)
+    # stored once: the labels read it several times
+    clustered = cut_lineage(density_clusters(laid, "x", "y", min_cluster_size=min_cluster_size))
     return attach_labels(clustered, "cluster")
 
 

@@ -25,15 +25,17 @@ from pyspark.sql import functions as F
 from playstats.functions.exprs import (int_div, month_name_padded, month_start, ntz_literal,
                                        num_round, year_month)
 from playstats.model import Model
-from playstats.operators.ranking import global_rank, grouped_rank, grouped_row_number
+from playstats.operators.ranking import (global_rank, grouped_rank, grouped_ranks,
+                                         grouped_row_number)
+from playstats.session import cut_lineage
 
 AUDIO = ("danceability", "energy", "tempo", "valence", "acousticness", "speechiness")
 
 
 # -------------------------------------------------------------------- helpers
-def track_artist(m: Model) -> DataFrame:
-    """tracks ⋈ artists: (track_id, title, artist_id, name)."""
-    return m.tracks.select("track_id", "title", "artist_id").join(
+def track_artist(m: Model, *more: str) -> DataFrame:
+    """tracks ⋈ artists: (track_id, title, artist_id, name) and ``more`` track columns."""
+    return m.tracks.select("track_id", "title", "artist_id", *more).join(
         m.artists.select("artist_id", "name"), "artist_id")
 
 
@@ -307,23 +309,27 @@ def genre_avg_energy_window(m: Model) -> DataFrame:
     ``avg() OVER (PARTITION BY genre)`` is computed as a per-genre aggregate (partial
     aggregation map-side) joined back, so a genre holding most rows is not one task.
     """
-    rows = _track_genre_rows(m).join(m.audio_features.select("track_id", "energy"), "track_id")
-    avgs = rows.groupBy("genre").agg(F.avg("energy").alias("avg_energy"))
-    return rows.join(avgs, "genre").select("genre", "energy", "title", "avg_energy")
+    # sums per artist first: the bridge then fans out one row an artist, not one a track
+    avgs = (genre_bridge(m).join(_features_by_artist(m, ["energy"]), "artist_id").groupBy("genre")
+            .agg((F.sum("s_energy") / F.sum("n_energy")).alias("avg_energy")))
+    rows = (m.tracks.select("track_id", "title", "artist_id")
+            .join(m.audio_features.select("track_id", "energy"), "track_id")
+            .join(genre_bridge(m).join(avgs, "genre"), "artist_id"))
+    return rows.select("genre", "energy", "title", "avg_energy")
 
 
 def dance_rank_in_genre(m: Model) -> DataFrame:
     """Rank and dense_rank by danceability within genre (range-partitioned ranks)."""
     rows = (_track_genre_rows(m).join(m.audio_features.select("track_id", "danceability"), "track_id")
             .select("title", F.col("name").alias("artist"), "genre", "danceability"))
-    r = grouped_rank(rows, ["genre"], [("danceability", False)], "dance_rank", "rank")
-    return grouped_rank(r, ["genre"], [("danceability", False)], "dense_dance_rank", "dense_rank")
+    return grouped_ranks(rows, ["genre"], [("danceability", False)],
+                         {"dance_rank": "rank", "dense_dance_rank": "dense_rank"})
 
 
 def release_order_in_genre(m: Model) -> DataFrame:
     """row_number by release year (newest first, then track_id) within genre."""
-    rows = (track_artist(m).join(m.tracks.select("track_id", "release_year"), "track_id")
-            .filter(F.col("release_year").isNotNull()).join(genre_bridge(m), "artist_id"))
+    rows = (track_artist(m, "release_year").filter(F.col("release_year").isNotNull())
+            .join(genre_bridge(m), "artist_id"))
     out = grouped_row_number(rows, ["genre"], [("release_year", False), ("track_id", True)],
                              "release_row_no")
     return out.select("title", F.col("name").alias("artist"), "genre", "release_year",
@@ -332,8 +338,8 @@ def release_order_in_genre(m: Model) -> DataFrame:
 
 def length_percent_rank_in_genre(m: Model) -> DataFrame:
     """percent_rank of duration (longest first) within genre."""
-    rows = (track_artist(m).join(m.tracks.select("track_id", "duration_ms"), "track_id")
-            .filter(F.col("duration_ms").isNotNull()).join(genre_bridge(m), "artist_id")
+    rows = (track_artist(m, "duration_ms").filter(F.col("duration_ms").isNotNull())
+            .join(genre_bridge(m), "artist_id")
             .select("title", F.col("name").alias("artist"), "genre",
                     F.col("duration_ms").alias("length")))
     return grouped_rank(rows, ["genre"], [("length", False)], "length_percent_rank", "percent_rank")
@@ -380,12 +386,12 @@ def top_track_per_month(m: Model) -> DataFrame:
 
 
 def _repeat_stats(m: Model) -> DataFrame:
-    """Per (title, artist): number of play-days and total plays."""
+    """Per (title, artist): number of play-days and total plays; stored, as ranking reads it twice."""
     per_track = m.plays.groupBy("track_id").agg(F.count(F.lit(1)).alias("days"),
                                                  F.sum("play_count").alias("plays"))
-    return (per_track.join(track_artist(m), "track_id")
-            .groupBy("title", F.col("name").alias("artist"))
-            .agg(F.sum("days").alias("days_played"), F.sum("plays").alias("_plays")))
+    return cut_lineage(per_track.join(track_artist(m), "track_id")
+                       .groupBy("title", F.col("name").alias("artist"))
+                       .agg(F.sum("days").alias("days_played"), F.sum("plays").alias("_plays")))
 
 
 def most_repeated_tracks(m: Model) -> DataFrame:
@@ -412,8 +418,8 @@ def most_repeated_tracks_min_days(m: Model, min_days: int = 30) -> DataFrame:
 def artist_discovery(m: Model) -> DataFrame:
     """First listen per artist, ranked newest first."""
     per_track = m.plays.groupBy("track_id").agg(F.min("played_at").alias("first_listen"))
-    first = (per_track.join(track_artist(m), "track_id")
-             .groupBy(F.col("name").alias("artist")).agg(F.min("first_listen").alias("first_listen")))
+    first = cut_lineage(per_track.join(track_artist(m), "track_id").groupBy(F.col("name").alias("artist"))
+                        .agg(F.min("first_listen").alias("first_listen")))
     return global_rank(first, [("first_listen", False)], "rank").select(
         "artist", "first_listen", "rank")
 

@@ -146,6 +146,15 @@ def _q_similar(spark, sf_dir):
     return _rounded(RC.similar_to_most_played(_m(spark, sf_dir), n=10), ["cosine_similarity"], 9)
 
 
+@register("similar_tracks_named")
+def _q_similar_named(spark, sf_dir):
+    """S1 as the statement has it, by title and artist: those of the first track by title."""
+    m = _m(spark, sf_dir)
+    first = (FT.track_features(m).filter(F.col("total_plays") >= 2).orderBy("title", "track_id")
+             .select("title", "artist").first())
+    return _rounded(RC.similar_tracks(m, first["title"], first["artist"], n=10), ["cosine_similarity"], 9)
+
+
 @register("recommend_by_feature")
 def _q_rec_feature(spark, sf_dir):
     fm = FT.feature_matrix(_m(spark, sf_dir), with_vector=False)
@@ -306,6 +315,28 @@ def _q_tag_bridge(spark, sf_dir):
     return EN.tag_bridge(lk, EN.explode_tags(lk))
 
 
+@register("load_enrich_report")
+def _q_load_enrich_report(spark, sf_dir):
+    """Load the export, apply the lookups, run R16 and R17 on the loaded tables."""
+    import uuid
+    from playstats.session import ensure_checkpoint_dir
+    from playstats.sources.readers import read_model
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-loaded/{uuid.uuid4().hex}"
+    IG.write_tables(_history(spark, sf_dir), f"{root}/loaded")
+    loaded = read_model(spark, f"{root}/loaded")
+    supplier = fixtures.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("long").alias("_key"), F.col("s_name").alias("name"))
+    landed = (DV.landed_lookups(spark, sf_dir).withColumnRenamed("artist_id", "_key").join(supplier, "_key")
+              .join(loaded.artists.select("artist_id", "name"), "name").select("artist_id", "body"))
+    tables = {k: v for k, v in vars(loaded).items() if v is not None}
+    IG.write_tables(EN.enrich_tables(tables, landed), f"{root}/enriched")
+    m = read_model(spark, f"{root}/enriched")
+    rate = R.genre_match_rate(m).select(F.lit("match_rate").alias("report"), F.lit("artists").alias("item"),
+                                        F.col("mb_match").cast("long").alias("value"))
+    return rate.unionByName(R.top_genres_by_plays(m, n=20).select(
+        F.lit("genre_plays").alias("report"), F.col("genre").alias("item"), F.col("plays").alias("value")))
+
+
 # ---- layout, clusters, labels, recommendations over the layout
 from playstats.operators import clusters as CL  # noqa: E402
 from playstats.operators.layout import pca_layout  # noqa: E402
@@ -336,10 +367,24 @@ def _q_cluster_summary(spark, sf_dir):
     return CL.cluster_summary(fixtures.table(spark, sf_dir, "embeddings"), "label")
 
 
+def behaviour_groups(fm: DataFrame) -> DataFrame:
+    """A SQL-expressible segmentation of the feature matrix, used to check the labeller.
+
+    cluster = 4 * (affinity tier index) + (listening pattern index); tracks with a
+    high skip rate form the noise group -1.
+    """
+    aff = (F.when(F.col("affinity_loved") == 1, 0).when(F.col("affinity_liked") == 1, 1)
+           .when(F.col("affinity_casual") == 1, 2).otherwise(3))
+    pat = (F.when(F.col("pattern_long_term") == 1, 0).when(F.col("pattern_regular") == 1, 1)
+           .when(F.col("pattern_occasional") == 1, 2).otherwise(3))
+    return fm.withColumn("cluster", F.when(F.col("skip_high") == 1, F.lit(-1))
+                         .otherwise(aff * 4 + pat).cast("int"))
+
+
 @register("label_clusters")
 def _q_label_clusters(spark, sf_dir):
     fm = FT.feature_matrix(_m(spark, sf_dir), with_vector=False)
-    return CL.label_clusters(RC.behaviour_groups(fm), "cluster")
+    return CL.label_clusters(behaviour_groups(fm), "cluster")
 
 
 @register("silhouette")
@@ -355,8 +400,7 @@ def _q_rec_position(spark, sf_dir):
 
 @register("recommend_for_random")
 def _q_rec_random(spark, sf_dir):
-    frame = CL.density_clusters(_layout(spark, sf_dir), "x", "y", min_cluster_size=20)
-    return RC.recommend_for_random(frame.drop("features"), n=5, seed=42)
+    return RC.recommend_for_random(RC.cluster_tracks(_m(spark, sf_dir)).drop("features"), n=5, seed=42)
 
 
 # ---- streaming: replay the derived export as drops through ST1 and ST2
@@ -367,5 +411,21 @@ def _q_stream_monthly(spark, sf_dir):
     from playstats.streaming.plays_stream import stream_monthly_from_export
     run = uuid.uuid4().hex
     work = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-stream/{run}"
-    return stream_monthly_from_export(spark, DV.raw_play_export(spark, sf_dir), work,
-                                      query_name=f"monthly_plays_{run}")
+    return stream_monthly_from_export(spark, DV.raw_play_export(spark, sf_dir), work)
+
+
+@register("stream_after_batch_load")
+def _q_stream_after_batch(spark, sf_dir):
+    """Batch-load the first years of the export, stream the rest, send a drop again."""
+    import uuid
+    from playstats.session import ensure_checkpoint_dir
+    from playstats.sources.readers import read_model
+    from playstats.streaming import plays_stream as ST
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-stream/{uuid.uuid4().hex}"
+    raw = DV.raw_play_export(spark, sf_dir)
+    early = F.coalesce(F.substring("Date Played", 1, 4) < "1998", F.lit(False))
+    IG.write_tables(IG.load_play_history(raw.filter(early)), f"{root}/tables")
+    for i in range(2):      # the second run gets the same rows as new files
+        drops = ST.replay_as_drops(raw.filter(~early), f"{root}/{i}")
+        ST.ingest_plays_stream(spark, drops, f"{root}/tables", f"{root}/ck{i}").awaitTermination()
+    return R.plays_per_month(read_model(spark, f"{root}/tables"))

@@ -44,12 +44,28 @@ def test_density_clusters_independent_of_partitioning(spark):
     assert a == b
 
 
-def test_connected_components_chain(spark):
-    n = 40
-    nodes = spark.createDataFrame([(i,) for i in range(n)], "id long")
-    edges = spark.createDataFrame([(i, i + 1) for i in range(n - 1) if i != 19], "src long, dst long")
-    comp = {r.id: r.component for r in CL.connected_components(nodes, edges).collect()}
-    assert {comp[i] for i in range(20)} == {0} and {comp[i] for i in range(20, 40)} == {20}
+def test_unequal_density_is_separated(spark):
+    """A tight blob, a wide one, a bridge-free gap and thin background noise."""
+    rnd = random.Random(4)
+    pts = [(rnd.gauss(0, 0.2), rnd.gauss(0, 0.2), 0) for _ in range(600)]
+    pts += [(rnd.gauss(8, 1.2), rnd.gauss(0, 1.2), 1) for _ in range(600)]
+    pts += [(rnd.uniform(-10, 20), rnd.uniform(-15, 15), -1) for _ in range(60)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "id long, x double, y double, truth int")
+    seen = Counter((r.truth, r.cluster) for r in CL.density_clusters(df, min_cluster_size=60).collect())
+    tight = max((n, c) for (t, c), n in seen.items() if t == 0)[1]
+    wide = max((n, c) for (t, c), n in seen.items() if t == 1)[1]
+    assert tight != wide and CL.NOISE not in (tight, wide)
+    assert seen[0, tight] >= 560 and seen[1, wide] >= 400 and seen[-1, CL.NOISE] >= 25
+
+
+def test_cell_clusters_choose_by_stability():
+    peak = {(x, 0): n for x, n in enumerate([30, 50, 30, 2, 30, 50, 30])}
+    two = CL.cell_clusters(peak, 20)
+    assert two[1, 0] != two[5, 0] and (3, 0) not in two
+    flat = {(x, 0): n for x, n in enumerate([30, 31, 30, 29, 30, 31, 30])}
+    assert len(set(CL.cell_clusters(flat, 100).values())) == 1
+    assert CL.cell_clusters({(0, 0): 5, (9, 9): 7}, 20) == {}
+    assert CL.cell_clusters({}, 20) == {}
 
 
 def _frame(spark, rows):
@@ -124,59 +140,19 @@ def test_pca_layout_matches_numpy(spark, small_model):
         assert abs(laid[tid][0] - x) < 1e-6 and abs(laid[tid][1] - y) < 1e-6
 
 
-def _grid_clusters_brute_force(points, min_cluster_size=20, relative_density=0.5):
-    """Plain-Python version of the grid density rule, for checking the Spark job."""
-    import math
-    n = len(points)
-    xs = [p[1] for p in points]
-    ys = [p[2] for p in points]
-    var = lambda v: sum((a - sum(v) / n) ** 2 for a in v) / n
-    h = math.sqrt((var(xs) + var(ys)) / 2.0) * n ** (-1.0 / 6.0)
-    h = h if h > 0 else 1.0
-    cell = {p[0]: (math.floor(p[1] / h), math.floor(p[2] / h)) for p in points}
-    counts = Counter(cell.values())
-    thr = max(max(2, min_cluster_size // 4), relative_density * n / len(counts))
-    dense = {c for c, k in counts.items() if k >= thr}
-    parent = {c: c for c in dense}
-
-    def find(c):
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
-        return c
-    for (cx, cy) in dense:
-        for dx in (-1, 0, 1):
-            for dy in (-1, 0, 1):
-                o = (cx + dx, cy + dy)
-                if o in dense:
-                    ra, rb = find((cx, cy)), find(o)
-                    if ra != rb:
-                        parent[max(ra, rb)] = min(ra, rb)
-    comps = {}
-    for c in dense:
-        comps.setdefault(find(c), []).append(c)
-    big = [(sum(counts[c] for c in cs), min(cs), cs) for cs in comps.values()]
-    big = sorted((b for b in big if b[0] >= min_cluster_size), key=lambda b: (-b[0], b[1]))
-    cluster_of = {c: i for i, (_, _, cs) in enumerate(big) for c in cs}
-    for c in counts:
-        if c not in dense:
-            near = [cluster_of[(c[0] + dx, c[1] + dy)] for dx in (-1, 0, 1) for dy in (-1, 0, 1)
-                    if (c[0] + dx, c[1] + dy) in cluster_of and (c[0] + dx, c[1] + dy) in dense]
-            if near:
-                cluster_of[c] = min(near)
-    return {pid: cluster_of.get(cell[pid], CL.NOISE) for pid in cell}
-
-
-def test_density_clusters_match_brute_force(spark, small_model):
+def test_points_get_the_cluster_of_their_cell(spark, small_model):
+    import numpy as np
     from playstats.operators.layout import pca_layout
     from playstats.plans.features import feature_matrix
-    blobs = [(r.id, r.x, r.y) for r in _blobs(spark).collect()]
-    got = {r.id: r.cluster for r in CL.density_clusters(_blobs(spark)).collect()}
-    assert got == _grid_clusters_brute_force(blobs)
     laid = pca_layout(feature_matrix(small_model)).select("track_id", "x", "y")
-    pts = [(r.track_id, r.x, r.y) for r in laid.collect()]
-    got = {r.track_id: r.cluster for r in CL.density_clusters(laid).collect()}
-    assert got == _grid_clusters_brute_force(pts)
+    got = {r.track_id: (r.x, r.y, r.cluster) for r in CL.density_clusters(laid).collect()}
+    xy = np.array([v[:2] for v in got.values()])
+    sigma = np.sqrt((xy.var(axis=0)).mean())
+    side = max(sigma * len(xy) ** -0.25, 2 * CL.REACH * sigma / CL.GRID)
+    cell = np.clip(np.floor((xy - xy.mean(axis=0)) / side) + CL.GRID // 2, 0, CL.GRID - 1).astype(int)
+    want = CL.cell_clusters(Counter(map(tuple, cell.tolist())), 20)
+    agree = [want.get(tuple(c), CL.NOISE) == v[2] for c, v in zip(cell.tolist(), got.values())]
+    assert np.mean(agree) >= 0.99     # a point on an edge may fall either way
 
 
 def test_recommendations_match_brute_force(spark, small_model):
