@@ -22,6 +22,8 @@ LOOKUP_SCHEMA = T.StructType([
 ])
 
 STATUS_OK, STATUS_NO_MATCH, STATUS_ERROR = "ok", "no_match", "error"
+BATCH = "batch"          # optional: number of the append that wrote a lookup
+_BAD = "_corrupt"
 
 
 def parse_lookup(landed: DataFrame) -> DataFrame:
@@ -32,10 +34,11 @@ def parse_lookup(landed: DataFrame) -> DataFrame:
     values (the reference stores failures like empty results; the status lets a
     later run retry exactly those).
     """
-    # A truncated body still parses PERMISSIVE into an all-NULL struct, so validity
-    # is decided by try_parse_json (NULL exactly when the text is not JSON).
-    parsed = landed.withColumn("_j", F.from_json("body", LOOKUP_SCHEMA, {"mode": "PERMISSIVE"}))
-    valid = F.try_parse_json(F.col("body")).isNotNull()
+    # One parse: a body that is not JSON leaves its text in the corrupt-record field.
+    schema = T.StructType([*LOOKUP_SCHEMA.fields, T.StructField(_BAD, T.StringType())])
+    parsed = landed.withColumn("_j", F.from_json("body", schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}))
+    valid = F.col("body").isNotNull() & F.col(f"_j.{_BAD}").isNull() & (F.trim("body") != "")
     hit = F.get(F.col("_j.artists"), 0)
     tags = F.coalesce(F.transform(hit.getField("tags"), lambda t: t.getField("name")),
                       F.array().cast("array<string>"))
@@ -45,12 +48,21 @@ def parse_lookup(landed: DataFrame) -> DataFrame:
         F.when(valid, tags).otherwise(F.array().cast("array<string>")).alias("tags"),
         F.when(valid, hit.getField("country")).alias("country"),
         F.when(~valid, F.lit(STATUS_ERROR))
-        .when(hit.isNull(), F.lit(STATUS_NO_MATCH)).otherwise(F.lit(STATUS_OK)).alias("status"))
+        .when(hit.isNull(), F.lit(STATUS_NO_MATCH)).otherwise(F.lit(STATUS_OK)).alias("status"),
+        *[F.col(c) for c in landed.columns if c == BATCH])
 
 
 def processed(lookups: DataFrame) -> DataFrame:
-    """Lookups that count as done (errors are retried, D12)."""
-    return lookups.filter(F.col("status") != STATUS_ERROR)
+    """One lookup an artist that counts as done (errors are retried, D12).
+
+    Of several, the one of the latest batch; without a batch column, or within one batch,
+    the largest (mbid, country, tags), so reruns agree.
+    """
+    done = lookups.filter(F.col("status") != STATUS_ERROR)
+    batch = F.col(BATCH).cast("long") if BATCH in lookups.columns else F.lit(0).cast("long")
+    last = F.max(F.struct(batch.alias("b"), "mbid", "country", "tags", "status")).alias("_last")
+    return done.groupBy("artist_id").agg(last).select(
+        "artist_id", "_last.mbid", "_last.tags", "_last.country", "_last.status")
 
 
 def pending_artists(artists: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -59,22 +71,49 @@ def pending_artists(artists: DataFrame, lookups: DataFrame) -> DataFrame:
     return artists.join(done, "artist_id", "left_anti")
 
 
-def append_checkpoint(batch: DataFrame, path: str) -> None:
-    """Append one processed batch to the lookup-results table (the resume state)."""
-    batch.write.mode("append").parquet(path)
+def append_checkpoint(batch: DataFrame, path: str, number: int | None = None) -> None:
+    """Append one processed batch to the lookup-results table (the resume state).
+
+    ``number`` orders the appends; a later lookup of an artist replaces an earlier one.
+    """
+    out = batch if number is None else batch.withColumn(BATCH, F.lit(number).cast("long"))
+    out.write.mode("append").parquet(path)
 
 
 def apply_enrichment(artists: DataFrame, lookups: DataFrame) -> DataFrame:
-    """E5: UPDATE artists SET mbid, country for every processed id (NULLs included)."""
-    done = (processed(lookups).select("artist_id", F.col("mbid").alias("_mbid"),
-                                      F.col("country").alias("_country"), F.lit(True).alias("_hit"))
-            .dropDuplicates(["artist_id"]))
+    """E5: UPDATE artists SET mbid, country for every processed id (NULLs included).
+
+    Both columns are always in the result, NULL where nothing is known.
+    """
+    done = processed(lookups).select("artist_id", F.col("mbid").alias("_mbid"),
+                                     F.col("country").alias("_country"), F.lit(True).alias("_hit"))
+    none = F.lit(None).cast("string")
+    have = {c: F.col(c) if c in artists.columns else none for c in ("mbid", "country")}
     j = artists.join(done, "artist_id", "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    return j.select(*[F.when(hit, F.col("_mbid")).otherwise(F.col("mbid")).alias("mbid") if c == "mbid"
-                      else F.when(hit, F.col("_country")).otherwise(F.col("country")).alias("country")
-                      if c == "country" else F.col(c)
-                      for c in artists.columns])
+    new = {c: F.when(hit, F.col(f"_{c}")).otherwise(have[c]).alias(c) for c in have}
+    return j.select(*[new.get(c, F.col(c)) for c in artists.columns],
+                    *[new[c] for c in new if c not in artists.columns])
+
+
+def enrich_tables(tables: dict[str, DataFrame], landed: DataFrame) -> dict[str, DataFrame]:
+    """The enrichment run over loaded tables: artists updated, genres and bridge from the tags.
+
+    Names that ``genres`` holds already keep their ids, new ones are numbered after them.
+    """
+    lookups = parse_lookup(landed)
+    genres, bridge = tables.get("genres"), tables.get("artist_genres")
+    tags = explode_tags(lookups)
+    if genres is not None:
+        last = genres.agg(F.coalesce(F.max("genre_id"), F.lit(0)).alias("_last"))   # one row
+        fresh = dense_index(tags.join(genres.select("name"), "name", "left_anti"), ["name"], "_n")
+        tags = genres.select("genre_id", "name").unionByName(
+            fresh.crossJoin(F.broadcast(last)).select((F.col("_last") + F.col("_n")).alias("genre_id"), "name"))
+    pairs = tag_bridge(lookups, tags)
+    if bridge is not None:
+        pairs = bridge.select("artist_id", "genre_id").unionByName(pairs).distinct()
+    return {**tables, "artists": apply_enrichment(tables["artists"], lookups), "genres": tags,
+            "artist_genres": pairs}
 
 
 def explode_tags(lookups: DataFrame) -> DataFrame:

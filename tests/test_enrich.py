@@ -50,3 +50,21 @@ def test_checkpoint_append_resumes(spark, tmp_path):
     EN.append_checkpoint(lk.filter("artist_id > 2"), path)
     back = spark.read.parquet(path)
     assert back.count() == 5
+
+
+def test_latest_lookup_wins_and_columns_are_added(spark):
+    lk = spark.createDataFrame([(1, "m1", ["a"], "IE", "ok", 1), (1, "m2", ["b"], None, "ok", 2), (1, None, [], None, "error", 3)],
+                               "artist_id long, mbid string, tags array<string>, country string, status string, batch int")
+    artists = spark.createDataFrame([(1, "A"), (2, "B")], "artist_id long, name string")
+    assert rows(EN.apply_enrichment(artists, lk)) == [(1, "A", "m2", None), (2, "B", None, None)]
+    assert rows(EN.explode_tags(lk)) == [(1, "b")]
+
+
+def test_enriched_tables_keep_known_genres(spark, tmp_path):
+    tables = {"artists": spark.createDataFrame([(3, "C")], "artist_id long, name string"),
+              "genres": spark.createDataFrame([(7, "pop")], "genre_id long, name string"),
+              "artist_genres": spark.createDataFrame([(3, 7)], "artist_id long, genre_id long")}
+    out = EN.enrich_tables(tables, _landed(spark, tmp_path))
+    assert rows(out["genres"]) == [(7, "pop"), (8, "folk")]
+    assert rows(out["artist_genres"]) == [(3, 7), (3, 8)]
+    assert rows(out["artists"]) == [(3, "C", "m3", "IE")]
