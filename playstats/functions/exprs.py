@@ -10,11 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "num_round", "to_double_round", "int_div", "month_name_padded", "year_month",
-    "month_start", "safe_ratio", "affinity_tier", "skip_behavior", "listening_pattern",
+    "num_round", "int_div", "month_name_padded", "year_month",
+    "month_start", "affinity_tier", "skip_behavior", "listening_pattern",
     "one_hot", "seconds_between", "ntz_literal", "AFFINITY_LABELS", "SKIP_LABELS", "PATTERN_LABELS", "col_or_name",
 ]
 
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September",
+          "October", "November", "December")
+
 # Tier labels and thresholds used by the feature views.
 AFFINITY_LABELS = ("loved", "liked", "casual fan", "tried")  # >=20, >=10, >=3, else
 SKIP_LABELS = ("high skip", "moderate skip", "never skipped", "low skip")  # >50, >30, =0, else
@@ -35,11 +38,6 @@ def num_round(c, digits: int) -> Column:
     return F.round(col_or_name(c).cast("decimal(38,10)"), digits).cast("double")
 
 
-def to_double_round(c, digits: int = 6) -> Column:
-    """Round a double for stable comparison output."""
-    return F.round(col_or_name(c).cast("double"), digits)
-
-
 def int_div(a: str, b: str) -> Column:
     """Integer division (``/`` on two integers in PostgreSQL), truncating toward zero.
 
@@ -64,24 +62,20 @@ def seconds_between(start: str, end: str) -> Column:
 
 
 def month_start(ts) -> Column:
-    """``date_trunc('month', ts)`` keeping timestamp_ntz."""
-    return F.date_trunc("month", col_or_name(ts)).cast("timestamp_ntz")
+    """``date_trunc('month', ts)`` of a timestamp_ntz, by way of a date (no time zone)."""
+    return F.trunc(col_or_name(ts).cast("date"), "month").cast("timestamp_ntz")
 
 
 def month_name_padded(ts) -> Column:
     """``to_char(ts, 'Month')``: English month name blank-padded to 9 characters."""
-    return F.rpad(F.date_format(col_or_name(ts), "MMMM"), 9, " ")
+    months = F.array(*[F.lit(m.ljust(9)) for m in MONTHS])
+    day = col_or_name(ts).cast("date")
+    return F.when(day.isNotNull(), F.element_at(months, F.month(day)))
 
 
 def year_month(ts) -> Column:
     """``to_char(ts, 'YYYY-MM')``."""
-    return F.date_format(col_or_name(ts), "yyyy-MM")
-
-
-def safe_ratio(num, den) -> Column:
-    """num / nullif(den, 0) as double."""
-    d = col_or_name(den).cast("double")
-    return col_or_name(num).cast("double") / F.when(d != 0, d)
+    return F.substring(col_or_name(ts).cast("date").cast("string"), 1, 7)
 
 
 def affinity_tier(total_plays) -> Column:

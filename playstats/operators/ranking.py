@@ -93,17 +93,24 @@ def grouped_rank(df: DataFrame, groups: list[str], order: list[tuple[str, bool]]
     ``order`` is a list of (column, ascending). Ties share a number, as in SQL.
     ``groups=[]`` ranks the whole frame.
     """
-    if method not in ("rank", "dense_rank", "percent_rank"):
-        raise ValueError(method)
+    return grouped_ranks(df, groups, order, {out: method}, nulls_first, num_partitions)
+
+
+def grouped_ranks(df: DataFrame, groups: list[str], order: list[tuple[str, bool]], outs: dict[str, str],
+                  nulls_first: bool | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Several rank columns (name -> method) from one numbering of the distinct keys.
+
+    ``df`` is read twice (its keys, and the rows the ranks are joined to); a caller whose
+    ``df`` is costly stores it first.
+    """
+    if not set(outs.values()) <= {"rank", "dense_rank", "percent_rank"}:
+        raise ValueError(outs)
     names = [c for c, _ in order]
     sort = [_sort_col(c, asc, nulls_first) for c, asc in order]
     keys = df.groupBy(*groups, *names).agg(F.count(F.lit(1)).alias("_kn"))
     numbered = _number_distinct(keys, list(groups), sort, "_kn", num_partitions)
-    if method == "dense_rank":
-        value = F.col("_pos").cast("long")
-    else:
-        value = (F.col("_before") + 1).cast("long")
-    if method == "percent_rank":
+    values = {"dense_rank": F.col("_pos").cast("long"), "rank": (F.col("_before") + 1).cast("long")}
+    if "percent_rank" in outs.values():
         sizes = keys.groupBy(*groups).agg(F.sum("_kn").alias("_gn"))
         if groups:
             sizes = sizes.select(*[F.col(g).alias(f"_s_{g}") for g in groups], "_gn")
@@ -114,10 +121,11 @@ def grouped_rank(df: DataFrame, groups: list[str], order: list[tuple[str, bool]]
             numbered = numbered.join(sizes, scond, "left").drop(*[f"_s_{g}" for g in groups])
         else:
             numbered = numbered.crossJoin(F.broadcast(sizes))  # one row
-        value = F.when(F.col("_gn") > 1, (F.col("_before")).cast("double") / (F.col("_gn") - 1)) \
+        values["percent_rank"] = F.when(F.col("_gn") > 1, F.col("_before").cast("double") / (F.col("_gn") - 1)) \
             .otherwise(F.lit(0.0))
     key_cols = [*groups, *names]
-    numbered = numbered.select(*[F.col(c).alias(f"_k_{c}") for c in key_cols], value.alias(out))
+    numbered = numbered.select(*[F.col(c).alias(f"_k_{c}") for c in key_cols],
+                               *[values[method].alias(out) for out, method in outs.items()])
     cond = None
     for c in key_cols:
         e = df[c].eqNullSafe(numbered[f"_k_{c}"])

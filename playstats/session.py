@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,7 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             # a machine-local folder would not be visible to other executors
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
                                "for iterative and materialising jobs")
@@ -87,11 +88,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Used by the iterative operators so that lost executors recompute from the
-    last written state instead of the whole loop.
+    Used where a frame is read more than once or a loop needs its last state: lost
+    executors re-read files instead of recomputing, and later reads prune columns.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/playstats-stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

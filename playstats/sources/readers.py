@@ -1,12 +1,15 @@
 """Readers for the raw inputs: daily play export, song catalog, landed lookups.
 
 CSV files are read with every column as string and then selected **by name** and
-cast, so extra or reordered export columns do not matter. No schema inference
-(that would need an extra pass over the files).
+cast, so extra or reordered export columns do not matter, also between the files of one
+folder: files are grouped by their header line and each group is read with its own header.
+No schema inference (that would need an extra pass over the files).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,17 +42,72 @@ def _select_cast(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in columns.items()])
 
 
+HEADER_FILES = 1000   # up to so many files of a folder have their header lines read by the driver
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.globStatus(p) or []:
+        walk = fs.listFiles(st.getPath(), True)
+        while walk.hasNext():
+            f = walk.next().getPath()
+            if not f.getName().startswith(("_", ".")):
+                out.append(f.toString())
+                if len(out) > HEADER_FILES:
+                    return out
+    return out
+
+
+def _header(spark: SparkSession, file: str) -> str:
+    """The first line of a file (one short read, nothing more of it)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(file)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    try:
+        text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+        return (jvm.java.io.BufferedReader(text).readLine() or "").lstrip("\ufeff")
+    finally:
+        stream.close()
+
+
+def _read_csv(spark: SparkSession, path: str, columns: dict[str, str], **options) -> DataFrame:
+    """CSV files of one path, selected by name; files with different headers are read apart.
+
+    In a folder of more than ``HEADER_FILES`` files all must have one header; Spark compares
+    each with it (``enforceSchema=False``) and fails on a difference rather than mixing columns.
+    """
+    reader = lambda: (spark.read.option("header", True).option("inferSchema", False)
+                      .option("enforceSchema", False).options(**options))
+    files = _files(spark, path)
+    if len(files) > HEADER_FILES:
+        return _select_cast(reader().csv(path), columns)
+    by_header: dict[str, list[str]] = {}
+    for f in files:
+        by_header.setdefault(_header(spark, f), []).append(f)
+    by_header.pop("", None)          # empty files
+    if not by_header:
+        return spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in columns.items()))
+    parts = [_select_cast(reader().csv(fs), columns) for _, fs in sorted(by_header.items())]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def read_play_history(spark: SparkSession, path: str) -> DataFrame:
     """The daily play export (CSV with header)."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return _select_cast(raw, PLAY_EXPORT_COLUMNS)
+    return _read_csv(spark, path, PLAY_EXPORT_COLUMNS)
 
 
-def read_song_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """The song catalog (CSV with header; quoted fields may span lines)."""
-    raw = (spark.read.option("header", True).option("multiLine", True)
-           .option("escape", '"').option("inferSchema", False).csv(path))
-    return _select_cast(raw, CATALOG_COLUMNS)
+def read_song_catalog(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """The song catalog (CSV with header).
+
+    ``multi_line`` allows line breaks inside quoted fields; each file is then read by one
+    task, so a large catalog with such fields should arrive as many files, or as Parquet.
+    """
+    return _read_csv(spark, path, CATALOG_COLUMNS, escape='"', multiLine=multi_line)
 
 
 def read_lookup_responses(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

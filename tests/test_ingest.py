@@ -94,6 +94,32 @@ def test_write_tables_round_trip(spark, tmp_path):
     assert back.count() == 1 and "play_year" in back.columns
 
 
+def test_headers_in_different_order(spark, tmp_path):
+    folder = tmp_path / "exports"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Track Description,Date Played,Play Duration Milliseconds,Play Count,Skip Count\nA - x,20240301,1000,2,0\n")
+    (folder / "b.csv").write_text("Skip Count,Play Count,Date Played,Extra,Track Description,Play Duration Milliseconds\n7,9,20240302,z,B - y,500\n")
+    got = rows(readers.read_play_history(spark, str(folder)))
+    assert got == [("A - x", "20240301", 1000, 2, 0), ("B - y", "20240302", 500, 9, 7)]
+
+
+def test_days_do_not_depend_on_the_time_zone(spark):
+    from playstats.functions.exprs import month_name_padded, month_start, year_month
+    df = spark.createDataFrame([("20181104",), ("20171001",), ("20241301",), ("x",), (None,)], "d string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    seen = set()
+    try:
+        for zone in ("UTC", "America/Sao_Paulo", "America/Asuncion"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            out = df.select(IG.parse_compact_date("d").alias("t")).select(
+                F.col("t").cast("string"), month_start("t").cast("string"), month_name_padded("t"), year_month("t"))
+            seen.add(tuple(map(tuple, out.collect())))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    (only,) = seen
+    assert only[0] == ("2018-11-04 00:00:00", "2018-11-01 00:00:00", "November ", "2018-11") and only[3] == (None,) * 4
+
+
 def test_catalog_reader_quoted_multiline_and_bad_numbers(spark, tmp_path):
     header = ("extra,track_name,track_artist,track_album_name,track_album_release_date,duration_ms,"
               "playlist_genre,playlist_subgenre,danceability,energy,speechiness,acousticness,valence,tempo")
@@ -101,7 +127,7 @@ def test_catalog_reader_quoted_multiline_and_bad_numbers(spark, tmp_path):
             'x,Plain,Beta,Alb,2012,notanumber,rock,rock,0.1,0.2,0.3,0.4,0.5,100\n')
     p = tmp_path / "cat.csv"
     p.write_text(header + "\n" + body)
-    cat = readers.read_song_catalog(spark, str(p))
+    cat = readers.read_song_catalog(spark, str(p), multi_line=True)
     got = {r.track_artist: (r.track_name, r.track_album_name, r.duration_ms) for r in cat.collect()}
     assert got["Alpha"] == ("Line one\nline two", 'Alb, "deluxe"', 1000)
     assert got["Beta"] == ("Plain", "Alb", None)      # malformed number -> NULL, row kept
