@@ -31,3 +31,30 @@ ranked AS (
          vec_id, score FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
 }
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Every pair of documents with a common shingle is compared; components by transitive closure.
+ORACLE["op7_minhash_near_dedup"] = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded),
+classes AS (
+  SELECT md5(array_to_string(list_sort(s), chr(10))) AS k, min(doc_id) AS node, any_value(s) AS s
+  FROM sets WHERE len(s) > 0 GROUP BY 1),
+parts AS (SELECT node, len(s) AS n, unnest(s) AS g FROM classes),
+links AS (
+  SELECT a.node AS x, b.node AS y FROM parts a JOIN parts b ON a.g = b.g AND a.node < b.node
+  GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(node, other) AS (
+  SELECT node, node FROM classes
+  UNION SELECT r.node, b.y FROM reach r JOIN both_ways b ON b.x = r.other),
+component AS (SELECT node, min(other) AS c FROM reach GROUP BY node)
+SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id,
+       coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM sets d LEFT JOIN classes k ON len(d.s) > 0 AND k.k = md5(array_to_string(list_sort(d.s), chr(10)))
+LEFT JOIN component m ON m.node = k.node"""
