@@ -6,13 +6,16 @@ and canonical-link edges join addresses to components, and a block inside a comp
 reaches the members that no rule covers, unless the component also holds an explicit allow,
 which takes precedence. All else is allowed.
 
-Edges of a page: its address to the target of ``<link rel="canonical">``, to the target of a
-``<meta http-equiv="refresh">`` redirect, and to its canonical form (scheme, ``www.``/``m.``
-labels, fragment, tracking parameters, a closing ``/``, ``index`` page or ``.html`` are
-dropped); a table of observed redirects (``from_url``, ``to_url``) may be given too.
+Edges of a page: its address to the target of ``<link rel="canonical">`` and to the target of a
+``<meta http-equiv="refresh">`` redirect; a table of observed redirects (``from_url``, ``to_url``)
+may be given too. Targets are unescaped (HTML character references) and resolved against the page's
+``<base>`` or address, ``to_url`` against ``from_url``: scheme-, root- and path-relative ones and
+dot segments. Every end of an edge is joined to its canonical form (scheme, ``www.``/``m.`` labels,
+fragment, tracking parameters, dot segments, a closing ``/``, ``index`` page or ``.html`` are dropped).
 
 Defined results. A null address, or one without ``://``, has an empty host and path, fits
-no rule, has no edges and is allowed; a null page has no links. Repeated rows are judged
+no rule, has no edges and is allowed; a null page has no links, and a target that is no address
+with ``://`` once resolved (``mailto:``, an empty one) is no edge. Repeated rows are judged
 alike. An empty table gives an empty result. Input columns named like the output
 columns are replaced. Everything is DataFrame operations. Nodes are 128-bit MD5 values, so
 long addresses do not travel; the component table has a row for each address with an edge.
@@ -20,6 +23,8 @@ long addresses do not travel; the component table has a row for each address wit
 
 from __future__ import annotations
 
+import html
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -46,8 +51,13 @@ RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
 MAX_RULES = 500
 OUT = ("host", "path", "rule", "verdict")
 
-_CANONICAL = (r"(?is)<link\s[^>]*?rel\s*=\s*[\"']?canonical[\"']?[^>]*>", r"(?is)href\s*=\s*[\"']?([^\"'\s>]+)")
+_HREF = r"(?is)(?<![\w-])href\s*=\s*[\"']?([^\"'\s>]+)"
+_BASE = (r"(?is)<base\s[^>]*>", _HREF)
+_CANONICAL = (r"(?is)<link\s[^>]*?rel\s*=\s*[\"']?canonical[\"']?[^>]*>", _HREF)
 _REFRESH = (r"(?is)<meta\s[^>]*?http-equiv\s*=\s*[\"']?refresh[\"']?[^>]*>", r"(?is)url\s*=\s*[\"']?([^\"'\s>]+)")
+# character references by name, and those numbers that HTML reads as Windows-1252
+_NAMED = json.dumps(html.entities.html5 | {f"#{n}": html.unescape(f"&#{n};") for n in range(128, 160)})
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:"
 _TRACKING = r"(?i)(?<=[?&])(utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&#]*&?"
 
 
@@ -65,12 +75,78 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, with ``value`` evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _unescape(text: Column) -> Column:
+    """``text`` (an attribute's value) with its character references replaced."""
+    table = F.from_json(F.lit(_NAMED), "map<string,string>")
+
+    def piece(x: Column) -> Column:
+        """What follows an ``&``; a name without ``;`` counts if neither ``=`` nor a letter follows."""
+        name = F.regexp_extract(x, r"^([A-Za-z][A-Za-z0-9]*(;|(?!=)))", 1)
+        number = F.regexp_extract(x, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 1)
+        digits = F.ltrim(F.regexp_replace(number, "^[xX]", ""), F.lit("0"))
+        code = F.when(F.length(digits) > 8, F.lit(0)).otherwise(F.coalesce(F.when(
+            F.rlike(number, F.lit("^[xX]")), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long"), F.lit(0)))
+        char = _let(code, lambda c: F.when(
+            (c == 0) | (c > 0x10FFFF) | c.between(0xD800, 0xDFFF), "\ufffd").otherwise(F.coalesce(
+                F.try_element_at(table, F.concat(F.lit("#"), c.cast("string"))),
+                F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"))))
+        named = F.concat(F.try_element_at(table, name), F.substr(x, F.length(name) + 1))
+        return F.coalesce(
+            F.when(number != "", F.concat(char, F.regexp_replace(x, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", ""))),
+            F.when(name != "", named), F.concat(F.lit("&"), x))
+
+    def joined(parts: Column) -> Column:
+        return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+
+    return F.when(F.instr(text, "&") > 0, _let(F.split(text, "&"), joined)).otherwise(text)
+
+
+def _without_dots(path: Column) -> Column:
+    """``path`` with its ``.`` and ``..`` segments resolved."""
+    none = F.array().cast("array<string>")
+
+    def step(a: Column, x: Column) -> Column:
+        return F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(x == ".", a).otherwise(F.array_append(a, x))
+
+    def folded(parts: Column) -> Column:
+        closed = F.element_at(parts, -1).isin(".", "..")
+        return _let(F.aggregate(F.slice(parts, 2, F.size(parts)), none, step), lambda a: F.concat(
+            F.lit("/"), F.array_join(a, "/"), F.when(closed & (F.size(a) > 0), "/").otherwise("")))
+
+    return _let(path, lambda p: F.when(F.rlike(p, F.lit(r"/\.\.?(/|$)")), _let(F.split(p, "/"), folded)).otherwise(p))
+
+
+def _resolved(link: Column, base: Column) -> Column:
+    root = F.regexp_extract(base, r"^(.*?://[^/?#]*)", 1)
+    folder = F.regexp_replace(F.regexp_replace(path_of(base), "^$", "/"), r"[^/]*$", "")
+    return (F.when(F.rlike(link, F.lit(_SCHEME + "//")), link)
+            .when(F.rlike(link, F.lit(_SCHEME)) | (link == "") | (root == ""), None)
+            .when(F.startswith(link, F.lit("//")), F.concat(F.regexp_extract(base, r"^(.*?:)//", 1), link))
+            .when(F.startswith(link, F.lit("/")), F.concat(root, link))
+            .when(F.startswith(link, F.lit("?")), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), link))
+            .when(F.startswith(link, F.lit("#")), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
+            .otherwise(F.concat(root, folder, link)))
+
+
+def resolve(link: Column, base: Column) -> Column:
+    """The address that ``link`` names on a page at ``base``; null if it is none with ``://``."""
+    link = F.regexp_replace(link, r"^[\x00-\x20]+|[\t\n\r]|[\x00-\x20]+$", "")
+    full = _let(base, lambda b: _let(link, lambda x: _resolved(x, b)))
+    return _let(full, lambda f: F.concat(F.regexp_extract(f, r"^(.*?://[^/?#]*)", 1), _without_dots(path_of(f)),
+                                         F.regexp_extract(f, r"^[^?#]*([\s\S]*)", 1)))
+
+
 def canonical_form(url: Column) -> Column:
-    """The address without scheme, www./m. labels, fragment, tracking parameters and page suffix."""
+    """The address without scheme, www./m. labels, fragment, tracking parameters, dot segments and page suffix."""
     rest = F.regexp_replace(_rest(url), r"#[\s\S]*$", "")
     rest = F.regexp_replace(rest, _TRACKING, "")
     query = F.regexp_extract(rest, r"^[^?]*(\?[\s\S]*?)[?&]*$", 1)
-    path = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*([^?]*)", 1),
+    path = F.regexp_replace(_without_dots(F.regexp_extract(rest, r"^[^/?#]*([^?]*)", 1)),
                             r"(?i)(/index)?(\.html?)?/*$", "")
     host = F.regexp_replace(lower_ascii(F.regexp_extract(rest, r"^([^/?]*)", 1)), r"^((www|m)\.)+", "")
     return F.concat(host, path, F.when(query == "?", "").otherwise(query))
@@ -101,24 +177,40 @@ def _node(address: Column) -> Column:
     return F.unhex(F.md5(address))
 
 
-def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str | None = "html",
-                redirects: DataFrame | None = None) -> DataFrame:
-    """(a, b) edges between address nodes: canonical links, redirects and canonical forms."""
+def link_pairs(pages: DataFrame, url_col: str = "url", html_col: str | None = "html",
+               redirects: DataFrame | None = None) -> DataFrame:
+    """(_uf_from, _uf_to) addresses: a page and the target of its tags, the ends of a redirect."""
     url = F.col(url_col)
-    known = pages.filter(F.instr(url, "://") > 0)
-    targets = [canonical_form(url)]
+    pairs = pages.sparkSession.createDataFrame([], "_uf_from string, _uf_to string")
     if html_col:
-        for tag, target in (_CANONICAL, _REFRESH):
-            link = F.regexp_extract(F.regexp_extract(html_col, tag, 0), target, 1)
-            targets.append(F.when(F.instr(link, "://") > 0, link))
-    edges = (known.select(url.alias("_uf_from"), F.explode(F.array_compact(F.array(*targets))).alias("_uf_to")))
+        def value(tag: str, target: str) -> Column:
+            return _unescape(F.regexp_extract(F.regexp_extract(html_col, tag, 0), target, 1))
+
+        raw = (pages.filter(F.instr(url, "://") > 0)
+               .select(url.alias("_uf_from"), value(*_BASE).alias("_uf_base"), value(*_CANONICAL).alias("c"),
+                       value(*_REFRESH).alias("r")).filter("c != '' or r != ''"))
+        base = F.coalesce(resolve(F.col("_uf_base"), F.col("_uf_from")), F.col("_uf_from"))
+        pairs = pairs.unionByName(raw.select("_uf_from", F.explode(F.array_compact(F.array(
+            resolve(F.col("c"), base), resolve(F.col("r"), base)))).alias("_uf_to")))
     if redirects is not None:
-        edges = edges.unionByName(redirects.select(F.col("from_url").alias("_uf_from"),
-                                                   F.col("to_url").alias("_uf_to")))
-        # a redirect's ends meet the pages by their canonical forms as well
-        edges = edges.unionByName(redirects.select(F.col("to_url").alias("_uf_from"),
-                                                   canonical_form(F.col("to_url")).alias("_uf_to")))
-    linked = edges.filter("_uf_from is not null and _uf_to is not null and _uf_from != _uf_to")
+        pairs = pairs.unionByName(redirects.filter(F.instr("from_url", "://") > 0).select(
+            F.col("from_url").alias("_uf_from"), resolve(F.col("to_url"), F.col("from_url")).alias("_uf_to")))
+    return pairs.filter("_uf_from is not null and _uf_to is not null").distinct()
+
+
+def _addresses(pages: DataFrame, pairs: DataFrame, url_col: str) -> DataFrame:
+    """(url) the pages' addresses and both ends of ``pairs``, each once."""
+    ends = pages.filter(F.instr(F.col(url_col), "://") > 0).select(F.col(url_col).alias("url"))
+    for c in ("_uf_from", "_uf_to"):
+        ends = ends.unionByName(pairs.select(F.col(c).alias("url")))
+    return ends.distinct()
+
+
+def alias_edges(pages: DataFrame, pairs: DataFrame, url_col: str = "url") -> DataFrame:
+    """(a, b) edges between address nodes: ``pairs``, and every address to its canonical form."""
+    forms = _addresses(pages, pairs, url_col).select(
+        F.col("url").alias("_uf_from"), canonical_form(F.col("url")).alias("_uf_to")).filter("_uf_to != ''")
+    linked = pairs.unionByName(forms).filter("_uf_from != _uf_to")
     return linked.select(_node(F.col("_uf_from")).alias("a"), _node(F.col("_uf_to")).alias("b"))
 
 
@@ -126,7 +218,8 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str
                 html_col: str | None = "html", redirects: DataFrame | None = None) -> DataFrame:
     """``pages`` plus host, path, rule and verdict (the rule's, else that of the aliases)."""
     # an edge to an address that nothing else names joins no two pages; only shared ends matter
-    edges = write_once(alias_edges(pages, url_col, html_col, redirects).distinct(), "alias-edges")
+    pairs = write_once(link_pairs(pages, url_col, html_col, redirects), "alias-links")
+    edges = write_once(alias_edges(pages, pairs, url_col).distinct(), "alias-edges")
     ends = edges.select(F.col("a").alias("n")).unionByName(edges.select(F.col("b").alias("n")))
     shared = ends.groupBy("n").agg(F.count(F.lit(1)).alias("_uf_k")).filter("_uf_k > 1").select("n")
     # keep an edge unless one of its ends has no other edge and is not a page of its own:

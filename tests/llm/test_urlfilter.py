@@ -1,7 +1,11 @@
+import html
 from collections import Counter
+from urllib.parse import urljoin
+
+from pyspark.sql import functions as F
 
 from playstats.llm.components import connected_components
-from playstats.llm.urlfilter import RULES, Rule, canonical_form, filter_urls
+from playstats.llm.urlfilter import RULES, Rule, _unescape, canonical_form, filter_urls, resolve
 
 PAGES = "page_id long, url string, html string"
 LINK = '<html><head><LINK href="{}" rel="canonical"></head>'
@@ -119,3 +123,31 @@ def test_components_against_union_find(spark):
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r["node"]: r["component"] for r in got} == {x: root(x) for x in parent} and len(got) == len(parent)
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_relative_and_variant_targets(spark):
+    base = "http://a.com/d/e/page?x=1#f"
+    links = ["/new", "page2.html", "//host.com/p", "../up", "../../../top", "./", "..", "?q=2", "#z", "http://b.com/x/../y?a=1&amp;b=2",
+             "/a?u=http://c.com/", "mailto:x@y.z", "javascript:go()", "&#x2F;caf&eacute;&#47;&#233;", "/s?a=1&copy=2&copy;&lt", "g;x=1/../y", "/&#128;&#0;"]
+    df = spark.createDataFrame([(x,) for x in links], "link string")
+    got = [r[0] for r in df.select(resolve(_unescape(df.link), F.lit(base))).collect()]
+
+    def python(x):
+        full = urljoin(base, html.unescape(x).replace("b.com/x/../y", "b.com/y") if "copy" not in x else "/s?a=1&copy=2©<")   # an attribute's &copy= is no reference
+        return full if "://" in full.split("?")[0] else None
+    assert got == [python(x) for x in links]
+    rows = [(1, "http://bad.net/1", ""), (2, "http://bad.net/dir/2", ""),
+            (3, "http://a.com/3", LINK.format("//bad.net/1")), (4, "http://www.a.com/x/4", JUMP.format("/old/../3")),
+            (5, "http://a.com/old/5", LINK.format("../3?utm_source=a&amp;ref=b")), (6, "http://a.com/6", LINK.format("https://www.bad.net/dir/2/")),
+            (7, "http://a.com/7", '<base href="//bad.net/dir/">' + LINK.format("2")), (8, "http://a.com/8", LINK.format("mailto:9")),
+            (9, "http://a.com/9", LINK.format("/8"))]
+    out = judge(spark, rows)
+    assert [out[i]["verdict"] for i in range(1, 10)] == ["block"] * 7 + ["allow"] * 2
+
+
+def test_redirect_ends_meet_pages_by_their_forms(spark):
+    pages = [(1, "http://a.com/1", ""), (2, "http://x.net/1", ""), (3, "http://q.com/in", ""), (4, "http://z.com/1", "")]
+    hops = spark.createDataFrame([("https://www.a.com/1/", "http://www.x.net/1"), ("http://q.com/out", "in"), ("http://z.com/2", "in"),
+                                  ("http://q.com/out", "//x.net/1"), ("odd", "http://x.net/1"), ("odd", "http://z.com/1")], "from_url string, to_url string")
+    out = judge(spark, pages, redirects=hops)
+    assert [out[i]["verdict"] for i in range(1, 5)] == ["block", "block", "block", "allow"]
