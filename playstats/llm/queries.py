@@ -60,7 +60,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    return filter_urls(read(spark, sf_dir, "pages"), judge_targets=True).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (

@@ -4,7 +4,9 @@ Rules name a host (which fits itself and all its subdomains) and a path prefix;
 fitting rule decides. Pages without a fitting rule take part in redirect equivalence: redirect
 and canonical-link edges join addresses to components, and a block inside a component
 reaches the members that no rule covers, unless the component also holds an explicit allow,
-which takes precedence. All else is allowed.
+which takes precedence. All else is allowed. With ``judge_targets`` the rules are also matched on
+the other ends of the edges (link targets, both ends of redirects), so that a verdict on an address
+that is no page reaches its aliases; without it only pages have explicit verdicts.
 
 Edges of a page: its address to the target of ``<link rel="canonical">`` and to the target of a
 ``<meta http-equiv="refresh">`` redirect; a table of observed redirects (``from_url``, ``to_url``)
@@ -215,7 +217,8 @@ def alias_edges(pages: DataFrame, pairs: DataFrame, url_col: str = "url") -> Dat
 
 
 def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url",
-                html_col: str | None = "html", redirects: DataFrame | None = None) -> DataFrame:
+                html_col: str | None = "html", redirects: DataFrame | None = None,
+                judge_targets: bool = False) -> DataFrame:
     """``pages`` plus host, path, rule and verdict (the rule's, else that of the aliases)."""
     # an edge to an address that nothing else names joins no two pages; only shared ends matter
     pairs = write_once(link_pairs(pages, url_col, html_col, redirects), "alias-links")
@@ -229,7 +232,12 @@ def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str
     comps = connected_components(real.unionByName(touched))
     judged = match_rules(pages, rules, url_col)
     node = _node(F.col(url_col))
-    explicit = (judged.filter("rule is not null").select(node.alias("node"), "verdict").distinct()
+    ruled = judged.filter("rule is not null").select(node.alias("node"), "verdict")
+    if judge_targets:
+        ends = pairs.select(F.explode(F.array("_uf_from", "_uf_to")).alias("url"))
+        ruled = ruled.unionByName(match_rules(ends, rules).filter("rule is not null")
+                                  .select(_node(F.col("url")).alias("node"), "verdict"))
+    explicit = (ruled.distinct()
                 .join(comps, "node").groupBy("component")
                 .agg(F.max((F.col("verdict") == "allow").cast("int")).alias("_uf_allow"),
                      F.max((F.col("verdict") == "block").cast("int")).alias("_uf_block")))

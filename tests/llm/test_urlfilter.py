@@ -4,6 +4,7 @@ from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
 
+from playstats.llm import queries
 from playstats.llm.components import connected_components
 from playstats.llm.urlfilter import RULES, Rule, _unescape, canonical_form, filter_urls, resolve
 
@@ -151,3 +152,15 @@ def test_redirect_ends_meet_pages_by_their_forms(spark):
                                   ("http://q.com/out", "//x.net/1"), ("odd", "http://x.net/1"), ("odd", "http://z.com/1")], "from_url string, to_url string")
     out = judge(spark, pages, redirects=hops)
     assert [out[i]["verdict"] for i in range(1, 5)] == ["block", "block", "block", "allow"]
+
+
+def test_rules_reach_targets_that_are_no_pages(spark, tmp_path):
+    pages = [(1, "http://a.com/1", LINK.format("http://bad.net/1")), (2, "http://b.com/1", ""),
+             (3, "http://c.com/1", JUMP.format("http://d.org/fr/1")), (4, "http://e.net/1", LINK.format("http://c.com/1")),
+             (5, "http://f.com/1", LINK.format("http://c.com/1")), (6, "http://g.com/1", LINK.format("http://h.com/1"))]
+    hops = spark.createDataFrame([("http://b.com/1", "http://mid.com/"), ("http://mid.com/", "http://x.net/gone")], "from_url string, to_url string")
+    out = judge(spark, pages, redirects=hops, judge_targets=True)
+    assert [out[i]["verdict"] for i in range(1, 7)] == ["block", "block", "allow", "block", "allow", "allow"]
+    spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    query = {r["page_id"]: r["verdict"] for r in queries.op10_url_filter(spark, str(tmp_path)).collect()}
+    assert query == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "allow", 6: "allow"}
