@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playstats.llm.common import write_once
 from playstats.llm.langid import keep_identified
 from playstats.llm.line_dedup import line_dedup
 from playstats.llm.mixing import mix_sources, take
@@ -30,10 +31,16 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8); of rows that
-    repeat a ``doc_id`` one stays."""
-    kept = near_duplicates(docs).filter("kept or component_id is null").select(F.col("doc_id").alias("_nd_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_nd_id")), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near duplicates (five words, similarity 0.8): the one with the
+    smallest ``doc_id``, null last. Rows are told apart by a hash of all their columns, so rows
+    with a null or repeated ``doc_id`` stay if their texts differ; of fully equal rows one stays."""
+    parts = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]   # a null leaves the hash unchanged
+    keyed = docs.withColumn("_nd_key", F.xxhash64(*parts))
+    found = near_duplicates(keyed, id_col="_nd_key").select(F.col("doc_id").alias("_nd_key"), "component_id").distinct()
+    ids = keyed.select("_nd_key", F.col("doc_id").alias("_nd_id")).distinct()
+    order = F.struct(F.col("_nd_id").isNull().alias("none"), "_nd_id", "_nd_key")
+    kept = found.join(ids, "_nd_key").groupBy("component_id").agg(F.min(order).alias("k")).select("k._nd_key")
+    return keyed.join(write_once(kept, "neardup-kept"), "_nd_key", "left_semi").dropDuplicates(["_nd_key"]).drop("_nd_key")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

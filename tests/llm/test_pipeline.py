@@ -45,3 +45,20 @@ def test_registered(spark):
     names = set(entry.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_near_dedup_keeps_rows_without_an_id_of_their_own(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(30))
+    rows = [(None, text(i), "en", "s", 1) for i in range(20)]                      # distinct texts, no id
+    rows += [(None, text(5) + " more", "en", "t", 1), (None, text(6), "en", "t", 1)]   # copies of them
+    rows += [(7, text(100), "en", "s", 1), (7, text(101), "en", "s", 1), (7, text(101), "en", "s", 1)]
+    rows += [(3, text(7), "en", "s", 1), (8, text(7), None, "s", 1), (8, text(7), "s", None, 1)]
+    near_dedup = dict(corpus_pipeline.STAGES)["near_dedup"]
+    for parts in (1, 5):
+        out = near_dedup(spark, spark.createDataFrame(rows, DOCS).repartition(parts), "")
+        assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        got = [tuple(r)[:2] for r in out.collect()]
+        groups = {t.split()[0]: d for d, t in got}
+        assert len(got) == len(groups) == 22
+        assert groups["w7x0"] == 3 and groups["w100x0"] == groups["w101x0"] == 7
+        assert sum(d is None for d in groups.values()) == 19
