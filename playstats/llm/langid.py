@@ -9,19 +9,24 @@ leading path label): their distributions given the language come from grouped co
 *Host priors.* Grouped counts of the best language by text at every level of the host name (a.b.c,
 b.c, c) and over all; each level is smoothed with its parent: (n + K * parent) / (total + K).
 
-The posterior is the normalised product. A document is rejected if its text has no letters or no
-language reaches ``MIN_POSTERIOR``.
+*None of these.* One more outcome, with prior ``OUTSIDE``: uniform over the trigram bins, any suffix
+with its share of all rows, any declared label as if it had not been seen. A text that this outcome
+explains best trains neither the evidence tables nor the host priors.
 
-Languages are the declared labels held by at least ``MIN_SHARE`` of the labelled documents, at
-most ``MAX_LANGUAGES``; that bounds every table that reaches the driver. Other labels count as
-undeclared.
+The posterior is the normalised product. The language is the best one, and a document is rejected if
+its text has no letters or its language does not reach ``MIN_POSTERIOR``.
+
+Languages are all declared labels, also those of a single document: its few counts, smoothed by half
+a count a bin, stay close to the uniform distribution. They are counted and scored ``CLASSES`` at a
+time, which bounds the tables of counts in the driver and the workers; the labels themselves, and one
+number a language and row, are not bounded.
 
 Defined results. A null, empty or letterless text is rejected with language ``und`` and
 probability 0. Missing evidence of any other kind is left out. Without any declared language
 every document is ``und``. Repeated rows are judged alike, each by its own text. An empty table
 gives an empty result.
 
-Scale. Two passes over the texts; the first returns one count a language and trigram bin from
+Scale. Two passes over the texts for each ``CLASSES`` languages; the first returns one count a language and trigram bin from
 each task. The host table is joined to rows without text, broadcast only after its rows are counted.
 """
 
@@ -38,8 +43,8 @@ from playstats.llm.common import small_batches, small_join, write_once
 
 BINS = 1 << 14
 TEMPER = 60
-MIN_SHARE = 0.002
-MAX_LANGUAGES = 100
+CLASSES = 100       # languages a pass
+OUTSIDE = 0.01
 MIN_POSTERIOR = 0.5
 SMOOTH = 20.0       # K of the host levels
 
@@ -82,10 +87,12 @@ def _bin_counts(texts: DataFrame, languages: list[str]) -> np.ndarray:
     return out
 
 
-def _text_evidence(rows: DataFrame, log_p: np.ndarray) -> DataFrame:
-    """``rows`` with ``text`` replaced by ``letters`` (trigrams) and ``ll`` (tempered log likelihoods)."""
+def _text_evidence(rows: DataFrame, gain: np.ndarray, name: str, last: bool) -> DataFrame:
+    """``rows`` plus ``letters`` (trigrams, if not there) and ``name``: tempered log likelihoods less
+    that of no language; without ``text`` after the ``last`` pass."""
     at = rows.columns.index("text")
-    keep = [f for f in rows.schema if f.name != "text"]
+    keep = [f for f in rows.schema if not (last and f.name == "text")]
+    count = "letters" not in rows.columns
 
     def score(batches):
         for batch in small_batches(batches, text=at):
@@ -93,14 +100,14 @@ def _text_evidence(rows: DataFrame, log_p: np.ndarray) -> DataFrame:
             for text in batch.column(at).to_pylist():
                 bins = trigram_bins(text)
                 n.append(len(bins))
-                v = log_p[:, bins].sum(axis=1) * (min(1.0, TEMPER / len(bins)) if len(bins) else 0.0)
-                ll.append(v - v.max() if len(bins) else v)
+                ll.append(gain[:, bins].sum(axis=1) * (min(1.0, TEMPER / len(bins)) if len(bins) else 0.0))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(batch.num_columns) if i != at), pa.array(n, pa.int64()),
-                 pa.array(ll, pa.list_(pa.float64()))], [*(f.name for f in keep), "letters", "ll"])
+                [*(batch.column(i) for i in range(batch.num_columns) if not (last and i == at)),
+                 *([pa.array(n, pa.int64())] if count else []), pa.array(ll, pa.list_(pa.float64()))],
+                [*(f.name for f in keep), *(["letters"] if count else []), name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return rows.mapInArrow(score, f"{schema}, letters long, ll array<double>")
+    return rows.mapInArrow(score, f"{schema}{', letters long' if count else ''}, {name} array<double>")
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -108,21 +115,30 @@ def _add(a: Column, b: Column) -> Column:
     return F.when(b.isNull(), a).otherwise(F.zip_with(a, b, lambda x, y: x + y))
 
 
+def _counts_of(size: int) -> Column:
+    """The counts of the map ``m`` (by language) as an array."""
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
+                       lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double"))
+
+
 def _given_language(rows: DataFrame, col: str, size: int) -> DataFrame:
-    """(value, array of log P(value | language)) from grouped counts, smoothed by one."""
-    counts = rows.filter(F.col(col).isNotNull() & (F.col("letters") > 0)).groupBy(col, "best").agg(
-        F.count(F.lit(1)).alias("n"))
+    """(value, logs, other): log P(value | language) from grouped counts, smoothed by one, and
+    log P(value | none of these)."""
+    counts = rows.filter(F.col(col).isNotNull() & (F.col("letters") > 0) & F.col("best").isNotNull()) \
+        .groupBy(col, "best").agg(F.count(F.lit(1)).alias("n"))
     total = {r["best"]: r["n"] for r in counts.groupBy("best").agg(F.sum("n").alias("n")).collect()}
     values = counts.agg(F.countDistinct(col).alias("v")).first()["v"]
+    below = F.array(*[F.lit(total.get(i, 0) + values + 1.0) for i in range(size)])
+    seen = F.lit(0.0) if col == "label" else F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x)
     by = counts.groupBy(col).agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m"))
-    return by.select(F.col(col).alias("value"), F.array(*[
-        F.log((F.coalesce(F.col("m")[i], F.lit(0)) + 1.0) / (total.get(i, 0) + values + 1.0))
-        for i in range(size)]).alias("logs"))
+    return by.select(F.col(col).alias("value"),
+                     F.zip_with(_counts_of(size), below, lambda n, t: F.log((n + 1.0) / t)).alias("logs"),
+                     F.log((seen + 1.0) / F.lit(sum(total.values()) + values + 1.0)).alias("other"))
 
 
 def _host_priors(rows: DataFrame, size: int) -> DataFrame:
     """(host, logs): log prior of each language for every full host name."""
-    used = rows.filter((F.col("letters") > 0) & F.col("host").isNotNull())
+    used = rows.filter((F.col("letters") > 0) & F.col("host").isNotNull() & F.col("best").isNotNull())
     by_host = used.groupBy("host", "best").agg(F.count(F.lit(1)).alias("n"))
     # every host counts for its own name and for each parent domain, down to the last label
     labels = F.split("host", r"\.")
@@ -130,8 +146,7 @@ def _host_priors(rows: DataFrame, size: int) -> DataFrame:
         i.alias("depth"), F.array_join(F.slice(labels, F.size(labels) - i + 1, i), ".").alias("name"))))
     per = (by_host.select("best", "n", level.alias("l")).groupBy("l.name", "best").agg(F.sum("n").alias("n"))
            .groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("best", "n"))).alias("m")))
-    vec = write_once(per.select("name", F.array(*[
-        F.coalesce(F.col("m")[i], F.lit(0)).cast("double") for i in range(size)]).alias("c")), "langid-host-levels")
+    vec = write_once(per.select("name", _counts_of(size).alias("c")), "langid-host-levels")
     every = by_host.groupBy("best").agg(F.sum("n").alias("n")).collect()
     root = np.full(size, 1.0)
     for r in every:
@@ -162,32 +177,38 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.nullif(given, F.lit("")).alias("declared"),
         (F.lower(F.col(host_col).cast("string")) if host_col else none).alias("host"),
         (F.lower(F.col(suffix_col).cast("string")) if suffix_col else none).alias("suffix"))
-    held = (base.filter("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n")))
-    total = held.agg(F.sum("n")).first()[0] or 0
-    languages = sorted(r["declared"] for r in held.filter(F.col("n") >= MIN_SHARE * total)
-                       .orderBy(F.desc("n"), "declared").limit(MAX_LANGUAGES).collect())
+    held = base.filter("declared is not null").select("declared").distinct()
+    languages = sorted(r["declared"] for r in held.collect())
     if not languages:
         return base.select("doc_id", "row_md5", "declared", F.lit("und").alias("language"),
                            F.lit(0.0).alias("probability"), F.lit(False).alias("accepted"))
-    known = F.col("declared").isin(languages)
-    counts = _bin_counts(base.filter(known).select("declared", "text"), languages) + 0.5
-    rows = write_once(_text_evidence(base, np.log(counts / counts.sum(axis=1, keepdims=True))), "langid-evidence")
     size = len(languages)
-    rows = rows.withColumn("best", F.array_position("ll", F.array_max("ll")).cast("int") - 1) \
-        .withColumn("label", F.when(known, F.col("declared")))
+    rows, parts = base, []
+    for at in range(0, size, CLASSES):
+        part = languages[at:at + CLASSES]
+        counts = _bin_counts(base.filter(F.col("declared").isin(part)).select("declared", "text"), part) + 0.5
+        gain = np.log(counts / counts.sum(axis=1, keepdims=True)) + math.log(BINS)
+        parts.append(f"ll{at}")
+        rows = write_once(_text_evidence(rows, gain, parts[-1], at + CLASSES >= size), "langid-evidence")
+    rows = rows.withColumn("ll", F.concat(*parts)).drop(*parts)
+    rows = rows.withColumn("best", F.when(F.array_max("ll") > 0, F.array_position("ll", F.array_max("ll")).cast("int") - 1)) \
+        .withColumn("label", F.col("declared"))
     fused = rows
-    score = F.col("ll")
+    score, other = F.col("ll"), F.lit(math.log(OUTSIDE))
     for col in ("label", "suffix", "host"):
         logs = _host_priors(rows, size) if col == "host" else _given_language(rows, col, size)
-        logs = write_once(logs.select(F.col(logs.columns[0]).alias(f"_{col}"), F.col("logs").alias(f"{col}_logs")),
-                          f"langid-{col}")
+        if "other" not in logs.columns:
+            logs = logs.withColumn("other", F.lit(0.0))
+        logs = write_once(logs.select(F.col(logs.columns[0]).alias(f"_{col}"), F.col("logs").alias(f"{col}_logs"),
+                                      F.col("other").alias(f"{col}_other")), f"langid-{col}")
         n = logs.count()
         if n:
             fused = small_join(fused, logs, F.col(col) == F.col(f"_{col}"), "left", rows=n)
             score = _add(score, F.col(f"{col}_logs"))
-    fused = fused.withColumn("s", score).withColumn("top", F.array_max("s"))
+            other = other + F.coalesce(F.col(f"{col}_other"), F.lit(0.0))
+    fused = fused.withColumn("s", score).withColumn("o", other).withColumn("top", F.array_max("s"))
     names = F.array(*[F.lit(x) for x in languages])
-    probability = 1.0 / F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+    probability = 1.0 / F.aggregate("s", F.exp(F.col("o") - F.col("top")), lambda a, x: a + F.exp(x - F.col("top")))
     seen = F.col("letters") > 0
     return fused.select(
         "doc_id", "row_md5", "declared",

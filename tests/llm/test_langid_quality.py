@@ -110,3 +110,20 @@ def test_awkward_quality_rows(spark):
     assert all(r["score"] == 0 and not r["keep"] for r in out if r["doc_id"] in (300, 301, 302))
     assert score_quality(spark.createDataFrame([], DOCS)).count() == 0
     assert score_quality(spark.createDataFrame([(1, "a", 2, "x")], "doc_id long, text string, votes int, label string")).count() == 1
+
+
+def test_rare_and_unmodelled_languages(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows, _ = language_rows(0, 2500)
+    fi = "joka että hän oli ovat mutta niin kuin myös sekä".split()
+    rare = [(5000 + i, " ".join(rnd.choice(fi) for _ in range(60)), "fi" if i else None, "mixed.org", 0) for i in range(4)]
+    el = "και του της που για από στην είναι τον ότι".split()
+    alien = [(6000 + i, " ".join(rnd.choice(el) for _ in range(60)), None, "mixed.org", 0) for i in range(4)]
+    df = spark.createDataFrame(rows + rare + alien, DOCS)
+    out = {r["doc_id"]: r for r in identify_languages(df).collect()}
+    assert all(out[i]["language"] == "fi" and out[i]["accepted"] for i in range(5000, 5004))     # 3 of 2,500 labels
+    assert not any(out[i]["accepted"] for i in range(6000, 6004))
+    assert all(out[r[0]]["accepted"] for r in rows)
+    monkeypatch.setattr("playstats.llm.langid.CLASSES", 2)                                       # two passes, same answers
+    again = {r["doc_id"]: r for r in identify_languages(df).collect()}
+    assert all(again[i]["language"] == r["language"] and abs(again[i]["probability"] - r["probability"]) < 1e-9 for i, r in out.items())
