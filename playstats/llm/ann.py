@@ -155,6 +155,27 @@ def _coded(vectors: DataFrame, models: dict[int, dict]) -> DataFrame:
     return vectors.mapInPandas(code, "vec_id long, dim int, vec array<double>, code binary")
 
 
+def _fit_on_executor(drawn: DataFrame, largest: float, k: int) -> dict | None:
+    """:func:`fit_codes` in one task over the bounded sample ``drawn`` (vec).
+
+    The fit needs matrix products and decompositions. A worker has one BLAS thread of its own; in the
+    driver process the library's threads may have been lost in the fork that started the JVM.
+    """
+
+    def fit(frames):
+        rows = [v for pdf in frames for v in pdf["vec"]]
+        if len(rows) > 1:
+            m = fit_codes(np.stack(rows).astype(np.float64), largest, k)
+            yield pd.DataFrame({"mean": [m["mean"]], "axes": [m["axes"].ravel()], "radius": [m["radius"]]})
+
+    made = drawn.coalesce(1).mapInPandas(fit, "mean array<double>, axes array<double>, radius int").collect()
+    if not made:
+        return None
+    mean = np.asarray(made[0]["mean"])
+    return {"mean": mean, "axes": np.asarray(made[0]["axes"]).reshape(len(mean), -1), "largest": largest,
+            "radius": made[0]["radius"]}
+
+
 def nearest_neighbours(table: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
                        vector_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest found for ids divisible by ``every``."""
@@ -170,9 +191,10 @@ def nearest_neighbours(table: DataFrame, k: int = 20, every: int = 20, id_col: s
     for dim, (rows, largest) in dims.items():
         at = F.xxhash64("vec_id").bitwiseAND(F.lit((1 << 62) - 1))
         drawn = (vectors.filter((F.col("dim") == dim) & (at <= int(min(1.0, 1.1 * sample / rows) * (1 << 62))))
-                 .limit(sample).select("vec").toPandas())
-        if len(drawn) > 1:
-            models[dim] = fit_codes(np.stack(drawn["vec"]).astype(np.float64), largest, k)
+                 .select("vec").limit(sample))
+        model = _fit_on_executor(drawn, largest, k)
+        if model:
+            models[dim] = model
     ready = write_once(_coded(vectors, models), "ann-codes")
     queries = ready.filter(F.pmod("vec_id", F.lit(every)) == 0)
     return search_blocks(queries, ready, _kernel(models, k), k, "double", queries.count(), n)

@@ -111,7 +111,42 @@ def _best_fill(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[flo
         else:
             use[last[c]] += 1
             c -= int(sizes[last[c]])
-    return float(worth @ use), use
+    return float((worth * use).sum()), use
+
+
+# The planner runs in the driver process beside the JVM. It uses element-wise numpy only: the
+# threads of a BLAS library do not survive the fork that starts the JVM, and its calls can hang.
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """matrix x vector over the vector's entries that are not 0."""
+    at = np.flatnonzero(vector)
+    return (matrix[:, at] * vector[at]).sum(axis=1)
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination with row exchanges."""
+    n = len(matrix)
+    work = np.hstack([matrix, np.eye(n)])
+    for i in range(n):
+        p = i + int(np.abs(work[i:, i]).argmax())
+        if p != i:
+            work[[i, p]] = work[[p, i]]
+        work[i] /= work[i, i]
+        rows = np.flatnonzero(work[:, i])
+        rows = rows[rows != i]
+        work[rows] -= work[rows, i][:, None] * work[i]
+    return work[:, n:].copy()
+
+
+def _multiples(basis: np.ndarray, inverse: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(x, inverse) with basis x = d; the inverse is made anew where its updates have lost precision."""
+    x = _times(inverse, d)
+    off = d - _times(basis, x)
+    if np.abs(off).max() > 1e-7 * max(1.0, np.abs(d).max()):
+        inverse = _inverse(basis)
+        x = _times(inverse, d)
+        off = d - _times(basis, x)
+    return x + _times(inverse, off), inverse
 
 
 def configurations(sizes: list[int], need: list[int], capacity: int, gap: float = 2e-4,
@@ -126,16 +161,15 @@ def configurations(sizes: list[int], need: list[int], capacity: int, gap: float
     if not sizes:
         return []
     sz, d = np.asarray(sizes), np.asarray(need, dtype=float)
-    basis = np.diag([float(capacity // s) for s in sizes])
-    inverse, x = np.linalg.inv(basis), None
+    fits = np.asarray([float(capacity // s) for s in sizes])
+    basis, inverse, x = np.diag(fits), np.diag(1 / fits), None
     for i in range(rounds):
         if i % 100 == 0:
-            inverse = np.linalg.inv(basis)
-            x = inverse @ d
+            x, inverse = _multiples(basis, inverse, d)
         gain, col = _best_fill(sz, np.maximum(inverse.sum(axis=0), 0), capacity)
         if gain <= 1 + gap:
             break
-        step = inverse @ col
+        step = _times(inverse, col)
         able = step > 1e-9
         if not able.any():
             break
@@ -143,11 +177,12 @@ def configurations(sizes: list[int], need: list[int], capacity: int, gap: float
         r = int(ratio.argmin())
         basis[:, r] = col
         row = inverse[r] / step[r]
-        inverse -= np.outer(step, row)
+        moved = np.flatnonzero(step)
+        inverse[moved] -= step[moved][:, None] * row
         inverse[r] = row
         x = x - step * ratio[r]
         x[r] = ratio[r]
-    x = np.linalg.solve(basis, d)
+    x, _ = _multiples(basis, inverse, d)
     out, left = [], np.asarray(need, dtype=np.int64)
     for j in np.argsort(-x):
         col = np.maximum(basis[:, j].round().astype(np.int64), 0)

@@ -1,3 +1,4 @@
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from playstats.llm.packing import TOKENIZER, configurations, linear_groups, pack_documents, plan_packing
+from playstats.llm.packing import TOKENIZER, _inverse, configurations, linear_groups, pack_documents, plan_packing
 from playstats.llm.tokens import WordEncoder
 
 PATH = public_tokenizers.path(TOKENIZER)
@@ -88,6 +89,25 @@ def best_fit_decreasing(lengths, capacity):
     return used
 
 
+def test_planner_ends_beside_a_running_session(spark):
+    """800 groups, planned in the process that started the JVM, without thread variables and in time."""
+    assert spark.range(100).selectExpr("sum(id)").first()[0] == 4950
+    lengths = np.clip(np.random.default_rng(4).lognormal(6, 1, 200_000).astype(int) + 1, 1, 2047)
+    counts = Counter(lengths.tolist())
+    began = time.monotonic()
+    plan = plan_packing(counts, 2048, 800)
+    assert time.monotonic() - began < 60
+    assert total(plan) == counts
+    assert sum(n for _, n in plan) <= 1.003 * -(-int(lengths.sum()) // 2048)
+
+
+def test_inverse_without_blas():
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 4, (30, 30)) + 9.0 * np.eye(30)[::-1]      # needs row exchanges
+    product = (a[:, :, None] * _inverse(a)[None, :, :]).sum(axis=1)
+    assert np.abs(product - np.eye(30)).max() < 1e-9
+
+
 def test_linear_groups_have_equal_cardinality():
     groups = linear_groups({s: 10 for s in range(1, 101)}, 20, 8)
     assert len(groups) == 8 and all(g == max(members) for g, members in groups)

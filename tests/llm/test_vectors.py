@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from playstats.llm.ann import fit_codes, nearest_neighbours
+from playstats.llm.ann import _fit_on_executor, nearest_neighbours
 from playstats.llm.topk import exact_top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, rank string, score string"
@@ -13,7 +13,7 @@ SCHEMA = "vec_id long, embedding array<float>, label int, rank string, score str
 def table(n, dim, seed=3, hot=0):
     rng = np.random.default_rng(seed)
     x = rng.standard_normal((n, dim))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x /= np.sqrt((x ** 2).sum(axis=1, keepdims=True))
     x = x.astype(np.float32)
     x[n - hot:] = x[0]
     return [(i, [float(v) for v in x[i]], 0, "r", "s") for i in range(n)]
@@ -98,8 +98,9 @@ def test_nearest_neighbours_ties_norms_and_few(spark):
     assert [g[:3] for g in got] == [w[:3] for w in brute(few, 20, 20, False)]
 
 
-def test_codes_keep_neighbours_within_the_learned_radius():
+def test_codes_keep_neighbours_within_the_learned_radius(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 24))
-    model = fit_codes(x, float(np.linalg.norm(x, axis=1).max()), 20)
+    drawn = spark.createDataFrame([(v.tolist(),) for v in x], "vec array<double>")
+    model = _fit_on_executor(drawn, float(np.sqrt((x ** 2).sum(axis=1)).max()), 20)
     assert 0 < model["radius"] < 4 * 24 and model["axes"].shape == (25, 96)
