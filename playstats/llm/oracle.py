@@ -58,3 +58,25 @@ SELECT d.doc_id, len(d.s) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id
        coalesce(m.c, d.doc_id) = d.doc_id AS kept
 FROM sets d LEFT JOIN classes k ON len(d.s) > 0 AND k.k = md5(array_to_string(list_sort(d.s), chr(10)))
 LEFT JOIN component m ON m.node = k.node"""
+
+# Units as a list; the cuts are list slices.
+ORACLE["op11_fill_in_middle"] = """
+WITH read AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+parts AS (
+  SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+         list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) AS d FROM read),
+cuts AS (
+  SELECT *, len(u) AS n, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS a,
+         greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+              WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM parts),
+cut AS (
+  SELECT doc_id, n, form, t, coalesce(array_to_string(u[1:a], ''), '') AS p,
+         coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:n], ''), '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut"""

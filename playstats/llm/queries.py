@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playstats.llm import oracle as _oracle
 from playstats.llm.ann import nearest_neighbours
 from playstats.llm.common import read
+from playstats.llm.infill import fill_in_middle, restored
 from playstats.llm.langid import identify_languages
 from playstats.llm.line_dedup import line_dedup
 from playstats.llm.mixing import mix_sources
@@ -63,7 +64,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), judge_targets=True).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restored(fill_in_middle(read(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_kd_sharding, op3_exact_top_k, op4_best_fit_packing, op5_multi_index_hashing,
-    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter)}
+    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter, op11_fill_in_middle)}
 ORACLE: dict[str, str] = _oracle.ORACLE
