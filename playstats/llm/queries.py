@@ -20,6 +20,7 @@ from playstats.llm.quality import score_quality
 from playstats.llm.sharding import shard_documents
 from playstats.llm.topk import exact_top_k
 from playstats.llm.urlfilter import filter_urls
+from playstats.llm.whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +71,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_kd_sharding, op3_exact_top_k, op4_best_fit_packing, op5_multi_index_hashing,
-    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter, op11_fill_in_middle)}
+    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter, op11_fill_in_middle,
+    op12_embedding_whitening)}
 ORACLE: dict[str, str] = _oracle.ORACLE
