@@ -19,6 +19,7 @@ from playstats.llm.packing import pack_documents
 from playstats.llm.quality import score_quality
 from playstats.llm.sharding import shard_documents
 from playstats.llm.topk import exact_top_k
+from playstats.llm.toxicity import score_toxicity
 from playstats.llm.urlfilter import filter_urls
 from playstats.llm.whitening import whiten
 
@@ -75,8 +76,13 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read(spark, sf_dir, "embeddings"), components=8)
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_kd_sharding, op3_exact_top_k, op4_best_fit_packing, op5_multi_index_hashing,
     op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter, op11_fill_in_middle,
-    op12_embedding_whitening)}
+    op12_embedding_whitening, op13_toxicity)}
 ORACLE: dict[str, str] = _oracle.ORACLE
