@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstats.model import Model
+from playstats.operators.knn import all_pairs_topk
 from playstats.operators.similarity import (cosine_to_target, drop_target_cols,
                                             euclidean_to_target)
 from playstats.session import cut_lineage
-from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, clean_from_engineered,
+from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, clean_from_engineered, feature_matrix,
                                       track_features_engineered)
 
 # Column order of the similarity SQL's target vector (skip_low before skip_never).
@@ -55,6 +56,19 @@ def similar_to_most_played(m: Model, n: int = 10, as_of: _dt.date = DEFAULT_AS_O
     return similar_tracks_to(cand, target, n)
 
 
+def similar_artists(m: Model, n: int = 10, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
+    """S5 on artists: fills (artist_id, similar_artist_id, similarity_score).
+
+    An artist is the mean of its tracks' feature rows; the score is the cosine similarity to the n
+    most similar other artists. Artists without a complete feature row, or whose mean is zero, have none.
+    """
+    fm = feature_matrix(m, as_of, with_vector=False).join(m.tracks.select("track_id", "artist_id"), "track_id")
+    means = fm.groupBy("artist_id").agg(F.array(*[F.avg(c) for c in FEATURE_COLS]).alias("vector"))
+    near = all_pairs_topk(means, n, "artist_id", "vector")
+    return near.select(F.col("id").alias("artist_id"), F.col("neighbour_id").alias("similar_artist_id"),
+                       (1 - F.col("distance")).alias("similarity_score"))
+
+
 def recommend_by_feature(fm: DataFrame, track_id: int | None = None, n: int = 5,
                          cols=FEATURE_COLS) -> DataFrame:
     """N nearest tracks by Euclidean distance over ``cols`` of the feature matrix.

@@ -163,6 +163,38 @@ def _q_rec_feature(spark, sf_dir):
     return _rounded(out, ["distance"], 9)
 
 
+# ---- neighbours of every row, and the weighted neighbour graph
+from playstats.operators.knn import all_pairs_topk  # noqa: E402
+from playstats.operators.neighbour_graph import knn_graph, neighbour_weights  # noqa: E402
+
+
+@register("all_pairs_topk")
+def _q_all_pairs(spark, sf_dir):
+    return _rounded(all_pairs_topk(fixtures.table(spark, sf_dir, "embeddings"), 10, "vec_id", "embedding"), ["distance"], 9)
+
+
+@register("all_pairs_topk_l2")
+def _q_all_pairs_l2(spark, sf_dir):
+    return _rounded(all_pairs_topk(fixtures.table(spark, sf_dir, "embeddings"), 10, "vec_id", "embedding", "l2"),
+                    ["distance"], 9)
+
+
+@register("similar_artists")
+def _q_similar_artists(spark, sf_dir):
+    return _rounded(RC.similar_artists(_m(spark, sf_dir), n=10), ["similarity_score"], 9)
+
+
+@register("knn_graph")
+def _q_knn_graph(spark, sf_dir):
+    return _rounded(knn_graph(fixtures.table(spark, sf_dir, "embeddings"), 30, "vec_id", "embedding"), ["dist"], 9)
+
+
+@register("neighbour_weights")
+def _q_neighbour_weights(spark, sf_dir):
+    edges = knn_graph(fixtures.table(spark, sf_dir, "embeddings"), 30, "vec_id", "embedding")
+    return _rounded(neighbour_weights(edges, 30), ["weight"], 6)
+
+
 # ---- ingest, data quality, enrichment (inputs derived from the driver tables)
 from playstats.operators import enrich as EN  # noqa: E402
 from playstats.operators import ingest as IG  # noqa: E402
