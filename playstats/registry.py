@@ -164,8 +164,10 @@ def _q_rec_feature(spark, sf_dir):
 
 
 # ---- neighbours of every row, and the weighted neighbour graph
+from playstats.operators.density import core_distances  # noqa: E402
 from playstats.operators.knn import all_pairs_topk  # noqa: E402
 from playstats.operators.neighbour_graph import knn_graph, neighbour_weights  # noqa: E402
+from playstats.operators.spectral import spectral_layout  # noqa: E402
 
 
 @register("all_pairs_topk")
@@ -195,6 +197,19 @@ def _q_neighbour_weights(spark, sf_dir):
     return _rounded(neighbour_weights(edges, 30), ["weight"], 6)
 
 
+@register("layout_spectral")
+def _q_layout_spectral(spark, sf_dir):
+    edges = knn_graph(fixtures.table(spark, sf_dir, "embeddings"), 30, "vec_id", "embedding")
+    return spectral_layout(neighbour_weights(edges, 30), id_col="vec_id")
+
+
+@register("core_distances")
+def _q_core_distances(spark, sf_dir):
+    at = fixtures.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    return _rounded(core_distances(at, 20, id_col="vec_id"), ["core"], 9)
+
+
 # ---- ingest, data quality, enrichment (inputs derived from the driver tables)
 from playstats.operators import enrich as EN  # noqa: E402
 from playstats.operators import ingest as IG  # noqa: E402
