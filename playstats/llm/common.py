@@ -39,6 +39,11 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(columns: list[str]) -> Column:
+    """128 bits that tell rows apart by all of ``columns``: nulls differ from empty texts, and values from their neighbours'."""
+    return F.md5(F.concat_ws("|", *[F.coalesce(F.md5(F.col(f"`{c}`").cast("string")), F.lit("-")) for c in columns]))
+
+
 def small_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                rows: int | None = None) -> DataFrame:
     """Join a large ``left`` with a table whose row count has been measured (``rows``).

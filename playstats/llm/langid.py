@@ -22,8 +22,10 @@ time, which bounds the tables of counts in the driver and the workers; the label
 number a language and row, are not bounded.
 
 Defined results. A null, empty or letterless text is rejected with language ``und`` and
-probability 0. Missing evidence of any other kind is left out. Without any declared language
-every document is ``und``. Repeated rows are judged alike, each by its own text. An empty table
+probability 0. Missing evidence of any other kind is left out. A declared label counts by its first run of
+A-Z, the primary part of a language tag (``zh-TW`` as ``zh``); one without is no label. Without any declared
+language every document is ``und``, and the filter keeps every row. Other columns of the input are not read, so their
+names cannot clash; very long texts are read as a whole. Repeated rows are judged alike, each by its own text. An empty table
 gives an empty result.
 
 Scale. Two passes over the texts for each ``CLASSES`` languages; the first returns one count a language and trigram bin from
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playstats.llm.common import small_batches, small_join, write_once
+from playstats.llm.common import row_key, small_batches, small_join, write_once
 
 BINS = 1 << 14
 TEMPER = 60
@@ -163,6 +165,11 @@ def _host_priors(rows: DataFrame, size: int) -> DataFrame:
     return chain.select("host", F.transform(F.aggregate("levels", prior, smooth), lambda x: F.log(x)).alias("logs"))
 
 
+def _declared(declared_col: str) -> Column:
+    """The primary part of a label (``zh`` of ``zh-TW``): its first run of A-Z; empty if there is none."""
+    return F.lower(F.regexp_extract(F.col(declared_col), r"^\s*([A-Za-z]+)", 1))
+
+
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang",
                        host_col: str | None = "source", suffix_col: str | None = None,
                        min_posterior: float = MIN_POSTERIOR) -> DataFrame:
@@ -171,7 +178,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``row_md5`` is the MD5 of the text (null for a null one), which tells rows with one id apart.
     """
     none = F.lit(None).cast("string")
-    given = F.lower(F.regexp_extract(F.col(declared_col), r"^\s*([A-Za-z]+)", 1)) if declared_col else none
+    given = _declared(declared_col) if declared_col else none
     base = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.md5(text_col).alias("row_md5"),
         F.nullif(given, F.lit("")).alias("declared"),
@@ -217,11 +224,17 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         (seen & (probability >= min_posterior)).alias("accepted"))
 
 
-def keep_identified(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the rows that language ID rejects."""
-    judged = identify_languages(docs, **options)
-    out = write_once(judged.filter(~F.col("accepted")).select(
-        F.col("doc_id").alias("_li_id"), F.col("row_md5").alias("_li_row")).distinct(), "langid-rejected")
-    on = (F.col(options.get("id_col", "doc_id")).eqNullSafe(F.col("_li_id"))
-          & F.md5(options.get("text_col", "text")).eqNullSafe(F.col("_li_row")))
-    return small_join(docs, out, on, "left_anti")
+def keep_identified(docs: DataFrame, declared_col: str | None = "lang", **options) -> DataFrame:
+    """``docs`` without the rows that language ID rejects.
+
+    A row is told from others by all its columns, so rows with one id and one text but another label or
+    host are judged each by itself. If no row declares a language there is nothing to judge by, and
+    every row stays.
+    """
+    columns = [*docs.columns]
+    if declared_col is None or not docs.filter(_declared(declared_col) != "").limit(1).count():
+        return docs
+    keyed = docs.withColumn("_li_key", row_key(columns))
+    judged = identify_languages(keyed, id_col="_li_key", declared_col=declared_col, **options)
+    out = write_once(judged.filter(~F.col("accepted")).select("doc_id").distinct(), "langid-rejected")
+    return small_join(keyed, out.withColumnRenamed("doc_id", "_li_key"), "_li_key", "left_anti").select(*[f"`{c}`" for c in columns])

@@ -64,6 +64,25 @@ def test_awkward_language_rows(spark):
     assert identify_languages(clash).first()["language"] == "en"
 
 
+def test_rows_that_differ_in_label_or_host_only_are_judged_apart(spark):
+    rows = awkward_docs()
+    few = [(700 + i, f"w{i} w{i + 1} the", lang, "hot", 1) for i in range(12) for lang in ("en", "de", None)]
+    rows += few
+    docs = spark.createDataFrame(rows, DOCS)
+    known = {(r["doc_id"], r["declared"]): r["probability"] for r in identify_languages(docs).collect()}
+    low, high = sorted(known[700, x] for x in ("en", "de", None))[::2]
+    least = (low + high) / 2                                                              # between two labels of one text
+    judged = {k: p >= least for k, p in known.items()}
+    assert low < high
+    kept = {(r["doc_id"], r["lang"]) for r in keep_identified(docs, min_posterior=least).collect()}
+    assert all(((i, lang) in kept) == judged[i, lang] for i, _, lang, *_ in few)
+
+
+def test_without_any_label_nothing_is_dropped(spark):
+    rows = [(i, f"text {i}", None if i % 2 else "??", "s", 1) for i in range(9)]
+    assert keep_identified(spark.createDataFrame(rows, DOCS)).count() == 9
+
+
 def test_languages_of_the_test_documents(spark):
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     # the declared language is hidden for every tenth document and has to be found again
