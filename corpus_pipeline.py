@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playstats.llm.common import write_once
+from playstats.llm.common import row_key, write_once
 from playstats.llm.langid import keep_identified
 from playstats.llm.line_dedup import line_dedup
 from playstats.llm.mixing import mix_sources, take
@@ -21,7 +21,7 @@ from playstats.session import ensure_checkpoint_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified."""
+    """Documents whose language is identified; without any declared language all of them."""
     return keep_identified(docs)
 
 
@@ -32,15 +32,17 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near duplicates (five words, similarity 0.8): the one with the
-    smallest ``doc_id``, null last. Rows are told apart by a hash of all their columns, so rows
-    with a null or repeated ``doc_id`` stay if their texts differ; of fully equal rows one stays."""
-    parts = [x for c in docs.columns for x in (F.col(c), F.col(c).isNull())]   # a null leaves the hash unchanged
-    keyed = docs.withColumn("_nd_key", F.xxhash64(*parts))
-    found = near_duplicates(keyed, id_col="_nd_key").select(F.col("doc_id").alias("_nd_key"), "component_id").distinct()
-    ids = keyed.select("_nd_key", F.col("doc_id").alias("_nd_id")).distinct()
-    order = F.struct(F.col("_nd_id").isNull().alias("none"), "_nd_id", "_nd_key")
+    smallest ``doc_id``, null last, among equal ids the one with the smallest row key. Of rows that are equal in
+    all columns one stays; all others are told apart by 128 bits of all columns, so rows with a null
+    or repeated ``doc_id`` stay if their texts differ. The groups are found on numbers given to the stored rows."""
+    columns = [f"`{c}`" for c in docs.columns]
+    single = docs.withColumn("_nd_row", row_key(docs.columns)).dropDuplicates(["_nd_row"])
+    single = write_once(single.withColumn("_nd_key", F.monotonically_increasing_id()), "neardup-rows")
+    found = near_duplicates(single, id_col="_nd_key").select(F.col("doc_id").alias("_nd_key"), "component_id")
+    ids = single.select("_nd_key", "_nd_row", F.col("doc_id").alias("_nd_id"))
+    order = F.struct(F.col("_nd_id").isNull().alias("none"), "_nd_id", "_nd_row", "_nd_key")
     kept = found.join(ids, "_nd_key").groupBy("component_id").agg(F.min(order).alias("k")).select("k._nd_key")
-    return keyed.join(write_once(kept, "neardup-kept"), "_nd_key", "left_semi").dropDuplicates(["_nd_key"]).drop("_nd_key")
+    return single.join(write_once(kept, "neardup-kept"), "_nd_key", "left_semi").select(*columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
