@@ -101,6 +101,20 @@ def dedupe_daily_plays(plays: DataFrame, order_cols=("play_duration_ms", "play_c
     return keep_first(plays, ["track_id", "played_at"], list(order_cols))
 
 
+PLAY_VALUES = ("play_duration_ms", "play_count", "skip_count")
+
+
+def merge_versions(plays: DataFrame) -> DataFrame:
+    """One row per track and day of a plays table to which a stream appended corrections.
+
+    ``change`` is -1 for a row that takes a stored one back, else 1 or null. Of a day's versions the smallest
+    stands, which is the row the batch loader keeps of the same rows. The year is a key, so that year
+    filters still prune folders.
+    """
+    standing = plays.filter(F.coalesce("change", F.lit(1)) == 1).drop("change")
+    return keep_first(standing, ["track_id", "played_at", "play_year"], list(PLAY_VALUES)).select(*standing.columns)
+
+
 def build_plays(prepared: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
     """Join back on (title, artist name), parse the day, one row per track and day."""
     keyed = tracks.join(artists.select("artist_id", "name"), "artist_id").select(

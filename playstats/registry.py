@@ -463,16 +463,16 @@ def _q_stream_monthly(spark, sf_dir):
 
 @register("stream_after_batch_load")
 def _q_stream_after_batch(spark, sf_dir):
-    """Batch-load the first years of the export, stream the rest, send a drop again."""
+    """Batch-load a third of the export, stream another, then all of it again: each day is split over the three."""
     import uuid
     from playstats.session import ensure_checkpoint_dir
     from playstats.sources.readers import read_model
     from playstats.streaming import plays_stream as ST
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-stream/{uuid.uuid4().hex}"
     raw = DV.raw_play_export(spark, sf_dir)
-    early = F.coalesce(F.substring("Date Played", 1, 4) < "1998", F.lit(False))
-    IG.write_tables(IG.load_play_history(raw.filter(early)), f"{root}/tables")
-    for i in range(2):      # the second run gets the same rows as new files
-        drops = ST.replay_as_drops(raw.filter(~early), f"{root}/{i}")
-        ST.ingest_plays_stream(spark, drops, f"{root}/tables", f"{root}/ck{i}").awaitTermination()
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(3))
+    IG.write_tables(IG.load_play_history(raw.filter(part == 0)), f"{root}/tables")
+    for i, rows in enumerate((raw.filter(part == 1), raw)):      # the second sends every day again
+        drops = ST.replay_as_drops(rows, f"{root}/{i}")
+        ST.ingest_plays_stream(spark, drops, f"{root}/tables", f"{root}/ck{i}", files_per_batch=12).awaitTermination()
     return R.plays_per_month(read_model(spark, f"{root}/tables"))

@@ -122,9 +122,11 @@ def read_model(spark: SparkSession, root: str, fmt: str = "parquet"):
     """The model tables written by :func:`playstats.operators.ingest.write_tables`.
 
     Missing tables (e.g. a play-history-only load has no audio features) are None.
-    ``plays`` keeps its ``play_year`` partition column so year filters prune.
+    ``plays`` keeps its ``play_year`` partition column so year filters prune. If a stream has appended
+    corrections of stored days, their versions are merged on read; the test for one reads the footers only.
     """
     from playstats.model import Model
+    from playstats.operators.ingest import merge_versions
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     tables = {}
@@ -132,4 +134,11 @@ def read_model(spark: SparkSession, root: str, fmt: str = "parquet"):
         path = f"{root.rstrip('/')}/{name}"
         p = jvm.org.apache.hadoop.fs.Path(path)
         tables[name] = spark.read.format(fmt).load(path) if p.getFileSystem(conf).exists(p) else None
+    plays = tables["plays"]
+    if plays is not None and fmt == "parquet" and "play_year" in plays.columns:
+        fields = [f for f in plays.schema if f.name not in ("change", "play_year")]
+        versioned = T.StructType([*fields, T.StructField("change", T.ByteType()), plays.schema["play_year"]])
+        versions = spark.read.schema(versioned).parquet(f"{root.rstrip('/')}/plays")
+        corrected = versions.filter(F.col("change") == -1).limit(1).count()
+        tables["plays"] = merge_versions(versions) if corrected else versions.drop("change")
     return Model(**tables)

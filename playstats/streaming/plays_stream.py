@@ -7,12 +7,14 @@ operators as the batch loader and appends to the same model tables, with the sam
 
 * new artist names / (title, artist) pairs get ids after the current maximum
   (one-row aggregate, broadcast) in natural-key order;
-* plays are de-duplicated inside the batch (one row per track and day) and
-  anti-joined on (track_id, played_at) against the stored plays of the batch's years, so a
-  replayed batch (after a failure) or a re-sent day appends nothing twice.
+* plays are de-duplicated inside the batch (one row per track and day) and joined on
+  (track_id, played_at) with the stored plays of the batch's years. A day that is not stored is
+  appended; a replayed batch (after a failure) or a re-sent equal row appends nothing.
 
-A day belongs to the drop that brings it first: rows of a stored day in a later drop are
-left out, whatever their values.
+A day may be split over drops or sent again with other values: the smallest row of a day stands, as in
+the batch loader, whatever the order of the drops. A smaller row than the stored one is appended as a
+correction: the new row (``change`` 1) and the stored one taken back (``change`` -1), both in the same
+write. Readers merge the versions (``ingest.merge_versions``); sums over the changes need no merging.
 
 No watermark is needed: the key is a calendar day and every day stays open; a late
 file is simply another batch of days.
@@ -38,12 +40,13 @@ PLAYS_SCHEMA = T.StructType([
     T.StructField("play_duration_ms", T.LongType()),
     T.StructField("play_count", T.IntegerType()),
     T.StructField("skip_count", T.IntegerType()),
+    T.StructField("change", T.ByteType()),             # -1: takes a stored row back; 1 or null: a row
     T.StructField("play_year", T.IntegerType()),       # the partition
 ])
 
 
 PLAYS_DDL = ("track_id long, played_at timestamp_ntz, play_duration_ms long, play_count int, "
-             "skip_count int, play_year int")
+             "skip_count int, change tinyint, play_year int")
 
 
 def _export_schema(columns=None) -> T.StructType:
@@ -58,9 +61,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def _read_or_empty(spark: SparkSession, path: str, schema: str, declared: bool = False) -> DataFrame:
+    """The table at ``path``; ``declared`` reads it with ``schema``, columns a file lacks being null."""
     if _exists(spark, path):
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if declared else spark.read).parquet(path)
     return spark.createDataFrame([], schema)
 
 
@@ -95,22 +99,25 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
     tracks = spark.read.parquet(f"{root}/tracks")
 
     plays = cut_lineage(IG.build_plays(prepared, tracks, artists))
-    stored = _read_or_empty(spark, f"{root}/plays", PLAYS_DDL)
+    stored = _read_or_empty(spark, f"{root}/plays", PLAYS_DDL, declared=True)
     # Only stored days inside this batch's range can collide: the range (one row) becomes
     # literal filters, on the year folders and on the day column, so a batch does not re-read
-    # the whole history.
+    # the whole history. Unparsable days (NULL) are one key per track.
     lo, hi = plays.agg(F.min("played_at"), F.max("played_at")).first()
-    known = plays.filter(F.col("played_at").isNotNull())
+    near = F.col("play_year").isNull()
     if lo is not None:
-        in_range = stored.filter(F.col("play_year").between(lo.year, hi.year)
-                                 & F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
-        known = known.join(in_range.select("track_id", "played_at"), ["track_id", "played_at"],
-                           "left_anti")
-    # unparsable days (NULL) count as one key per track, compared null-safely
-    nulls = plays.filter(F.col("played_at").isNull()).join(
-        stored.filter(F.col("play_year").isNull()).select("track_id"), "track_id", "left_anti")
+        near = near | (F.col("play_year").between(lo.year, hi.year) & F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
+    values = list(IG.PLAY_VALUES)
+    old = IG.merge_versions(stored.filter(near)).select(
+        F.col("track_id").alias("_track"), F.col("played_at").alias("_day"), F.struct(*values).alias("_old"))
+    both = plays.join(old, (F.col("track_id") == F.col("_track")) & F.col("played_at").eqNullSafe(F.col("_day")), "left")
+    new = F.struct(*values)
+    add = F.struct(*values, F.lit(1).cast("tinyint").alias("change"))
+    back = F.struct(*[F.col(f"_old.{v}").alias(v) for v in values], F.lit(-1).cast("tinyint").alias("change"))
+    versions = F.when(F.col("_track").isNull(), F.array(add)).when(new < F.col("_old"), F.array(add, back))
     # adaptive execution sizes the files: one per year and advisory partition size
-    fresh = known.unionByName(nulls).withColumn("play_year", F.year("played_at")).hint("rebalance", "play_year")
+    fresh = (both.select("track_id", "played_at", F.inline(versions))
+             .withColumn("play_year", F.year("played_at")).hint("rebalance", "play_year"))
     IG.write_tables({"plays": fresh}, root, "append")
 
 
@@ -142,7 +149,7 @@ def monthly_plays_stream(spark: SparkSession, plays_dir: str, checkpoint_locatio
     """
     plays = spark.readStream.schema(PLAYS_SCHEMA).parquet(plays_dir)
     monthly = (plays.groupBy(month_start("played_at").alias("month"))
-               .agg(F.sum("play_count").alias("plays"))
+               .agg(F.sum(F.col("play_count") * F.coalesce("change", F.lit(1))).alias("plays"))
                .select("plays", month_name_padded("month").alias("month_name"),
                        year_month("month").alias("year_month")))
     w = monthly.writeStream.outputMode("complete")
@@ -155,15 +162,15 @@ def monthly_plays_stream(spark: SparkSession, plays_dir: str, checkpoint_locatio
     return w.option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start()
 
 
-def replay_as_drops(raw: DataFrame, work_dir: str) -> str:
-    """Write raw export rows as CSV drop files, whole days per file; returns the drop folder.
+def replay_as_drops(raw: DataFrame, work_dir: str, files: int = 24) -> str:
+    """Write raw export rows as about ``files`` CSV drop files; returns the drop folder.
 
-    A day is never split across files, so the first-drop rule equals the batch loader's
-    keep-first. The number of files follows the data (adaptive execution coalesces the days).
+    Rows are dealt by hash of all their columns, so the rows of a day are spread over the drops and a
+    day with very many rows is no large task.
     """
     drops = f"{work_dir.rstrip('/')}/drops"
-    (raw.repartition(F.col("`Date Played`")).select(*[F.col(f"`{c}`") for c in PLAY_EXPORT_COLUMNS])
-     .write.mode("overwrite").option("header", True).csv(drops))
+    columns = [F.col(f"`{c}`") for c in PLAY_EXPORT_COLUMNS]
+    raw.repartition(files, *columns).select(*columns).write.mode("overwrite").option("header", True).csv(drops)
     return drops
 
 
