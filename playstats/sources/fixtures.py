@@ -35,8 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sizes and modification times are unchanged."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     fs, p = _fs(spark, path)
-    stamp = tuple((st.getPath().toString(), st.getLen(), st.getModificationTime())
-                  for st in fs.listStatus(p))
+    stamp = tuple(_file_stamps(fs, p))
     key = (spark.sparkContext.applicationId, path)
     hit = _TABLES_OPENED.get(key)
     if hit is None or hit[0] != stamp:
@@ -186,13 +185,21 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _file_stamps(fs, p) -> list[str]:
+    """Path, size and modification time of every file below ``p``, those of partition folders included."""
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        st = found.next()
+        out.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    return sorted(out)
+
+
 def _input_signature(spark: SparkSession, sf_dir: str) -> str:
     """Hash of the input files' paths, sizes and modification times."""
     parts = [sf_dir]
     for name in ("supplier", "nation", "part", "lineitem", "orders", "documents"):
         fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
-        for st in fs.listStatus(p):
-            parts.append(f"{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+        parts += _file_stamps(fs, p)
     return hashlib.sha1("\n".join(parts).encode()).hexdigest()[:20]
 
 

@@ -60,3 +60,11 @@ def test_model_rebuilt_when_folder_removed(spark):
     shutil.rmtree(path)
     m2 = fixtures.model(spark, SF_SMALL)
     assert m2.plays.count() == n
+
+
+def test_a_changed_file_in_a_partition_folder_is_noticed(spark, tmp_path):
+    from playstats.sources import fixtures
+    spark.range(10).selectExpr("id", "id % 2 AS part").write.partitionBy("part").parquet(f"{tmp_path}/events.parquet")
+    assert fixtures.table(spark, str(tmp_path), "events").count() == 10
+    spark.range(5).write.parquet(f"{tmp_path}/events.parquet/part=7")
+    assert fixtures.table(spark, str(tmp_path), "events").count() == 15
