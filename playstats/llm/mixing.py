@@ -12,8 +12,9 @@ the excess is shared again by weight until none is above. A target above the sou
 met by whole repeats of every document plus one more copy of those below the boundary.
 
 Defined results. A null text has size 0. A null source is a source of its own. An empty
-table gives an empty result. Sources without words get target 0. Rows with equal ids share
-a hash and are taken alike. Input columns with the names of the output columns are replaced.
+table gives an empty result. Sources without words get target 0. Rows with equal ids and texts share
+a hash and are taken alike; rows without id, or with one id and other texts, are told apart by the text.
+Very long texts are counted and hashed as a whole. Input columns with the names of the output columns are replaced.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` plus ``size``, ``source_size``, ``target`` and ``taken`` (words, with repeats)."""
     key = F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("t"))
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
-    h = F.xxhash64(id_col).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
+    h = F.xxhash64(id_col, text_col).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
     slim = write_once(docs.select(F.col(id_col).alias("_mx_id"), key.alias("_mx_key"),
                                   size.alias("_mx_size"), h.alias("_mx_h")), "mix-sizes")
     targets = _source_targets(slim, weights, max_repeat)

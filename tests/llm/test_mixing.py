@@ -48,6 +48,13 @@ def test_taken_words_come_near_the_targets(spark):
         assert abs(taken[s] - want[s]) <= largest[s]
 
 
+def test_rows_without_an_id_are_taken_apart(spark):
+    rows = [(None, f"text{i} " * (1 + i % 5), "en", "a", 0) for i in range(400)]
+    rows += [(7, f"other{i} " * 3, "en", "b", 0) for i in range(400)] + [(i, "w w w", "en", "c", 0) for i in range(400)]
+    want, taken, largest, _ = check(spark, rows)
+    assert all(abs(taken[s] - want[s]) <= largest[s] for s in want)
+
+
 def test_excess_is_shared_again(spark):
     rows = [(0, "a b", "en", "a", 0), (1, "c " * 500, "en", "b", 0), (2, "d " * 40, "en", "c", 0)]
     want, *_ = check(spark, rows)
