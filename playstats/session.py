@@ -39,6 +39,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _local_heap() -> str:
+    """Half of the machine's memory, 1 to 16 GB."""
+    gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") >> 30
+    return f"{max(1, min(16, gb // 2))}g"
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "playstats", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the project settings.
@@ -53,7 +59,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     conf.update(RUNTIME_CONF)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf.setdefault("spark.driver.memory", "16g")
+        conf.setdefault("spark.driver.memory", _local_heap())
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
