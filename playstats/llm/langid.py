@@ -1,16 +1,16 @@
-"""Language ID by Bayesian fusion of text, declared language, address suffix and host priors.
+"""Language ID by Bayesian fusion of text, declared language, address suffix, path label and host priors.
 
 *Text.* Hashed byte trigrams (letters and word ends) are counted by declared language over all
 documents; they give each language's multinomial likelihood, tempered to ``TEMPER`` trigrams so
 that a long text does not drown all other evidence.
-*Declared language* (markup attribute or table column) and *address suffix* (top-level domain or
-leading path label): their distributions given the language come from grouped counts of
+*Declared language* (markup attribute or table column), *address suffix* (last label of the host) and
+*path label* (leading path segment): their distributions given the language come from grouped counts of
 (evidence, best language by text), smoothed.
 *Host priors.* Grouped counts of the best language by text at every level of the host name (a.b.c,
 b.c, c) and over all; each level is smoothed with its parent: (n + K * parent) / (total + K).
 
-*None of these.* One more outcome, with prior ``OUTSIDE``: uniform over the trigram bins, any suffix
-with its share of all rows, any declared label as if it had not been seen. A text that this outcome
+*None of these.* One more outcome, with prior ``OUTSIDE``: uniform over the trigram bins, any suffix or path
+label with its share of all rows, any declared label as if it had not been seen. A text that this outcome
 explains best trains neither the evidence tables nor the host priors.
 
 The posterior is the normalised product. The language is the best one, and a document is rejected if
@@ -172,18 +172,19 @@ def _declared(declared_col: str) -> Column:
 
 def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang",
                        host_col: str | None = "source", suffix_col: str | None = None,
-                       min_posterior: float = MIN_POSTERIOR) -> DataFrame:
+                       min_posterior: float = MIN_POSTERIOR, path_col: str | None = None) -> DataFrame:
     """(doc_id, row_md5, declared, language, probability, accepted) of every row.
 
     ``row_md5`` is the MD5 of the text (null for a null one), which tells rows with one id apart.
     """
     none = F.lit(None).cast("string")
-    given = _declared(declared_col) if declared_col else none
+    label = _declared(declared_col) if declared_col else none
     base = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.md5(text_col).alias("row_md5"),
-        F.nullif(given, F.lit("")).alias("declared"),
+        F.nullif(label, F.lit("")).alias("declared"),
         (F.lower(F.col(host_col).cast("string")) if host_col else none).alias("host"),
-        (F.lower(F.col(suffix_col).cast("string")) if suffix_col else none).alias("suffix"))
+        (F.lower(F.col(suffix_col).cast("string")) if suffix_col else none).alias("suffix"),
+        (F.lower(F.col(path_col).cast("string")) if path_col else none).alias("path"))
     held = base.filter("declared is not null").select("declared").distinct()
     languages = sorted(r["declared"] for r in held.collect())
     if not languages:
@@ -202,7 +203,8 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .withColumn("label", F.col("declared"))
     fused = rows
     score, other = F.col("ll"), F.lit(math.log(OUTSIDE))
-    for col in ("label", "suffix", "host"):
+    given = {"label": declared_col, "suffix": suffix_col, "path": path_col, "host": host_col}
+    for col in (kind for kind, source in given.items() if source):
         logs = _host_priors(rows, size) if col == "host" else _given_language(rows, col, size)
         if "other" not in logs.columns:
             logs = logs.withColumn("other", F.lit(0.0))

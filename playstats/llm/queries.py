@@ -16,6 +16,7 @@ from playstats.llm.line_dedup import line_dedup
 from playstats.llm.mixing import mix_sources
 from playstats.llm.neardup import near_duplicates
 from playstats.llm.packing import pack_documents
+from playstats.llm.page_language import page_languages
 from playstats.llm.quality import score_quality
 from playstats.llm.sharding import shard_documents
 from playstats.llm.topk import exact_top_k
@@ -62,6 +63,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read(spark, sf_dir, "documents")).drop("row_md5")
 
 
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_languages(read(spark, sf_dir, "pages"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(read(spark, sf_dir, "pages"), judge_targets=True).select("page_id", "host", "path", "rule", "verdict")
 
@@ -83,6 +88,6 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_kd_sharding, op3_exact_top_k, op4_best_fit_packing, op5_multi_index_hashing,
-    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, op10_url_filter, op11_fill_in_middle,
-    op12_embedding_whitening, op13_toxicity)}
+    op6_source_mix, op7_minhash_near_dedup, op8_quality, op9_language_id, page_language_id, op10_url_filter,
+    op11_fill_in_middle, op12_embedding_whitening, op13_toxicity)}
 ORACLE: dict[str, str] = _oracle.ORACLE
