@@ -167,6 +167,7 @@ def _q_rec_feature(spark, sf_dir):
 from playstats.operators.density import core_distances  # noqa: E402
 from playstats.operators.knn import all_pairs_topk  # noqa: E402
 from playstats.operators.neighbour_graph import knn_graph, neighbour_weights  # noqa: E402
+from playstats.operators.reachability import mutual_reachability_forest  # noqa: E402
 from playstats.operators.spectral import spectral_layout  # noqa: E402
 
 
@@ -210,6 +211,13 @@ def _q_core_distances(spark, sf_dir):
     return _rounded(core_distances(at, 20, id_col="vec_id"), ["core"], 9)
 
 
+@register("mutual_reachability_forest")
+def _q_mutual_reachability_forest(spark, sf_dir):
+    at = fixtures.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    return _rounded(mutual_reachability_forest(at, 20, id_col="vec_id"), ["weight"], 9)
+
+
 # ---- ingest, data quality, enrichment (inputs derived from the driver tables)
 from playstats.operators import enrich as EN  # noqa: E402
 from playstats.operators import ingest as IG  # noqa: E402
