@@ -4,16 +4,18 @@ The tree splits a node at the weighted median of its widest metadata dimension,
 being bytes, until every leaf is one shard (its target is the total over the shard count).
 A node of k shards is cut at floor(k/2)/k of its bytes, so any shard count works.
 
-Dimensions: size, language, source and a hash of the id. Each has a 31-bit ordinate; the
-width of a dimension in a node is its spread of ordinates as a share of the whole table's.
-Ties on an ordinate are ordered by a 32-bit hash of the id, so a source that holds a third
-of all rows can be cut in the middle. Medians are found without sorting: bytes are summed
+Dimensions: size, language and source. Each has a 31-bit ordinate: a label's is its rank among the
+table's distinct labels (as UTF-8 bytes), a number's its place between the least and the
+largest; the width of a dimension in a node is its spread of ordinates as a share of the whole
+table's (of equal widths the first named counts). Ties on an ordinate are ordered by a 32-bit
+hash of the id, so a source that holds a third of all rows can be cut in the middle. Medians are found without sorting: bytes are summed
 in 4096 bins of the 63-bit key a node, the bin with the cut is binned again, until it holds
 one key or a share of the bytes below ``tolerance``. What reaches the driver is one
 boundary a node and round; the histogram has at most 4096 rows a node.
 
 Defined results. Size is the UTF-8 bytes of the text (null: none) plus 1; the checksum of a
-null text is that of no bytes (0). Null metadata is an ordinate of its own. Rows with equal
+null text is that of no bytes (0). Null metadata (of numbers also NaN) is an ordinate of its own, before
+all others; infinite numbers lie at the ends. Very long texts count by their bytes. Rows with equal
 ids share a shard unless their metadata differ, and each row has its own slot. An empty
 table gives an empty result. More shards than rows leave some shards empty. Input columns
 named like the output columns are replaced. Copies are not kept together: the law is
@@ -27,20 +29,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from playstats.llm.common import bucketed_number, write_once
+from playstats.operators.ranking import dense_index
 
 BINS = 12
 KEY_BITS = 63
+ORDINATES = (1 << 31) - 1
 OUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
-def _ordinate(c: Column, numeric: bool) -> Column:
-    """31 bits that keep the order of a number, or group equal strings by their first bytes."""
-    if numeric:
-        value = F.least(F.greatest(c.cast("long"), F.lit(0)) + 1, F.lit((1 << 31) - 1))
-    else:
-        value = F.conv(F.hex(F.rpad(F.encode(c, "UTF-8"), 4, b"\x00")), 16, 10).cast("long")
-        value = F.least(F.shiftright(value, 1) + 1, F.lit((1 << 31) - 1))
-    return F.coalesce(value, F.lit(0)).cast("long")
+def _number_ordinates(docs: DataFrame, numeric: tuple[str, ...]) -> dict[str, Column]:
+    """Ordinates of numbers: their place between the least and the largest finite one (null and NaN: 0)."""
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in numeric}
+    finite = {c: F.when(F.abs(v) < float("inf"), v) for c, v in value.items()}
+    ends = docs.agg(*[f(v).alias(f"{n}_{c}") for c, v in finite.items() for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    out = {}
+    for i, c in enumerate(numeric):
+        lo, hi = ends[f"lo_{c}"] or 0.0, ends[f"hi_{c}"] or 0.0
+        # halved, so that the span of the largest doubles is finite
+        share = (value[c] / 2 - lo / 2) / ((hi / 2 - lo / 2) or 1.0)
+        inside = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))     # these two pass over nulls
+        out[f"_kd_n{i}"] = F.when(value[c].isNull(), 0).otherwise(F.floor(inside * (ORDINATES - 1)) + 1).cast("long")
+    return out
+
+
+def metadata_points(docs: DataFrame, keep: list[str], id_col: str, text_col: str, numeric: tuple[str, ...],
+                    labels: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """One row a document (``keep``, ``size``, ``text_crc32``, ``_kd_tie``, ordinates), and the ordinates' names."""
+    numbers = {"_kd_size": F.coalesce(F.octet_length(text_col) + F.lit(1), F.lit(0)).cast("long"),
+               **(_number_ordinates(docs, numeric) if numeric else {})}
+    slim = docs.select(
+        *keep, (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.encode(text_col, "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
+        F.xxhash64(id_col).bitwiseAND(F.lit((1 << 32) - 1)).alias("_kd_tie"),
+        *[c.alias(n) for n, c in numbers.items()], *[F.col(c).alias(f"_kd_l{i}") for i, c in enumerate(labels)])
+    for i, c in enumerate(labels):
+        # written, so that Spark knows its size: it is broadcast only where it is small
+        ranks = write_once(dense_index(docs.select(F.col(c).alias("_kd_label")).filter("_kd_label is not null"),
+                                       ["_kd_label"], "_kd_rank"), "shard-labels")
+        last = ranks.agg(F.max("_kd_rank")).first()[0] or 0
+        shift = max(0, last.bit_length() - 31)     # beyond 2^31 labels neighbours share an ordinate
+        slim = (slim.join(ranks, F.col(f"_kd_l{i}") == F.col("_kd_label"), "left")
+                .withColumn(f"_kd_s{i}", F.coalesce(F.shiftright("_kd_rank", shift), F.lit(0)).cast("long"))
+                .drop(f"_kd_l{i}", "_kd_label", "_kd_rank"))
+    dims = [*numbers, *[f"_kd_s{i}" for i in range(len(labels))]]
+    return write_once(slim, "shard-sizes"), dims
 
 
 def _cuts(rows: DataFrame, nodes: dict[int, tuple[int, float]], tolerance: float) -> dict[int, int]:
@@ -131,16 +163,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", te
     """One row a document: the ``keep`` columns (default: the id), size, text_crc32, law, shard,
     slot (gapless from 0 in its shard) and grown_shard (null under this law)."""
     keep = [c for c in (keep or [id_col]) if c not in OUT]
-    tie = F.xxhash64(id_col).bitwiseAND(F.lit((1 << 32) - 1))
-    dims = {"_kd_size": _ordinate(F.octet_length(text_col), True),
-            "_kd_id": F.shiftright(F.xxhash64(F.lit(7), id_col), 34).bitwiseAND(F.lit((1 << 29) - 1)).cast("long"),
-            **{f"_kd_n{i}": _ordinate(F.col(c), True) for i, c in enumerate(numeric)},
-            **{f"_kd_s{i}": _ordinate(F.col(c), False) for i, c in enumerate(labels)}}
-    slim = write_once(docs.select(
-        *keep, (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
-        F.coalesce(F.crc32(F.encode(text_col, "UTF-8")), F.lit(0)).cast("long").alias("text_crc32"),
-        tie.alias("_kd_tie"), *[c.alias(n) for n, c in dims.items()]), "shard-sizes")
-    placed = write_once(kd_shards(slim, list(dims), shards).drop("_kd_tie", *dims), "shard-places")
+    slim, dims = metadata_points(docs, keep, id_col, text_col, numeric, labels)
+    placed = write_once(kd_shards(slim, dims, shards).drop("_kd_tie", *dims), "shard-places")
     sizes = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     return (bucketed_number(placed, "shard", sizes, [*keep, "text_crc32"], [*keep, "text_crc32"], "slot")
             .select(*keep, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

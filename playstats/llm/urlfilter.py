@@ -1,7 +1,8 @@
 """URL filters: host and path rules, with block decisions carried to redirect aliases.
 
 Rules name a host (which fits itself and all its subdomains) and a path prefix; the longest
-fitting rule decides. Pages without a fitting rule take part in redirect equivalence: redirect
+fitting rule decides. Short lists are compiled into one expression; long lists and tables of rules are
+joined by host suffix and path prefix, with the same result. Pages without a fitting rule take part in redirect equivalence: redirect
 and canonical-link edges join addresses to components, and a block inside a component
 reaches the members that no rule covers, unless the component also holds an explicit allow,
 which takes precedence. All else is allowed. With ``judge_targets`` the rules are also matched on
@@ -29,7 +30,7 @@ import html
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playstats.llm.common import lower_ascii, write_once
@@ -49,8 +50,8 @@ class Rule:
 
 RULES = (Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"),
          Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/"))
-# Rules are compiled into one expression; longer lists than this are refused.
-MAX_RULES = 500
+# Lists of up to so many rules are one expression; longer ones, and tables of rules, are joined.
+COMPILED_RULES = 500
 OUT = ("host", "path", "rule", "verdict")
 
 _HREF = r"(?is)(?<![\w-])href\s*=\s*[\"']?([^\"'\s>]+)"
@@ -159,15 +160,61 @@ def _fits(rule: Rule, host: Column, path: Column) -> Column:
     return ((host == name) | F.endswith(host, F.lit("." + rule.host))) & F.startswith(path, F.lit(rule.path))
 
 
-def match_rules(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url") -> DataFrame:
-    """``pages`` plus host, path, rule (null if none fits) and the rule's verdict."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
-    # longest first; of equally long ones a block goes first
-    ordered = sorted(rules, key=lambda r: (-len(r.name), r.verdict != "block", r.name))
+def _rule_table(rules, spark: SparkSession) -> DataFrame:
+    """(r_host, r_path, r_verdict), one row a host and path: of a block and an allow the block."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
+    return write_once(rules.dropna(subset=["verdict", "host", "path"]).groupBy(
+        F.col("host").alias("r_host"), F.col("path").alias("r_path")).agg(
+            F.min_by("verdict", F.struct(F.col("verdict") != "block", "verdict")).alias("r_verdict")), "url-rules")
+
+
+def _fit_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """``pages`` plus rule and verdict, by equality joins on host suffixes and path prefixes.
+
+    A host's suffixes are cut at the lengths that rules' hosts have, a path's prefixes at those of the
+    rules of that host, so a host with many rules costs a page no more than it has lengths of paths.
+    """
+    lengths = [r[0] for r in rules.select(F.length("r_host")).distinct().collect()]   # as many as the longest host at most
+    longest = rules.agg(F.max(F.length("r_path"))).first()[0] or 0
+    hosts = rules.groupBy("r_host").agg(F.collect_set(F.length("r_path")).alias("_uf_lengths"))
+    # a host has no slash and a path starts with one, so both together name the pair
+    keyed = pages.withColumn("_uf_key", _node(F.concat("host", "path")))
+    n = F.length("host")
+
+    def label_starts(k: Column) -> Column:
+        return (k == n) | ((k < n) & (F.substr("host", F.greatest(n - k, F.lit(1)), F.lit(1)) == "."))
+
+    ends = (keyed.select("_uf_key", "host", F.substr("path", F.lit(1), F.lit(longest)).alias("_uf_start")).distinct()
+            .withColumn("_uf_k", F.explode(F.filter(F.array(*[F.lit(k) for k in sorted(lengths)]).cast("array<int>"),
+                                                    label_starts)))
+            .select("_uf_key", "_uf_start", F.substr("host", n - F.col("_uf_k") + 1, F.col("_uf_k")).alias("_uf_host")))
+    starts = (ends.join(hosts, F.col("_uf_host") == F.col("r_host"))
+              .select("_uf_key", "_uf_host", "_uf_start", F.explode(F.filter(
+                  "_uf_lengths", lambda k: k <= F.length("_uf_start"))).alias("_uf_k"))
+              .select("_uf_key", "_uf_host", F.substr("_uf_start", F.lit(1), F.col("_uf_k")).alias("_uf_path")))
+    name = F.concat("r_host", "r_path")
+    best = (starts.join(rules, (F.col("_uf_host") == F.col("r_host")) & (F.col("_uf_path") == F.col("r_path")))
+            .groupBy(F.col("_uf_key").alias("_uf_fit"))
+            .agg(F.min(F.struct((-F.length(name)).alias("len"), (F.col("r_verdict") != "block").alias("late"),
+                                name.alias("rule"), F.col("r_verdict").alias("verdict"))).alias("_uf_best")))
+    return (keyed.join(best, F.col("_uf_key") == F.col("_uf_fit"), "left")
+            .withColumn("rule", F.col("_uf_best.rule")).withColumn("verdict", F.col("_uf_best.verdict"))
+            .drop("_uf_key", "_uf_fit", "_uf_best"))
+
+
+def match_rules(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = RULES, url_col: str = "url") -> DataFrame:
+    """``pages`` plus host, path, rule (null if none fits) and the rule's verdict.
+
+    ``rules`` may also be a table (verdict, host, path; rows with a null among these are no rule).
+    """
     url = F.col(url_col)
     out = pages.select(*[c for c in pages.columns if c not in OUT], host_of(url).alias("host"),
                        path_of(url).alias("path"))
+    if isinstance(rules, DataFrame) or len(rules) > COMPILED_RULES:
+        return _fit_by_join(out, _rule_table(rules, pages.sparkSession))
+    # longest first; of equally long ones a block goes first
+    ordered = sorted(rules, key=lambda r: (-len(r.name), r.verdict != "block", r.name))
     rule = verdict = F.lit(None).cast("string")
     for r in reversed(ordered):
         fit = _fits(r, F.col("host"), F.col("path"))
@@ -216,7 +263,7 @@ def alias_edges(pages: DataFrame, pairs: DataFrame, url_col: str = "url") -> Dat
     return linked.select(_node(F.col("_uf_from")).alias("a"), _node(F.col("_uf_to")).alias("b"))
 
 
-def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url",
+def filter_urls(pages: DataFrame, rules: tuple[Rule, ...] | DataFrame = RULES, url_col: str = "url",
                 html_col: str | None = "html", redirects: DataFrame | None = None,
                 judge_targets: bool = False) -> DataFrame:
     """``pages`` plus host, path, rule and verdict (the rule's, else that of the aliases)."""

@@ -4,7 +4,7 @@ from collections import defaultdict
 from helpers import DOCS, awkward_docs
 from pyspark.sql import functions as F
 
-from playstats.llm.sharding import shard_documents, write_shards
+from playstats.llm.sharding import kd_shards, metadata_points, shard_documents, write_shards
 
 
 def check(out, rows, shards):
@@ -60,3 +60,57 @@ def test_reruns_agree_and_files(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out")
     assert {(r["doc_id"], r["shard"], r["slot"]) for r in back.select("doc_id", "shard", "slot").collect()} == a
     assert back.select(F.countDistinct("doc_id")).first()[0] == 300
+
+
+def plain_tree(rows, dims, shards):
+    """Shard of each row (``size``, tie, ordinates by dimension) by recursion over sorted rows."""
+    span = {d: max(1, max(r[d] for r in rows) - min(r[d] for r in rows)) for d in dims}
+    place = {}
+
+    def split(part, first, k):
+        if k == 1 or not part:
+            place.update({r["doc_id"]: first for r in part})
+            return
+        d = max(dims, key=lambda x: (max(r[x] for r in part) - min(r[x] for r in part)) / span[x])
+        weight = defaultdict(int)
+        for r in part:
+            weight[r[d], r["_kd_tie"]] += r["size"]
+        need, run = sum(weight.values()) * (k // 2) / k, 0
+        left = set()
+        for key in sorted(weight):
+            if run + weight[key] >= need:
+                if (need - run) * 2 >= weight[key]:
+                    left.add(key)
+                break
+            left.add(key)
+            run += weight[key]
+        split([r for r in part if (r[d], r["_kd_tie"]) in left], first, k // 2)
+        split([r for r in part if (r[d], r["_kd_tie"]) not in left], first + k // 2, k - k // 2)
+
+    split(rows, 0, shards)
+    return place
+
+
+def test_tree_equals_a_plain_one(spark):
+    rows = [(i, None if i % 50 == 0 else "x" * (i * i % 700), ("en", "de", "fr", None)[i * 7 % 4],
+             "hot" if i % 3 else f"http://site{i % 40}.example/long/prefix", 0) for i in range(1500)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for shards, numeric in ((8, ()), (5, ("doc_id",))):
+        slim, dims = metadata_points(docs, ["doc_id"], "doc_id", "text", numeric, ("lang", "source"))
+        points = [r.asDict() for r in slim.collect()]
+        got = {r["doc_id"]: r["shard"] for r in kd_shards(slim, dims, shards, tolerance=0.0).collect()}
+        assert got == plain_tree(points, dims, shards)
+        used = {d: {r[d] for r in points} for d in dims}
+        assert used["_kd_s0"] == {0, 1, 2, 3}
+        assert len(used["_kd_s1"]) == len({r[3] for r in rows})      # labels alike in their first bytes differ
+
+
+def test_ordinates_keep_the_order_of_numbers(spark):
+    inf = float("inf")
+    values = [None, float("nan"), -inf, -1.7e308, -5.0, 0.0, 3.0, 1.7e308, inf]
+    docs = spark.createDataFrame([(i, "t", v) for i, v in enumerate(values)], "doc_id long, text string, n double")
+    slim, _ = metadata_points(docs, ["doc_id"], "doc_id", "text", ("n",), ())
+    at = [r["_kd_n0"] for r in slim.orderBy("doc_id").collect()]
+    assert at[0] == at[1] == 0 and at[2] == at[3] == 1 and at[7] == at[8] == (1 << 31) - 1
+    assert at[2:] == sorted(at[2:])
+    assert shard_documents(docs, numeric=("n",), labels=()).count() == len(values)

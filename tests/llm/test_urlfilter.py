@@ -1,4 +1,5 @@
 import html
+import random
 from collections import Counter
 from urllib.parse import urljoin
 
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playstats.llm import queries
 from playstats.llm.components import connected_components
-from playstats.llm.urlfilter import RULES, Rule, _unescape, canonical_form, filter_urls, resolve
+from playstats.llm.urlfilter import COMPILED_RULES, RULES, Rule, _unescape, canonical_form, filter_urls, match_rules, resolve
 
 PAGES = "page_id long, url string, html string"
 LINK = '<html><head><LINK href="{}" rel="canonical"></head>'
@@ -164,3 +165,35 @@ def test_rules_reach_targets_that_are_no_pages(spark, tmp_path):
     spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
     query = {r["page_id"]: r["verdict"] for r in queries.op10_url_filter(spark, str(tmp_path)).collect()}
     assert query == {1: "block", 2: "allow", 3: "allow", 4: "block", 5: "allow", 6: "allow"}
+
+
+def test_long_lists_and_tables_of_rules(spark):
+    """A thousand rules and a table of rules give what the plain search over all rules gives."""
+    rnd = random.Random(5)
+    hosts = ["net", "com", "a.net", "b.a.net", "é.net", "😀.com", "x"] + [f"h{i}.com" for i in range(60)]
+    paths = ["/", "/a", "/a/", "/a/b", "/é", ""] + [f"/a/{i}" for i in range(40)]
+    names = sorted({(rnd.choice(hosts), rnd.choice(paths)) for _ in range(1400)})
+    rules = tuple(Rule(rnd.choice(["block", "allow"]), h, p) for h, p in names)
+    assert len(rules) > COMPILED_RULES
+    urls = [None, "", "none", "http://", "http://.net/a", "http://net", "http://" + "a." * 2000 + "net/" + "a/" * 3000]
+    urls += [f"http://{rnd.choice(['', 'www.', 'q.', 'b.'])}{rnd.choice(hosts)}{rnd.choice(paths)}{rnd.choice(['', '1', '/b?x', '#y'])}"
+             for _ in range(400)]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls + urls[:50])], PAGES)
+
+    def plain(url):
+        host, path = parts(url)
+        fit = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        best = min(fit, key=lambda r: (-len(r.name), r.verdict != "block", r.name), default=None)
+        return best and best.name, best and best.verdict
+
+    table = spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules] + [(None, "/", "block"), ("net", None, "block")],
+                                  "host string, path string, verdict string")
+    for given in (rules, table):
+        out = match_rules(pages, given).collect()
+        assert len(out) == len(urls) + 50
+        for r in out:
+            assert (r["rule"], r["verdict"]) == plain(r["url"]), r["url"]
+    both = spark.createDataFrame([("net", "/", "allow"), ("net", "/", "block")], "host string, path string, verdict string")
+    assert judge(spark, [(1, "http://a.net/x", None)], rules=both)[1]["verdict"] == "block"
+    none = both.limit(0)
+    assert judge(spark, [(1, "http://a.net/x", None)], rules=none)[1]["verdict"] == "allow"
