@@ -8,6 +8,7 @@ No schema inference (that would need an extra pass over the files).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,27 +43,17 @@ def _select_cast(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in columns.items()])
 
 
-HEADER_FILES = 1000   # up to so many files of a folder have their header lines read by the driver
+HEADER_THREADS = 32   # header lines read at a time
 
 
 def _files(spark: SparkSession, path: str) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.globStatus(p) or []:
-        walk = fs.listFiles(st.getPath(), True)
-        while walk.hasNext():
-            f = walk.next().getPath()
-            if not f.getName().startswith(("_", ".")):
-                out.append(f.toString())
-                if len(out) > HEADER_FILES:
-                    return out
-    return out
+    """The files that Spark reads below ``path``, without empty ones (names and lengths only; nothing is opened)."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return [r["path"] for r in listed.filter("length > 0").select("path").collect()]
 
 
 def _header(spark: SparkSession, file: str) -> str:
-    """The first line of a file (one short read, nothing more of it)."""
+    """The first line of a file that is not blank (one short read, nothing more of it)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(file)
     stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
@@ -70,7 +61,11 @@ def _header(spark: SparkSession, file: str) -> str:
         spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
     try:
         text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
-        return (jvm.java.io.BufferedReader(text).readLine() or "").lstrip("\ufeff")
+        lines = jvm.java.io.BufferedReader(text)
+        line = lines.readLine()
+        while line is not None and not line.lstrip("\ufeff").strip():
+            line = lines.readLine()
+        return (line or "").lstrip("\ufeff")
     finally:
         stream.close()
 
@@ -78,18 +73,20 @@ def _header(spark: SparkSession, file: str) -> str:
 def _read_csv(spark: SparkSession, path: str, columns: dict[str, str], **options) -> DataFrame:
     """CSV files of one path, selected by name; files with different headers are read apart.
 
-    In a folder of more than ``HEADER_FILES`` files all must have one header; Spark compares
-    each with it (``enforceSchema=False``) and fails on a difference rather than mixing columns.
+    Of every file, however many there are, the header line is read first (``HEADER_THREADS`` at a
+    time). Where all agree the path is read as a whole, else the files of each header by themselves; Spark
+    compares each file with the header (``enforceSchema=False``). Files without a line are passed over.
     """
     reader = lambda: (spark.read.option("header", True).option("inferSchema", False)
-                      .option("enforceSchema", False).options(**options))
+                      .option("recursiveFileLookup", True).option("enforceSchema", False).options(**options))
     files = _files(spark, path)
-    if len(files) > HEADER_FILES:
-        return _select_cast(reader().csv(path), columns)
     by_header: dict[str, list[str]] = {}
-    for f in files:
-        by_header.setdefault(_header(spark, f), []).append(f)
-    by_header.pop("", None)          # empty files
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for file, header in zip(files, pool.map(lambda f: _header(spark, f), files)):
+            by_header.setdefault(header, []).append(file)
+    if len(by_header) == 1 and "" not in by_header:
+        return _select_cast(reader().csv(path), columns)
+    by_header.pop("", None)
     if not by_header:
         return spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, t in columns.items()))
     parts = [_select_cast(reader().csv(fs), columns) for _, fs in sorted(by_header.items())]

@@ -152,3 +152,26 @@ def test_load_write_read_report_round_trip(spark, tmp_path):
     assert got == expect
     by_year = {r.listen_year: r.yearly_listening_min for r in R.listening_minutes_by_year(m).collect()}
     assert by_year == {2023: 48 * 1000 // 60000, 2024: 48 * 1000 // 60000}
+
+
+def test_many_files_with_different_headers(spark, tmp_path):
+    """More than a thousand files, some in subfolders, with two orders of columns, empty and blank-led files."""
+    from playstats.sources.readers import read_play_history
+    one = "Track Description,Date Played,Play Duration Milliseconds,Play Count,Skip Count"
+    two = "Play Count,extra,Skip Count,Track Description,Date Played,Play Duration Milliseconds"
+    for i in range(1030):
+        folder = tmp_path / f"part{i % 3}"
+        folder.mkdir(exist_ok=True)
+        body = f"{one}\nA - t{i},20200101,{i},1,0\n" if i % 2 else f"{two}\n1,x,0,A - t{i},20200101,{i}\n"
+        (folder / f"drop {i}.csv").write_text(("\n" if i == 7 else "") + body)
+    (tmp_path / "part0" / "empty.csv").write_text("")
+    (tmp_path / "part0" / "blank.csv").write_text("\n\n")
+    (tmp_path / "part0" / "_partial.csv").write_text(f"{one}\nA - no,20200101,1,1,0\n")
+    got = read_play_history(spark, str(tmp_path))
+    rows = {r["Track Description"]: (r["Play Duration Milliseconds"], r["Play Count"]) for r in got.collect()}
+    assert rows == {f"A - t{i}": (i, 1) for i in range(1030)}
+    same = tmp_path / "same"
+    same.mkdir()
+    for i in range(5):
+        (same / f"{i}.csv").write_text(f"{one}\nA - t{i},20200101,{i},1,0\n")
+    assert read_play_history(spark, str(same)).count() == 5
