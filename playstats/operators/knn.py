@@ -1,16 +1,19 @@
 """Exact k nearest neighbours of every row (S5), and the neighbour graph built on them (M2, M3).
 
-The join never forms all pairs. Rows are dealt to the cells of about sqrt(n) pivots (nearest pivot);
-each cell keeps the smallest and largest distance of its rows to its pivot.
+Rows are dealt to the cells of about sqrt(n) pivots (nearest pivot); each cell keeps the smallest and largest
+distance of its rows to its pivot. Neighbouring cells make up ``SPREAD`` blocks of about equal size, more
+where a block would pass ``BLOCK`` rows or ``BLOCK_BYTES`` bytes, and a cell beyond that is cut by hash.
 
 * *Round 1.* Each row gets an upper bound of its k-th distance from the rows of its own block.
-* *Round 2.* A row visits only the cells that can beat this bound. A row q and a cell with pivot p whose
-  rows are lo to hi away from p are at least ``d(q, p) - hi`` and ``lo - d(q, p)`` apart, and as a cell's rows
-  are nearer to p than to q's own pivot o, at least ``(d(q, p)^2 - d(q, o)^2) / 2 d(p, o)``. Bounds are widened
-  by more than rounding can take from them, so the result is exact.
-
-A cell with more than ``BLOCK`` rows is cut into blocks by hash, and the visitors of a block into
-portions of ``BLOCK``, so every task holds two bounded blocks however the rows cluster. Equal vectors
+* *Round 2.* A row visits only the blocks with cells that can beat this bound, and there only these cells. A row q and
+  a cell with pivot p whose rows are lo to hi away from p are at least ``d(q, p) - hi`` and ``lo - d(q, p)`` apart, and as a
+  cell's rows are nearer to p than to q's own pivot o, at least ``(d(q, p)^2 - d(q, o)^2) / 2 d(p, o)``. Bounds are
+  widened by more than rounding can take from them, so the result is exact.
+
+A row travels at most twice to each block (once asking, once asked), however many cells it must see: what is shuffled is
+``2 * SPREAD`` times the vectors while ``SPREAD`` blocks hold them, and each task has two blocks of bounded size. Where no
+cell can be left out, as among vectors of many dimensions, the pairs themselves are quadratic; they are
+multiplied in portions of ``PORTION`` rows. Equal vectors
 are one class while searching: a vector that a third of all rows share is searched once, and the
 class's members, at most k + 1 for each, are put back at the end.
 
@@ -26,13 +29,17 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playstats.session import cut_lineage
 
-BLOCK = 2048
+BLOCK = 65_536              # rows a block at most
+BLOCK_BYTES = 64 << 20      # bytes of its vectors
+SPREAD = 12                 # blocks, about, of a table that needs no more, of SPREAD_ROWS rows at least
+SPREAD_ROWS = 512
+PORTION = 2048              # rows multiplied at a time
 MAX_PIVOTS = 16_384         # bounds the pivot table sent to tasks; larger cells are cut into blocks
 PLACES = 9
 TIE = 2e-9                  # two distances this close may round alike
@@ -40,11 +47,12 @@ TIE = 2e-9                  # two distances this close may round alike
 
 @dataclass(frozen=True)
 class Neighbours:
-    """``rows``: (id, rank, neighbour_id, distance). ``visited``: share of all (row, cell) pairs searched."""
+    """``rows``: (id, rank, neighbour_id, distance). ``visited``: share of all (row, cell) pairs searched; ``sent``: blocks that a row asks, on average."""
 
     rows: DataFrame
     visited: float
     cells: int
+    sent: float = 0.0
 
 
 def usable_vectors(points: DataFrame, id_col: str, vector_col: str, metric: str) -> DataFrame:
@@ -102,74 +110,189 @@ def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
     return np.asarray([r["vec"] for r in drawn])
 
 
-def _search(vectors: DataFrame, n: int, k: int, metric: str) -> tuple[DataFrame, float, int]:
-    """((rep, near, distance): the k nearest classes of each, share of pairs visited, cells) of (rep, vec)."""
+def _vectors(column: pa.ChunkedArray, dims: int) -> np.ndarray:
+    return np.concatenate([c.flatten().to_numpy() for c in column.chunks] or [np.empty(0)]).reshape(-1, dims)
+
+
+def _group_cells(centres: np.ndarray, rows: np.ndarray, limit: int) -> list[np.ndarray]:
+    """Groups of neighbouring cells with at most ``limit`` rows each, larger cells by themselves: halved along the widest axis."""
+    todo, out = [np.arange(len(rows))], []
+    while todo:
+        at = todo.pop()
+        if len(at) == 1 or rows[at].sum() <= limit:
+            out.append(at)
+            continue
+        at = at[np.argsort(centres[at, np.ptp(centres[at], axis=0).argmax()], kind="stable")]
+        total = rows[at].cumsum()
+        parts = -(-total[-1] // limit)      # the halves get whole shares of the limit
+        cut = int(np.clip(np.searchsorted(total, total[-1] * (parts // 2) / parts, side="right"), 1, len(at) - 1))
+        todo += [at[:cut], at[cut:]]
+    return out
+
+
+def _products_over(x: np.ndarray, y: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Flat places where the products of the rows of x with those of y reach ``least`` (one a row of x), none left out.
+
+    Single precision, widened by twice its rounding, finds few places too many; where it cannot tell (many places, or
+    sizes out of its range) double precision does.
+    """
+    size, other = np.sqrt((x * x).sum(axis=1)), np.sqrt((y * y).sum(axis=1).max())
+    if max(size.max(), other) < 1e15:
+        edge = (least - (x.shape[1] + 8) * 2.0 ** -23 * size * other - 1e-36).astype(np.float32)
+        found = np.flatnonzero(x.astype(np.float32) @ y.astype(np.float32).T >= np.nextafter(edge, np.float32(-np.inf))[:, None])
+        if len(found) <= len(x) * len(y) / 20 + 1000:
+            return found
+    return np.flatnonzero(x @ y.T >= least[:, None])
+
+
+def _best_within(qid: np.ndarray, q: np.ndarray, reach: np.ndarray, low: np.ndarray, cid: np.ndarray, c: np.ndarray,
+                 starts: np.ndarray, k: int, metric: str, longest: float):
+    """(row of q, id, distance) of the k best rows of ``c`` for each row of ``q``, of those not beyond its ``reach``.
+
+    ``c`` lies by cells that begin at ``starts``; ``low`` has the least distance of each row of q to each of them, and a
+    cell is passed over by the rows that it cannot serve. ``reach`` is lowered to the k-th distance found.
+    """
+    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+    slack, square = _slack(q, longest), (q * q).sum(axis=1)
+    half = (c * c).sum(axis=1) / 2
+    side, other_side = (q, c) if metric == "cosine" else (np.c_[q, np.ones(len(q))], np.c_[c, -half])
+
+    def settle(parts):
+        i, near, far = (np.concatenate([h[x] for h in parts]) for x in range(3))
+        order = np.lexsort((near, np.round(far, PLACES), i))
+        i, near, far = i[order], near[order], far[order]
+        top = np.arange(len(i)) - np.searchsorted(i, i, side="left") < k
+        i, near, far = i[top], near[top], far[top]
+        last = np.searchsorted(i, np.arange(len(q)), side="right") - 1
+        full = np.bincount(i, minlength=len(q)) >= k
+        reach[full] = np.minimum(reach[full], far[last[full]] + TIE)
+        return [i, near, far]
+
+    fresh, waiting = [], 0
+    for cell in np.argsort(low.mean(axis=0), kind="stable").tolist():
+        for at in range(int(starts[cell]), int(starts[cell + 1]), PORTION):
+            end = min(at + PORTION, int(starts[cell + 1]))
+            edge = np.sqrt(2 * np.maximum(reach, 0)) if metric == "cosine" else reach       # unit vectors: distance^2 = 2 - 2 cos
+            rows = np.flatnonzero(low[:, cell] <= edge + slack)
+            wide = np.isinf(reach[rows])
+            if wide.any():
+                i, near, far = _best(qid[rows[wide]], q[rows[wide]], cid[at:end], c[at:end], k, metric)
+                fresh.append((rows[wide][i], near, far))
+                waiting, rows = waiting + len(i), rows[~wide]
+            if len(rows):
+                x, y = q[rows], c[at:end]
+                if metric == "cosine":
+                    least = 1 - reach[rows] - TIE
+                else:                 # distance^2 <= limit: x.y - |y|^2 / 2 >= (|x|^2 - limit) / 2
+                    limit = (reach[rows] + TIE) ** 2 + 1e-12 * (square[rows] + 2 * half[at:end].max())
+                    least = (square[rows] - limit) / 2
+                i, j = np.divmod(_products_over(side[rows], other_side[at:end], least), len(y))
+                far = 1 - np.einsum("ij,ij->i", x[i], y[j]) if metric == "cosine" else np.sqrt(((x[i] - y[j]) ** 2).sum(axis=1))
+                other = qid[rows[i]] != cid[at + j]
+                fresh.append((rows[i[other]], cid[at + j[other]], far[other]))
+                waiting += int(other.sum())
+            if wide.any() or waiting > 4 * k * len(q):
+                held, fresh, waiting = settle([held, *fresh]), [], 0
+    return settle([held, *fresh])
+
+
+def _search(vectors: DataFrame, n: int, k: int, metric: str) -> tuple[DataFrame, tuple[float, int, float]]:
+    """(rep, near, distance) of the k nearest classes of each of (rep, vec); share of pairs visited, cells, blocks a row asks."""
     pivots = _pivots(vectors, n)
+    dims = pivots.shape[1]
     longest = float(np.sqrt((pivots ** 2).sum(axis=1)).max())
 
-    def deal(frames):
-        for pdf in frames:
-            if len(pdf):
-                d = _distances(np.stack(pdf["vec"].to_numpy()), pivots)
+    def deal(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = _vectors(pa.chunked_array([batch["vec"]]), dims)
+                d = np.concatenate([_distances(x[i:i + PORTION], pivots) for i in range(0, len(x), PORTION)])
                 cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype(np.int32), away=d[np.arange(len(d)), cell])
+                yield pa.RecordBatch.from_arrays([batch["rep"], batch["vec"], pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
+                                                 names=["rep", "vec", "cell", "away"])
 
-    dealt = cut_lineage(vectors.mapInPandas(deal, "rep long, vec array<double>, cell int, away double"))
+    dealt = cut_lineage(vectors.select("rep", "vec").mapInArrow(deal, "rep long, vec array<double>, cell int, away double"))
     sizes = {r["cell"]: (r["n"], r["lo"], r["hi"]) for r in dealt.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("away").alias("lo"), F.max("away").alias("hi")).collect()}    # a row a pivot
     used = np.asarray(sorted(sizes))
-    lo, hi = (np.asarray([sizes[c][i] for c in used.tolist()]) for i in (1, 2))
+    count, lo, hi = (np.asarray([sizes[c][i] for c in used.tolist()]) for i in range(3))
     centres = pivots[used]
-    apart = {}
-
-    def bounds(own: int, x: np.ndarray) -> np.ndarray:
-        d = _distances(x, centres)
-        at = int(np.searchsorted(used, own))
-        if own not in apart:
-            apart[own] = np.maximum(_distances(centres[at:at + 1], centres)[0], 1e-300)
-        plane = (d * d - d[:, at:at + 1] ** 2 - 1e-9 * (d * d + longest ** 2)) / (2 * apart[own])
-        plane[:, at] = 0
-        return np.maximum(np.maximum(d - hi, lo - d), plane)
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, ids = np.stack(pdf["vec"].to_numpy()), pdf["rep"].to_numpy()
-        reach = np.full(len(x), np.inf)
-        i, _, far = _best(ids, x, ids, x, k, metric)
-        full = np.bincount(i, minlength=len(x)) >= k
-        last = np.searchsorted(i, np.arange(len(x)), side="right") - 1
-        reach[full] = far[last[full]] + TIE
-        if metric == "cosine":      # unit vectors: distance^2 = 2 - 2 cos
-            reach = np.sqrt(2 * np.maximum(reach, 0))
-        need = bounds(int(pdf["cell"].iloc[0]), x) <= (reach + _slack(x, longest))[:, None]
-        return pd.DataFrame({"rep": ids, "vec": pdf["vec"].to_numpy(), "cells": [used[r].tolist() for r in need]})
+    limit = max(1, min(BLOCK, BLOCK_BYTES // (8 * dims), max(SPREAD_ROWS, -(-5 * n // (4 * SPREAD)))))      # room for uneven cells
+    blocks, deals = [], []      # the cells of each block; (cell, its first block, its blocks)
+    for group in _group_cells(centres, count, limit):
+        parts = -(-int(count[group].sum()) // limit)      # more than one: a single large cell
+        deals += [(int(used[i]), len(blocks), parts) for i in group.tolist()]
+        blocks += [np.sort(group)] * parts
+
+    def bounds(x: np.ndarray, own: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Least distances of the rows ``x``, dealt to the cells ``own``, to the rows of ``cells`` (both as places in ``used``)."""
+        d = _distances(x, centres[cells])
+        mine, at = np.unique(own, return_inverse=True)
+        apart = np.maximum(_distances(centres[mine], centres[cells]), 1e-300)[at]
+        home = ((x - centres[own]) ** 2).sum(axis=1)[:, None]
+        plane = (d * d - home - 1e-9 * (d * d + longest ** 2)) / (2 * apart)
+        plane[own[:, None] == cells[None, :]] = 0
+        return np.maximum(np.maximum(d - hi[cells], lo[cells] - d), plane)
+
+    def by_cell(table: pa.Table):
+        """Ids, vectors, cells and cell starts of a block's rows, by cell; the table's order of them."""
+        cell = np.searchsorted(used, table["cell"].to_numpy())
+        order = np.argsort(cell, kind="stable")
+        cell = cell[order]
+        here, starts = np.unique(cell, return_index=True)
+        return table["rep"].to_numpy()[order], _vectors(table["vec"], dims)[order], cell, here, np.append(starts, len(cell)), order
+
+    def choose(table: pa.Table) -> pa.Table:
+        ids, x, cell, here, starts, order = by_cell(table)
+        reach, seen, asks = np.full(len(x), np.inf), np.zeros(len(x), np.int32), []
+        for own in range(len(here)):
+            for at in range(int(starts[own]), int(starts[own + 1]), PORTION):
+                rows = slice(at, min(at + PORTION, int(starts[own + 1])))
+                low = bounds(x[rows], cell[rows], here)
+                low[:, own] = -np.inf       # the own cell first
+                _best_within(ids[rows], x[rows], reach[rows], low, ids, x, starts, k, metric, longest)
+                edge = np.sqrt(2 * np.maximum(reach[rows], 0)) if metric == "cosine" else reach[rows]
+                need = bounds(x[rows], cell[rows], np.arange(len(used))) <= (edge + _slack(x[rows], longest))[:, None]
+                seen[rows] = need.sum(axis=1)
+                visit = np.stack([need[:, b].any(axis=1) for b in blocks], axis=1)
+                asks += [np.flatnonzero(v).astype(np.int32) for v in visit]
+        return pa.table({"rep": ids, "vec": table["vec"].take(pa.array(order)), "cell": used[cell].astype(np.int32),
+                         "reach": reach, "seen": seen, "targets": pa.array(asks, pa.list_(pa.int32()))})
 
     spark = vectors.sparkSession
-    blocks = spark.createDataFrame([(int(c), -(-s[0] // BLOCK)) for c, s in sizes.items()], "cell int, blocks int")
-    cut = cut_lineage(dealt.join(F.broadcast(blocks), "cell").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")))
-    visits = cut_lineage(cut.groupBy("cell", "block").applyInPandas(choose, "rep long, vec array<double>, cells array<int>"))
-    visitors = {r["cell"]: r["n"] for r in visits.select(F.explode("cells").alias("cell")).groupBy("cell")
-                .agg(F.count(F.lit(1)).alias("n")).collect()}        # a row a pivot
-    portions = F.broadcast(spark.createDataFrame(
-        [(int(c), -(-s[0] // BLOCK), -(-visitors.get(c, 1) // BLOCK)) for c, s in sizes.items()],
-        "cell int, blocks int, portions int"))
-    asking = (visits.select("rep", "vec", F.explode("cells").alias("cell")).join(portions, "cell")
-              .withColumn("portion", F.pmod(F.xxhash64("rep", F.lit(3)), "portions").cast("int"))
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("cell", "block", "portion", "rep", "vec"))
-    asked = (cut.select("cell", "block", "rep", "vec").join(portions.drop("blocks"), "cell")
-             .withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)))
-             .select("cell", "block", "portion", "rep", "vec"))
-
-    def meet(qs: pd.DataFrame, cs: pd.DataFrame) -> pd.DataFrame:
-        if not len(qs) or not len(cs):
-            return pd.DataFrame({"rep": pd.Series(dtype="int64"), "near": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-        ids = qs["rep"].to_numpy()
-        i, near, far = _best(ids, np.stack(qs["vec"].to_numpy()), cs["rep"].to_numpy(), np.stack(cs["vec"].to_numpy()), k, metric)
-        return pd.DataFrame({"rep": ids[i], "near": near, "distance": far})
-
-    key = ["cell", "block", "portion"]
-    found = asking.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(meet, "rep long, near long, distance double")
-    return _top(found, "rep", "near", k), sum(visitors.values()) / (n * len(used)), len(used)
+    shares = F.broadcast(spark.createDataFrame(deals, "cell int, first int, parts int"))
+    cut = dealt.join(shares, "cell").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("rep"), "parts")).cast("int"))
+    rows = cut.select("block", "rep", "vec", "cell")
+    visits = rows.repartition(len(blocks), "block").groupBy("block").applyInArrow(
+        lambda key, table: choose(table).append_column("block", pa.array([key[0].as_py()] * table.num_rows, pa.int32())),
+        "rep long, vec array<double>, cell int, reach double, seen int, targets array<int>, block int")
+    visits = cut_lineage(visits)
+    seen = visits.agg(F.sum("seen")).first()[0]
+    pairs = visits.select("block", F.explode("targets").alias("target")).groupBy("block", "target").count().collect()   # blocks squared at most
+    sent = sum(r["count"] for r in pairs) / n
+    key = ["block", "target"]
+    asking = visits.select("block", F.explode("targets").alias("target"), "rep", "vec", "cell", "reach")
+    asked = (rows.withColumnRenamed("block", "target")
+             .join(F.broadcast(spark.createDataFrame([tuple(r)[:2] for r in pairs], "block int, target int")), "target")
+             .select("block", "target", "rep", "vec", "cell"))
+
+    def meet(qs: pa.Table, cs: pa.Table) -> pa.Table:
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if qs.num_rows and cs.num_rows:
+            ids, x, cell, _, _, order = by_cell(qs)
+            reach = qs["reach"].to_numpy()[order]
+            cid, c, _, here, starts, _ = by_cell(cs)
+            for at in range(0, len(x), PORTION):
+                part = slice(at, at + PORTION)
+                low = bounds(x[part], cell[part], here)
+                i, near, far = _best_within(ids[part], x[part], reach[part], low, cid, c, starts, k, metric, longest)
+                out.append((ids[part][i], near, far))
+        return pa.table(dict(zip(("rep", "near", "distance"), (np.concatenate(o) for o in zip(*out)))))
+
+    tasks = len(pairs)
+    found = (asking.repartition(tasks, *key).groupBy(*key).cogroup(asked.repartition(tasks, *key).groupBy(*key))
+             .applyInArrow(meet, "rep long, near long, distance double"))
+    return _top(found, "rep", "near", k), (seen / (n * len(used)), len(used), sent)
 
 
 def _top(found: DataFrame, by: str, near: str, k: int, out: str = "rank") -> DataFrame:
@@ -195,9 +318,9 @@ def nearest_neighbours(points: DataFrame, k: int, id_col: str = "id", vector_col
     if not m:
         empty = rows.select("id", F.lit(1).alias("rank"), F.col("id").alias("neighbour_id"), F.lit(0.0).alias("distance"))
         return Neighbours(empty, 0.0, 0)
-    found, visited, cells = _search(classes.select("rep", F.col("unit").alias("vec")), m, k, metric)
+    found, measures = _search(classes.select("rep", F.col("unit").alias("vec")), m, k, metric)
     if m == n:
-        return Neighbours(found.select(F.col("rep").alias("id"), "rank", F.col("near").alias("neighbour_id"), "distance"), visited, cells)
+        return Neighbours(found.select(F.col("rep").alias("id"), "rank", F.col("near").alias("neighbour_id"), "distance"), *measures)
     found = cut_lineage(found)
     held = cut_lineage(rows.join(classes.select("rep", "vec"), "vec").select("id", "rep"))      # a hot class: split by AQE
     first = Window.partitionBy("rep").orderBy("id")
@@ -206,7 +329,7 @@ def nearest_neighbours(points: DataFrame, k: int, id_col: str = "id", vector_col
             .unionByName(members.select(F.col("near").alias("rep"), "id", F.lit(0.0).alias("distance"))))
     lists = cut_lineage(_top(each, "rep", "id", k + 1, "_r").select("rep", F.col("id").alias("neighbour_id"), "distance"))
     out = _top(held.join(lists, "rep").filter(F.col("id") != F.col("neighbour_id")), "id", "neighbour_id", k)
-    return Neighbours(out.select("id", "rank", "neighbour_id", "distance"), visited, cells)
+    return Neighbours(out.select("id", "rank", "neighbour_id", "distance"), *measures)
 
 
 def all_pairs_topk(points: DataFrame, k: int = 10, id_col: str = "id", vector_col: str = "vector",

@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstats.operators.density import core_distances
-from playstats.operators.knn import BLOCK, PLACES, TIE, _distances, _pivots, usable_vectors
+from playstats.operators.knn import PLACES, TIE, _distances, _pivots, usable_vectors
 from playstats.session import cut_lineage
 
+BLOCK = 2048
 _EDGE = "comp long, weight double, a long, b long, other long"
 
 

@@ -76,3 +76,24 @@ def test_most_cells_are_never_visited(spark):
     assert found.cells > 50 and found.visited < 0.15
     same(sorted((r["id"], r["rank"], r["neighbour_id"], round(r["distance"], 9)) for r in found.rows.filter("id < 300").collect()),
          [x for x in sorted(brute(rows, 5, "l2")) if x[0] < 300])
+
+
+def test_rows_are_sent_to_blocks_not_to_cells(spark):
+    """Among vectors of many dimensions hardly a cell can be left out; a row still asks each block once at most."""
+    rows = [(i, [float(a) for a in v], "r") for i, v in enumerate(np.random.default_rng(5).standard_normal((7000, 24)))]
+    for metric in ("l2", "cosine"):
+        found = nearest_neighbours(spark.createDataFrame(rows, SCHEMA), 6, metric=metric)
+        assert found.visited > 0.5 and found.cells > 4 * knn.SPREAD and 1 <= found.sent <= knn.SPREAD + 4
+        same(sorted((r["id"], r["rank"], r["neighbour_id"], round(r["distance"], 9)) for r in found.rows.filter("id < 100").collect()),
+             [x for x in sorted(brute(rows, 6, metric)) if x[0] < 100])
+
+
+def test_single_precision_filter_leaves_nothing_out(spark):
+    """Far from the origin, and at sizes beyond single precision, differences are below its rounding."""
+    rng = np.random.default_rng(6)
+    for shift, scale in ((1e4, 1e-2), (0.0, 1e18), (0.0, 1e-25)):
+        x, y = (shift + scale * rng.random((n, 5)) for n in (50, 400))
+        products = x @ y.T
+        least = np.sort(products, axis=1)[:, -7]
+        i = np.divmod(knn._products_over(x, y, least), 400)
+        assert set(zip(*(a.tolist() for a in np.nonzero(products >= least[:, None])))) <= set(zip(*(a.tolist() for a in i)))
