@@ -24,20 +24,17 @@ def drop_null_rows(df: DataFrame, cols) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
-def _regex_literal(text: str) -> str:
-    return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in text)
-
-
 def split_description(df: DataFrame, col: str = "Track Description",
                       sep: str = DESCRIPTION_SEPARATOR,
                       first: str = "artist_name", second: str = "track_name") -> DataFrame:
     """Split at the first separator only.
 
-    No separator: ``first`` = whole text, ``second`` = NULL. ``get`` returns NULL
-    past the end (indexing with ``[1]`` would raise in ANSI mode).
+    No separator: ``first`` = whole text, ``second`` = NULL. The separator is searched as plain text, without a
+    regular expression a row.
     """
-    parts = F.split(F.col(col), _regex_literal(sep), 2)
-    return df.withColumns({first: F.get(parts, 0), second: F.get(parts, 1)})
+    text, at = F.col(col), F.instr(F.col(col), sep)
+    return df.withColumns({first: F.when(at > 0, F.substring_index(text, sep, 1)).otherwise(text),
+                           second: F.when(at > 0, F.substring(text, at + len(sep), F.length(text)))})
 
 
 def parse_compact_date(c) -> Column:
@@ -115,15 +112,25 @@ def merge_versions(plays: DataFrame) -> DataFrame:
     return keep_first(standing, ["track_id", "played_at", "play_year"], list(PLAY_VALUES)).select(*standing.columns)
 
 
+def pair_key() -> Column:
+    """64 bits of (track_name, artist_name)."""
+    return F.xxhash64("track_name", "artist_name")
+
+
 def build_plays(prepared: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
-    """Join back on (title, artist name), parse the day, one row per track and day."""
-    keyed = tracks.join(artists.select("artist_id", "name"), "artist_id").select(
-        "track_id", F.col("title").alias("track_name"), F.col("name").alias("artist_name"))
-    p = (prepared.join(keyed, ["track_name", "artist_name"])
-         .select("track_id", parse_compact_date("played_at_text").alias("played_at"),
-                 "play_duration_ms", "play_count", "skip_count"))
-    return dedupe_daily_plays(p).select("track_id", "played_at", "play_duration_ms",
-                                        "play_count", "skip_count")
+    """Join back on (title, artist name), parse the day, one row per track and day.
+
+    The plays meet their tracks by :func:`pair_key`, so they are shuffled without their names. If two tracks
+    share a key, the names themselves are joined.
+    """
+    keyed = cut_lineage(tracks.join(artists.select("artist_id", "name"), "artist_id").select(
+        "track_id", F.col("title").alias("track_name"), F.col("name").alias("artist_name")).withColumn("pair", pair_key()))
+    shared = keyed.groupBy("pair").count().filter("count > 1").limit(1).count()
+    by = ["track_name", "artist_name"] if shared else ["pair"]
+    plays = (prepared.filter(F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()).withColumn("pair", pair_key())
+             .select(*by, parse_compact_date("played_at_text").alias("played_at"), *PLAY_VALUES))
+    p = plays.join(keyed.select(*by, "track_id"), by).select("track_id", "played_at", *PLAY_VALUES)
+    return dedupe_daily_plays(p).select("track_id", "played_at", *PLAY_VALUES)
 
 
 def load_play_history(raw: DataFrame) -> dict[str, DataFrame]:

@@ -38,7 +38,7 @@ def raw_play_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         desc.cast("string").alias("Track Description"),
         F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 5), F.lit("unknown"))
-        .otherwise(F.regexp_replace(play_day().cast("string"), "-", "")).alias("Date Played"),
+        .otherwise(F.translate(play_day().cast("string"), "-", "")).alias("Date Played"),
         F.bround(F.col("l_extendedprice") * 3, 0).cast("long").alias("Play Duration Milliseconds"),
         play_count().alias("Play Count"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int") % 4)

@@ -175,3 +175,23 @@ def test_many_files_with_different_headers(spark, tmp_path):
     for i in range(5):
         (same / f"{i}.csv").write_text(f"{one}\nA - t{i},20200101,{i},1,0\n")
     assert read_play_history(spark, str(same)).count() == 5
+
+
+def test_plays_are_shuffled_without_their_names(spark, monkeypatch):
+    rows = [("A - x", "20200101", 5, 1, 0), ("A - x", "20200101", 3, 2, 0), ("A - y", "20200102", 7, 1, 1), ("B - x", "junk", 1, 1, 0),
+            ("B", "20200101", 1, 1, 0), (None, "20200101", 1, 1, 0), (" - x", "20200103", 4, 1, 0), ("B - x - y", "20200104", 2, 1, 0), ("B - ", "20200104", 9, 1, 0)]
+    raw = spark.createDataFrame(rows, "`Track Description` string, `Date Played` string, `Play Duration Milliseconds` long, `Play Count` int, `Skip Count` int")
+
+    def named(t):
+        full = t["plays"].join(t["tracks"], "track_id").join(t["artists"], "artist_id")
+        return sorted((r["name"], r["title"], str(r["played_at"]), r["play_duration_ms"], r["play_count"]) for r in full.collect())
+
+    monkeypatch.setattr(IG, "cut_lineage", lambda df: df.localCheckpoint())      # plans without file names
+    loaded = IG.load_play_history(raw)
+    exchanges = [x for x in loaded["plays"]._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x or "SortMergeJoin" in x]
+    assert exchanges and not any("track_name" in x or "artist_name" in x for x in exchanges)
+    want = [("", "x", "2020-01-03 00:00:00", 4, 1), ("A", "x", "2020-01-01 00:00:00", 3, 2), ("A", "y", "2020-01-02 00:00:00", 7, 1),
+            ("B", "", "2020-01-04 00:00:00", 9, 1), ("B", "x", "None", 1, 1), ("B", "x - y", "2020-01-04 00:00:00", 2, 1)]
+    assert named(loaded) == want
+    monkeypatch.setattr(IG, "pair_key", lambda: F.lit(1).cast("long"))           # tracks that share a key
+    assert named(IG.load_play_history(raw)) == want
