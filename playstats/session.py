@@ -27,7 +27,10 @@ BASE_CONF = {
 # IS NOT NULL constraint through the 21-feature projections of the feature views,
 # which made optimisation of the similarity plans take close to a minute; the
 # explicit predicates those plans need are written out, so nothing is lost.
+# Arrow batches end at these bytes, not only at 10,000 rows, so a Python worker's memory does not
+# grow with the length of the texts.
 RUNTIME_CONF = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.constraintPropagation.enabled": "false",
 }
 

@@ -151,3 +151,23 @@ def test_languages_of_the_test_pages(spark):
     held = [r for r in out if r["page_id"] % 5 == 0]
     assert len(out) == pages.count() and all(r["declared"] is None for r in held)
     assert sum(r["language"] == r["true"] for r in held) >= 0.98 * len(held)
+
+
+def test_batches_of_pages_are_bounded_by_bytes(spark):
+    """1,500 pages of 40 KB: a Python worker gets 8 MB or so at a time, not all of a partition."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from playstats.llm import page_language
+    pages = spark.range(0, 1500, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://a.de/").alias("url"),
+                                              F.concat(F.lit("<html lang=de>"), F.repeat(F.lit("ab c "), 8000)).alias("html"))
+    out = page_languages(pages)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    assert pages.select("html").mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 10_000_000
+    assert out.count() == 1500 and {r["language"] for r in out.collect()} == {"de"}
+    got = page_language._visible.func(pa.array(["<b>x</b>", None, "y" * 9_000_000, ""]))
+    assert [None if v is None else len(v) for v in got.to_pylist()] == [3, None, 9_000_000, 0]
+    assert page_language._visible.func(pa.array([], pa.string())).to_pylist() == []
