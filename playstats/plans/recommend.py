@@ -19,7 +19,7 @@ from playstats.plans.features import (DEFAULT_AS_OF, FEATURE_COLS, clean_from_en
 SIMILARITY_COLS = FEATURE_COLS
 
 
-def _clean_with_names(m: Model, as_of: _dt.date) -> DataFrame:
+def clean_with_names(m: Model, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
     # The scaled rows with their names, stored once: target and candidates are read from them.
     return cut_lineage(clean_from_engineered(track_features_engineered(m, as_of),
                                              carry=("title", "artist", "genres", "total_plays")))
@@ -37,13 +37,14 @@ def similar_tracks_to(candidates: DataFrame, target: DataFrame, n: int = 10) ->
 
 
 def similar_tracks(m: Model, title: str, artist: str, n: int = 10,
-                   as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
+                   as_of: _dt.date = DEFAULT_AS_OF, cand: DataFrame | None = None) -> DataFrame:
     """The n tracks most similar to the track named (title, artist).
 
     (title, artist) is unique in a loaded model; if it is not, the lowest track_id
-    is the target, so the broadcast side is always one row.
+    is the target, so the broadcast side is always one row. ``cand``: the stored rows of
+    :func:`clean_with_names`, if the caller has them.
     """
-    cand = _clean_with_names(m, as_of)
+    cand = clean_with_names(m, as_of) if cand is None else cand
     target = (cand.filter((F.col("title") == title) & (F.col("artist") == artist))
               .orderBy("track_id").limit(1))
     return similar_tracks_to(cand, target, n)
@@ -51,7 +52,7 @@ def similar_tracks(m: Model, title: str, artist: str, n: int = 10,
 
 def similar_to_most_played(m: Model, n: int = 10, as_of: _dt.date = DEFAULT_AS_OF) -> DataFrame:
     """S1 with the most played track (ties: lowest track_id) as target."""
-    cand = _clean_with_names(m, as_of)
+    cand = clean_with_names(m, as_of)
     target = cand.orderBy(F.col("total_plays").desc(), "track_id").limit(1)
     return similar_tracks_to(cand, target, n)
 

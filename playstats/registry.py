@@ -150,9 +150,9 @@ def _q_similar(spark, sf_dir):
 def _q_similar_named(spark, sf_dir):
     """S1 as the statement has it, by title and artist: those of the first track by title."""
     m = _m(spark, sf_dir)
-    first = (FT.track_features(m).filter(F.col("total_plays") >= 2).orderBy("title", "track_id")
-             .select("title", "artist").first())
-    return _rounded(RC.similar_tracks(m, first["title"], first["artist"], n=10), ["cosine_similarity"], 9)
+    cand = RC.clean_with_names(m)      # the plays are aggregated once, for the track and for those like it
+    first = cand.filter(F.col("total_plays") >= 2).orderBy("title", "track_id").select("title", "artist").first()
+    return _rounded(RC.similar_tracks(m, first["title"], first["artist"], n=10, cand=cand), ["cosine_similarity"], 9)
 
 
 @register("recommend_by_feature")

@@ -150,3 +150,17 @@ def test_sql_over_registered_views_matches_dataframe(spark, small_model):
     assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, df.collect()))
     tiers = spark.sql("SELECT affinity_tier, count(*) n FROM v_track_features GROUP BY 1").collect()
     assert sum(r.n for r in tiers) == FT.track_features(small_model).count()
+
+
+def test_similar_tracks_named_aggregates_the_plays_once(spark, small_model, monkeypatch):
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from playstats import registry
+    from playstats.plans import features as FT
+    from playstats.plans import recommend as RC
+    first = FT.track_features(small_model).filter(F.col("total_plays") >= 2).orderBy("title", "track_id").first()
+    want = [(r[0], r[1], r[2], round(r[3], 9)) for r in RC.similar_tracks(small_model, first["title"], first["artist"], n=10).collect()]
+    calls, real = [], FT.track_features
+    monkeypatch.setattr(FT, "track_features", lambda m: calls.append(1) or real(m))
+    got = [tuple(r) for r in registry.QUERIES["similar_tracks_named"](spark, SF_SMALL).collect()]
+    assert len(calls) == 1 and sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 10
