@@ -4,14 +4,14 @@ Rows are dealt to the cells of about sqrt(n) pivots (nearest pivot); each cell k
 distance of its rows to its pivot. Neighbouring cells make up ``SPREAD`` blocks of about equal size, more
 where a block would pass ``BLOCK`` rows or ``BLOCK_BYTES`` bytes, and a cell beyond that is cut by hash.
 
-* *Round 1.* Each row gets an upper bound of its k-th distance from the rows of its own block.
-* *Round 2.* A row visits only the blocks with cells that can beat this bound, and there only these cells. A row q and
-  a cell with pivot p whose rows are lo to hi away from p are at least ``d(q, p) - hi`` and ``lo - d(q, p)`` apart, and as a
+* *Round 1.* Each row finds its k best in its own block, and so an upper bound of its k-th distance.
+* *Round 2.* A row visits only the other blocks with cells that can beat this bound, and there only these cells. Two blocks
+  meet once, for both directions. A row q and a cell with pivot p whose rows are lo to hi away from p are at least ``d(q, p) - hi`` and ``lo - d(q, p)`` apart, and as a
   cell's rows are nearer to p than to q's own pivot o, at least ``(d(q, p)^2 - d(q, o)^2) / 2 d(p, o)``. Bounds are
   widened by more than rounding can take from them, so the result is exact.
 
-A row travels at most twice to each block (once asking, once asked), however many cells it must see: what is shuffled is
-``2 * SPREAD`` times the vectors while ``SPREAD`` blocks hold them, and each task has two blocks of bounded size. Where no
+A row travels at most once for each other block, however many cells it must see: what is shuffled is ``SPREAD`` times the
+vectors while ``SPREAD`` blocks hold them, in the components' own type, and each task has two blocks of bounded size. Where no
 cell can be left out, as among vectors of many dimensions, the pairs themselves are quadratic; they are
 multiplied in portions of ``PORTION`` rows. Equal vectors
 are one class while searching: a vector that a third of all rows share is searched once, and the
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from playstats.session import cut_lineage
 
-BLOCK = 65_536              # rows a block at most
+BLOCK = 98_304              # rows a block at most
 BLOCK_BYTES = 64 << 20      # bytes of its vectors
-SPREAD = 12                 # blocks, about, of a table that needs no more, of SPREAD_ROWS rows at least
+SPREAD = 8                  # blocks, about, of a table that needs no more, of SPREAD_ROWS rows at least
 SPREAD_ROWS = 512
 PORTION = 2048              # rows multiplied at a time
 MAX_PIVOTS = 16_384         # bounds the pivot table sent to tasks; larger cells are cut into blocks
@@ -55,11 +55,11 @@ class Neighbours:
     sent: float = 0.0
 
 
-def usable_vectors(points: DataFrame, id_col: str, vector_col: str, metric: str) -> DataFrame:
-    """(id, vec) of the rows that take part."""
+def usable_vectors(points: DataFrame, id_col: str, vector_col: str, metric: str, kind: str = "double") -> DataFrame:
+    """(id, vec) of the rows that take part; vec is an array of ``kind``."""
     v = F.col("vec")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = (points.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    rows = (points.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(f"array<{kind}>").alias("vec"))
             .filter(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False)))
             .groupBy("id").agg(F.min("vec").alias("vec")))
     return rows.filter(F.exists("vec", lambda x: x != 0)) if metric == "cosine" else rows
@@ -76,6 +76,11 @@ def _slack(q: np.ndarray, largest: float) -> np.ndarray:
     return 1e-6 * (np.sqrt((q * q).sum(axis=1)) + largest) + 1e-12
 
 
+def _apart(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+    """The distances that are returned, of each row of ``x`` to the same row of ``y``."""
+    return 1 - np.einsum("ij,ij->i", x, y) if metric == "cosine" else np.sqrt(((x - y) ** 2).sum(axis=1))
+
+
 def _best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, metric: str):
     """(row of q, id, distance) of the k best of the block ``c`` for each row of ``q``, itself left out."""
     if metric == "cosine":
@@ -93,7 +98,7 @@ def _best(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int
     else:
         keep = np.isfinite(d)
     i, j = np.nonzero(keep)
-    far = d[i, j] if metric == "cosine" else np.sqrt(((q[i] - c[j]) ** 2).sum(axis=1))
+    far = _apart(q[i], c[j], metric)
     order = np.lexsort((cid[j], np.round(far, PLACES), i))
     i, j, far = i[order], j[order], far[order]
     place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
@@ -105,13 +110,15 @@ def _pivots(vectors: DataFrame, n: int) -> np.ndarray:
     """About sqrt(n) vectors drawn by hash of the id."""
     want = min(MAX_PIVOTS, max(1, math.ceil(math.sqrt(n))))
     share = F.xxhash64("rep", F.lit(7)).bitwiseAND(F.lit((1 << 62) - 1)) < int(min(1.0, 20 * want / max(1, n)) * (1 << 62))
-    drawn = vectors.filter(share).orderBy(F.xxhash64("rep", F.lit(7)), "rep").limit(want).select("vec").collect()
-    drawn = drawn or vectors.orderBy("rep").limit(1).select("vec").collect()
-    return np.asarray([r["vec"] for r in drawn])
+    drawn = vectors.filter(share).orderBy(F.xxhash64("rep", F.lit(7)), "rep").limit(want).select("vec", "length").collect()
+    drawn = drawn or vectors.orderBy("rep").limit(1).select("vec", "length").collect()
+    return np.asarray([r["vec"] for r in drawn], dtype=float) / np.asarray([[r["length"]] for r in drawn])
 
 
-def _vectors(column: pa.ChunkedArray, dims: int) -> np.ndarray:
-    return np.concatenate([c.flatten().to_numpy() for c in column.chunks] or [np.empty(0)]).reshape(-1, dims)
+def _vectors(table: pa.Table, dims: int) -> np.ndarray:
+    """``vec`` over ``length``, in double precision."""
+    x = np.concatenate([c.flatten().to_numpy() for c in table["vec"].chunks] or [np.empty(0)]).astype(float).reshape(-1, dims)
+    return x / table["length"].to_numpy()[:, None]
 
 
 def _group_cells(centres: np.ndarray, rows: np.ndarray, limit: int) -> list[np.ndarray]:
@@ -187,7 +194,7 @@ def _best_within(qid: np.ndarray, q: np.ndarray, reach: np.ndarray, low: np.ndar
                     limit = (reach[rows] + TIE) ** 2 + 1e-12 * (square[rows] + 2 * half[at:end].max())
                     least = (square[rows] - limit) / 2
                 i, j = np.divmod(_products_over(side[rows], other_side[at:end], least), len(y))
-                far = 1 - np.einsum("ij,ij->i", x[i], y[j]) if metric == "cosine" else np.sqrt(((x[i] - y[j]) ** 2).sum(axis=1))
+                far = _apart(x[i], y[j], metric)
                 other = qid[rows[i]] != cid[at + j]
                 fresh.append((rows[i[other]], cid[at + j[other]], far[other]))
                 waiting += int(other.sum())
@@ -197,7 +204,11 @@ def _best_within(qid: np.ndarray, q: np.ndarray, reach: np.ndarray, low: np.ndar
 
 
 def _search(vectors: DataFrame, n: int, k: int, metric: str) -> tuple[DataFrame, tuple[float, int, float]]:
-    """(rep, near, distance) of the k nearest classes of each of (rep, vec); share of pairs visited, cells, blocks a row asks."""
+    """(rep, near, distance) of the k nearest classes of each of (rep, vec, length); share of pairs visited, cells, blocks a row asks.
+
+    What is compared is vec / length.
+    """
+    kind = vectors.schema["vec"].dataType.elementType.simpleString()
     pivots = _pivots(vectors, n)
     dims = pivots.shape[1]
     longest = float(np.sqrt((pivots ** 2).sum(axis=1)).max())
@@ -205,13 +216,14 @@ def _search(vectors: DataFrame, n: int, k: int, metric: str) -> tuple[DataFrame,
     def deal(batches):
         for batch in batches:
             if batch.num_rows:
-                x = _vectors(pa.chunked_array([batch["vec"]]), dims)
+                x = _vectors(pa.Table.from_batches([batch]), dims)
                 d = np.concatenate([_distances(x[i:i + PORTION], pivots) for i in range(0, len(x), PORTION)])
                 cell = d.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([batch["rep"], batch["vec"], pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
-                                                 names=["rep", "vec", "cell", "away"])
+                yield pa.RecordBatch.from_arrays([batch["rep"], batch["vec"], batch["length"], pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(d)), cell])],
+                                                 names=["rep", "vec", "length", "cell", "away"])
 
-    dealt = cut_lineage(vectors.select("rep", "vec").mapInArrow(deal, "rep long, vec array<double>, cell int, away double"))
+    held = f"rep long, vec array<{kind}>, length double, cell int"
+    dealt = cut_lineage(vectors.select("rep", "vec", "length").mapInArrow(deal, f"{held}, away double"))
     sizes = {r["cell"]: (r["n"], r["lo"], r["hi"]) for r in dealt.groupBy("cell").agg(
         F.count(F.lit(1)).alias("n"), F.min("away").alias("lo"), F.max("away").alias("hi")).collect()}    # a row a pivot
     used = np.asarray(sorted(sizes))
@@ -240,59 +252,77 @@ def _search(vectors: DataFrame, n: int, k: int, metric: str) -> tuple[DataFrame,
         order = np.argsort(cell, kind="stable")
         cell = cell[order]
         here, starts = np.unique(cell, return_index=True)
-        return table["rep"].to_numpy()[order], _vectors(table["vec"], dims)[order], cell, here, np.append(starts, len(cell)), order
+        return table["rep"].to_numpy()[order], _vectors(table, dims)[order], cell, here, np.append(starts, len(cell)), order
+
+    def lists(i, near, far, rows: int) -> list[pa.Array]:
+        """The ids and distances found for each of ``rows`` rows, a list a row; ``i`` is sorted."""
+        ends = pa.array(np.searchsorted(i, np.arange(rows + 1)).astype(np.int32))
+        return [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (near, far)]
 
-    def choose(table: pa.Table) -> pa.Table:
+    def choose(block: int, table: pa.Table) -> pa.Table:
         ids, x, cell, here, starts, order = by_cell(table)
-        reach, seen, asks = np.full(len(x), np.inf), np.zeros(len(x), np.int32), []
+        reach, seen, asks, found = np.full(len(x), np.inf), np.zeros(len(x), np.int32), [], []
         for own in range(len(here)):
             for at in range(int(starts[own]), int(starts[own + 1]), PORTION):
                 rows = slice(at, min(at + PORTION, int(starts[own + 1])))
                 low = bounds(x[rows], cell[rows], here)
                 low[:, own] = -np.inf       # the own cell first
-                _best_within(ids[rows], x[rows], reach[rows], low, ids, x, starts, k, metric, longest)
+                i, near, far = _best_within(ids[rows], x[rows], reach[rows], low, ids, x, starts, k, metric, longest)
+                found.append((i + at, near, far))
                 edge = np.sqrt(2 * np.maximum(reach[rows], 0)) if metric == "cosine" else reach[rows]
                 need = bounds(x[rows], cell[rows], np.arange(len(used))) <= (edge + _slack(x[rows], longest))[:, None]
                 seen[rows] = need.sum(axis=1)
                 visit = np.stack([need[:, b].any(axis=1) for b in blocks], axis=1)
+                visit[:, block] = False
                 asks += [np.flatnonzero(v).astype(np.int32) for v in visit]
-        return pa.table({"rep": ids, "vec": table["vec"].take(pa.array(order)), "cell": used[cell].astype(np.int32),
-                         "reach": reach, "seen": seen, "targets": pa.array(asks, pa.list_(pa.int32()))})
+        near, far = lists(*(np.concatenate(f) for f in zip(*found)), len(x))
+        sorted_ = table.select(["rep", "vec", "length", "cell"]).take(pa.array(order))
+        return pa.table({**{c: sorted_[c] for c in sorted_.column_names}, "reach": reach, "seen": seen,
+                         "targets": pa.array(asks, pa.list_(pa.int32())), "block": pa.array(np.full(len(x), block, np.int32)),
+                         "near": near, "distance": far})
 
     spark = vectors.sparkSession
     shares = F.broadcast(spark.createDataFrame(deals, "cell int, first int, parts int"))
     cut = dealt.join(shares, "cell").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("rep"), "parts")).cast("int"))
-    rows = cut.select("block", "rep", "vec", "cell")
-    visits = rows.repartition(len(blocks), "block").groupBy("block").applyInArrow(
-        lambda key, table: choose(table).append_column("block", pa.array([key[0].as_py()] * table.num_rows, pa.int32())),
-        "rep long, vec array<double>, cell int, reach double, seen int, targets array<int>, block int")
-    visits = cut_lineage(visits)
+    rows = cut.select("block", "rep", "vec", "length", "cell")
+    best = "near array<long>, distance array<double>"
+    visits = cut_lineage(rows.repartition(len(blocks), "block").groupBy("block").applyInArrow(
+        lambda key, table: choose(key[0].as_py(), table), f"{held}, reach double, seen int, targets array<int>, block int, {best}"))
     seen = visits.agg(F.sum("seen")).first()[0]
     pairs = visits.select("block", F.explode("targets").alias("target")).groupBy("block", "target").count().collect()   # blocks squared at most
-    sent = sum(r["count"] for r in pairs) / n
-    key = ["block", "target"]
-    asking = visits.select("block", F.explode("targets").alias("target"), "rep", "vec", "cell", "reach")
-    asked = (rows.withColumnRenamed("block", "target")
-             .join(F.broadcast(spark.createDataFrame([tuple(r)[:2] for r in pairs], "block int, target int")), "target")
-             .select("block", "target", "rep", "vec", "cell"))
-
-    def meet(qs: pa.Table, cs: pa.Table) -> pa.Table:
-        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        if qs.num_rows and cs.num_rows:
-            ids, x, cell, _, _, order = by_cell(qs)
-            reach = qs["reach"].to_numpy()[order]
-            cid, c, _, here, starts, _ = by_cell(cs)
-            for at in range(0, len(x), PORTION):
-                part = slice(at, at + PORTION)
-                low = bounds(x[part], cell[part], here)
-                i, near, far = _best_within(ids[part], x[part], reach[part], low, cid, c, starts, k, metric, longest)
-                out.append((ids[part][i], near, far))
-        return pa.table(dict(zip(("rep", "near", "distance"), (np.concatenate(o) for o in zip(*out)))))
-
-    tasks = len(pairs)
-    found = (asking.repartition(tasks, *key).groupBy(*key).cogroup(asked.repartition(tasks, *key).groupBy(*key))
-             .applyInArrow(meet, "rep long, near long, distance double"))
-    return _top(found, "rep", "near", k), (seen / (n * len(used)), len(used), sent)
+    sent = 1 + sum(r["count"] for r in pairs) / n
+    asking = {}      # the blocks that ask a block: all of its rows meet theirs
+    for r in pairs:
+        asking.setdefault(r["target"], []).append(r["block"])
+    asked = F.broadcast(spark.createDataFrame(list(asking.items()), "block int, by array<int>"))
+    asks = F.array_contains("targets", F.col("other"))
+    meeting = (visits.join(asked, "block", "left")
+               .withColumn("other", F.explode(F.array_union("targets", F.coalesce("by", F.array().cast("array<int>")))))
+               .select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block",
+                       "rep", "vec", "length", "cell", F.when(asks, F.col("reach")).alias("reach")))
+
+    def meet(table: pa.Table) -> pa.Table:
+        out, block, asks = [], table["block"].to_numpy(), table["reach"].is_valid().to_numpy()
+        for mine in np.unique(block):
+            qs, cs = table.filter(pa.array((block == mine) & asks)), table.filter(pa.array(block != mine))
+            if qs.num_rows and cs.num_rows:
+                ids, x, cell, _, _, order = by_cell(qs)
+                reach = qs["reach"].to_numpy()[order]
+                cid, c, _, here, starts, _ = by_cell(cs)
+                for at in range(0, len(x), PORTION):
+                    part = slice(at, at + PORTION)
+                    low = bounds(x[part], cell[part], here)
+                    got = _best_within(ids[part], x[part], reach[part], low, cid, c, starts, k, metric, longest)
+                    out.append(pa.table([pa.array(ids[part]), *lists(*got, len(ids[part]))], names=["rep", "near", "distance"]))
+        empty = pa.schema([("rep", pa.int64()), ("near", pa.list_(pa.int64())), ("distance", pa.list_(pa.float64()))]).empty_table()
+        return pa.concat_tables(out) if out else empty
+
+    tasks = max(1, 4 * len({frozenset(r[:2]) for r in pairs}))      # so that few pairs of blocks share one
+    found = (meeting.repartition(tasks, "a", "b").groupBy("a", "b").applyInArrow(meet, f"rep long, {best}")
+             .filter(F.size("near") > 0).unionByName(visits.select("rep", "near", "distance")))
+    # lists travel, their entries do not
+    each = found.repartition("rep").select("rep", F.inline(F.arrays_zip("near", "distance")))
+    return _top(each, "rep", "near", k), (seen / (n * len(used)), len(used), sent)
 
 
 def _top(found: DataFrame, by: str, near: str, k: int, out: str = "rank") -> DataFrame:
@@ -305,20 +335,21 @@ def nearest_neighbours(points: DataFrame, k: int, id_col: str = "id", vector_col
     """The k nearest other rows of every row: by cosine distance (1 - cos) or Euclidean distance (``l2``)."""
     if metric not in ("cosine", "l2") or k < 1:
         raise ValueError(f"metric {metric}, k {k}")
-    rows = cut_lineage(usable_vectors(points, id_col, vector_col, metric))
+    given = points.schema[vector_col].dataType
+    kind = "float" if given.simpleString() == "array<float>" else "double"      # exact in either
+    rows = cut_lineage(usable_vectors(points, id_col, vector_col, metric, kind))
     n, least, most = rows.agg(F.count(F.lit(1)), F.min(F.size("vec")), F.max(F.size("vec"))).first()
     if least != most:
         raise ValueError(f"vectors of {least} to {most} components")
     classes = rows.groupBy("vec").agg(F.min("id").alias("rep"))
     v = F.col("vec")
-    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    unit = F.transform(v, lambda x: x / F.col("length")) if metric == "cosine" else v
-    classes = cut_lineage(classes.withColumn("length", length).select("rep", v, unit.alias("unit")))
+    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    classes = cut_lineage(classes.select("rep", "vec", (length if metric == "cosine" else F.lit(1.0)).alias("length")))
     m = classes.count()
     if not m:
         empty = rows.select("id", F.lit(1).alias("rank"), F.col("id").alias("neighbour_id"), F.lit(0.0).alias("distance"))
         return Neighbours(empty, 0.0, 0)
-    found, measures = _search(classes.select("rep", F.col("unit").alias("vec")), m, k, metric)
+    found, measures = _search(classes, m, k, metric)
     if m == n:
         return Neighbours(found.select(F.col("rep").alias("id"), "rank", F.col("near").alias("neighbour_id"), "distance"), *measures)
     found = cut_lineage(found)

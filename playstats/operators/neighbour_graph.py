@@ -7,8 +7,8 @@
 grows with sigma, so it is bisected: ``STEPS`` halvings of an interval that is known to hold the root,
 as one ``aggregate`` over a row's k distances inside the plan (whole-stage JVM code, no Python).
 
-*Symmetry.* The two directions a and b of a pair become ``a + b - a b`` by a full outer join of the edges
-with their reverse.
+*Symmetry.* The two directions a and b of a pair become ``a + b - a b``: a pair's edges are grouped by its smaller and
+larger row, so each edge is shuffled once. A row's neighbours travel as one list, with which its sigma is found.
 
 Defined results. sigma is at least ``FLOOR`` times the row's mean distance. Where so many neighbours lie
 within rho that their weights alone pass log2 k, no sigma reaches the sum and the floor stands. A row
@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playstats.operators.knn import all_pairs_topk
-from playstats.session import cut_lineage
 
 STEPS = 64
 FLOOR = 1e-3
@@ -36,13 +35,14 @@ def knn_graph(points: DataFrame, k: int = 30, id_col: str = "track_id", vector_c
     return near.select(F.col("id").alias("src"), F.col("neighbour_id").alias("dst"), F.col("distance").alias("dist"))
 
 
-def node_scales(edges: DataFrame, k: int) -> DataFrame:
-    """(src, rho, sigma) of every row; each holds its k distances, no more."""
+def _scaled(edges: DataFrame, k: int) -> DataFrame:
+    """(src, near, rho, sigma) of every row; each holds its k edges (dst, dist), no more."""
     if k < 2:
         raise ValueError("k must be at least 2")
     zero, target = F.lit(0.0), math.log2(k)
-    d = F.greatest(F.col("dist"), zero)
-    nodes = edges.groupBy("src").agg(F.array_sort(F.collect_list(d)).alias("ds"), F.avg(d).alias("mean"))
+    nodes = edges.groupBy("src").agg(F.collect_list(F.struct("dst", "dist")).alias("near"),
+                                     F.avg(F.greatest(F.col("dist"), zero)).alias("mean"))
+    nodes = nodes.withColumn("ds", F.array_sort(F.transform("near", lambda e: F.greatest(e["dist"], zero))))
     nodes = nodes.withColumn("rho", F.coalesce(F.array_min(F.filter("ds", lambda x: x > 0)), zero))
     nodes = nodes.withColumn("over", F.transform("ds", lambda x: F.greatest(x - F.col("rho"), zero)))
     # every term is at least log2 k / k at this sigma, so the sum of k terms has passed log2 k
@@ -58,19 +58,28 @@ def node_scales(edges: DataFrame, k: int) -> DataFrame:
 
     start = F.struct(zero.alias("lo"), F.col("top").alias("hi"))
     found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve)["hi"]
-    return nodes.select("src", "rho", F.greatest(found, F.col("mean") * FLOOR).alias("sigma"))
+    return nodes.select("src", "near", "rho", F.greatest(found, F.col("mean") * FLOOR).alias("sigma"))
+
+
+def node_scales(edges: DataFrame, k: int) -> DataFrame:
+    """(src, rho, sigma) of every row."""
+    return _scaled(edges, k).drop("near")
 
 
 def directed_weights(edges: DataFrame, k: int) -> DataFrame:
     """(src, dst, weight) before symmetrising."""
     over = F.greatest(F.col("dist") - F.col("rho"), F.lit(0.0))
     weight = F.when(over > 0, F.exp(-over / F.col("sigma"))).otherwise(1.0)
-    return edges.join(node_scales(edges, k), "src").select("src", "dst", weight.alias("weight"))
+    return _scaled(edges, k).select("src", "rho", "sigma", F.inline("near")).select("src", "dst", weight.alias("weight"))
 
 
 def neighbour_weights(edges: DataFrame, k: int) -> DataFrame:
     """M3: symmetric edges (src, dst, weight), both directions of each pair."""
-    one = cut_lineage(directed_weights(cut_lineage(edges), k))
-    back = one.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("weight").alias("back"))
-    a, b = F.coalesce("weight", F.lit(0.0)), F.coalesce("back", F.lit(0.0))
-    return one.join(back, ["src", "dst"], "full_outer").select("src", "dst", (a + b - a * b).alias("weight"))
+    src, dst = F.col("src"), F.col("dst")
+    pairs = directed_weights(edges, k).groupBy(F.least(src, dst).alias("low"), F.greatest(src, dst).alias("high")).agg(
+        F.coalesce(F.max(F.when(src <= dst, F.col("weight"))), F.lit(0.0)).alias("a"),
+        F.coalesce(F.max(F.when(src >= dst, F.col("weight"))), F.lit(0.0)).alias("b"))
+    ways = F.array_distinct(F.array(F.struct(F.col("low").alias("src"), F.col("high").alias("dst")),
+                                    F.struct(F.col("high").alias("src"), F.col("low").alias("dst"))))
+    a, b = F.col("a"), F.col("b")
+    return pairs.select(F.inline(ways), (a + b - a * b).alias("weight"))

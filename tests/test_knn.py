@@ -97,3 +97,14 @@ def test_single_precision_filter_leaves_nothing_out(spark):
         least = np.sort(products, axis=1)[:, -7]
         i = np.divmod(knn._products_over(x, y, least), 400)
         assert set(zip(*(a.tolist() for a in np.nonzero(products >= least[:, None])))) <= set(zip(*(a.tolist() for a in i)))
+
+
+def test_blocks_meet_once_with_the_components_as_given(spark):
+    """Single-precision vectors travel as such, two blocks meet in one group for both directions, and the result is exact."""
+    rows = [(i, [float(a) for a in np.float32(v)], "r") for i, (_, v, _) in enumerate(clustered(1200, 12, seed=4))]
+    frame = spark.createDataFrame(rows, "id long, vector array<float>, rank string")
+    for metric in ("l2", "cosine"):
+        found = nearest_neighbours(frame, 6, metric=metric).rows
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert "CoGroup" not in plan
+        same(sorted((r["id"], r["rank"], r["neighbour_id"], round(r["distance"], 9)) for r in found.collect()), sorted(brute(rows, 6, metric)))

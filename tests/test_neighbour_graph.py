@@ -57,3 +57,11 @@ def test_weights_need_no_python(spark):
     plan = neighbour_weights(spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.7)], "src long, dst long, dist double"), 2)
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
     assert {(r["src"], r["dst"]) for r in plan.collect()} == {(1, 2), (2, 1), (1, 3), (3, 1)}
+
+
+def test_an_edge_is_shuffled_once_for_its_row_and_once_for_its_pair(spark):
+    edges = [(1, 2, 0.5), (1, 3, 0.7), (2, 1, 0.5), (2, 3, 0.9), (3, 1, 0.7), (3, 2, 0.9)]
+    weights = neighbour_weights(spark.createDataFrame(edges, "src long, dst long, dist double"), 2)
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted((r["src"], r["dst"]) for r in weights.collect()) == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)]
