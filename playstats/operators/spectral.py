@@ -15,6 +15,9 @@ A round is
 3. *stop rule*: the largest residual ``|A v - lambda v|`` of the wanted vectors over all components. If it is not
    below ``tolerance`` after ``rounds`` rounds an error is raised: an unconverged layout is never returned.
 
+A product shuffles one partial sum a node and part of the join, so the joined edges are taken in few parts: ``PARTS``,
+more where a part would pass ``PART`` edges.
+
 Every state is written to the shared folder, so lost executors read files again.
 
 Defined results. Edges must be symmetric; repeated ones add up; those without positive weight and loops are
@@ -33,6 +36,8 @@ from playstats.session import cut_lineage
 
 DEGREE = 8
 GUARDS = 6          # vectors beyond the wanted ones
+PARTS = 6           # parts of the joined edges, at least
+PART = 8_000_000    # edges a part
 
 
 def component_labels(edges: DataFrame) -> DataFrame:
@@ -40,7 +45,7 @@ def component_labels(edges: DataFrame) -> DataFrame:
 
     Each round a node takes the smallest label around it, then the label of its label.
     """
-    around = edges.select("src", "dst").distinct()
+    around = edges.select("src", "dst")
     labels = cut_lineage(around.groupBy(F.col("src").alias("node")).agg(F.least(F.col("node"), F.min("dst")).alias("comp")))
     while True:
         low = (around.join(labels, F.col("dst") == F.col("node")).groupBy("src").agg(F.min("comp").alias("low"))
@@ -63,7 +68,7 @@ def _matrix(edges: DataFrame) -> DataFrame:
     return cut_lineage(a.unionByName(degree.select("src", F.col("src").alias("dst"), F.lit(0.0).alias("a"), F.lit(1.0).alias("own"))))
 
 
-def _product(matrix: DataFrame, state: DataFrame, b: int, factor: float, last: bool = False) -> DataFrame:
+def _product(matrix: DataFrame, state: DataFrame, b: int, factor: float, parts: int, last: bool = False) -> DataFrame:
     """The next Chebyshev vectors of ``state`` (node, comp, mid, half, y*, p*); with ``last`` A y beside y."""
     own, a = F.col("own"), F.col("a")
     keep = [F.max(F.when(own == 1, F.col(c))).alias(c) for c in ("comp", "mid", "half")]
@@ -73,7 +78,7 @@ def _product(matrix: DataFrame, state: DataFrame, b: int, factor: float, last: b
     else:
         new = [F.sum((a - own * F.col("mid")) * y[i] * (factor / F.col("half")) - own * p[i]).alias(f"y{i}") for i in range(b)]
         new += [F.sum(own * y[i]).alias(f"p{i}") for i in range(b)]
-    return matrix.join(state, F.col("dst") == F.col("node")).groupBy(F.col("src").alias("node")).agg(*keep, *new)
+    return matrix.join(state, F.col("dst") == F.col("node")).coalesce(parts).groupBy(F.col("src").alias("node")).agg(*keep, *new)
 
 
 def _ritz(sums: DataFrame, b: int, wanted: int) -> DataFrame:
@@ -117,6 +122,7 @@ def spectral_layout(edges: DataFrame, dims: int = 2, tolerance: float = 1e-7, ro
     """(``id_col``, x, y, ...): coordinates of every node of the symmetric edges (src, dst, weight)."""
     b = dims + 1 + GUARDS
     matrix = _matrix(edges)
+    parts = max(PARTS, -(-matrix.count() // PART))
     labels = component_labels(matrix)
     start = [(F.xxhash64("node", F.lit(i)) / float(2 ** 63)).alias(f"y{i}") for i in range(b)]
     state = cut_lineage(labels.select("node", "comp", F.lit(-0.5).alias("mid"), F.lit(0.5).alias("half"), *start))
@@ -124,8 +130,8 @@ def spectral_layout(edges: DataFrame, dims: int = 2, tolerance: float = 1e-7, ro
     for _ in range(rounds):
         moved = state.select("*", *[F.lit(0.0).alias(f"p{i}") for i in range(b)])
         for k in range(DEGREE):
-            moved = _product(matrix, moved, b, 1.0 if k == 0 else 2.0)
-        both = cut_lineage(_product(matrix, moved, b, 1.0, last=True))
+            moved = _product(matrix, moved, b, 1.0 if k == 0 else 2.0, parts)
+        both = cut_lineage(_product(matrix, moved, b, 1.0, parts, last=True))
         dots = [F.sum(F.col(f"{n[0]}{i}") * F.col(f"{n[1]}{j}")).alias(f"{n}{i}_{j}") for n in ("yy", "yz", "zz") for i, j in pairs]
         solved = cut_lineage(_ritz(both.groupBy("comp").agg(F.count(F.lit(1)).alias("nodes"), *dots), b, dims + 1))
         worst = solved.agg(F.max("residual")).first()[0]

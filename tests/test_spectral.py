@@ -74,3 +74,21 @@ def test_unconverged_raises_and_empty_is_empty(spark):
     with pytest.raises(RuntimeError, match="not converged"):
         spectral_layout(spark.createDataFrame(ring, EDGES), tolerance=1e-12, rounds=1)
     assert spectral_layout(spark.createDataFrame([], EDGES)).count() == 0
+
+
+def test_a_product_sums_in_few_parts(spark):
+    from pyspark.sql import functions as F
+
+    from playstats.operators.spectral import _matrix, _product
+    edges = path(range(30)) + path([0, 7, 29], 2.0)
+    state = spark.range(30).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("comp"), F.lit(-0.5).alias("mid"),
+                                   F.lit(0.5).alias("half"), (F.col("id") * 1.5).alias("y0"), F.lit(0.0).alias("p0"))
+    out = _product(_matrix(spark.createDataFrame(edges, EDGES)), state, 1, 1.0, 3, last=True)
+    assert "Coalesce 3" in out._jdf.queryExecution().executedPlan().toString()
+    w = np.zeros((30, 30))
+    for i, j, x in edges:
+        w[i, j] += x
+    d = w.sum(axis=1)
+    want = (w / np.sqrt(d[:, None] * d)) @ (np.arange(30) * 1.5)
+    got = {r["node"]: r["z0"] for r in out.collect()}
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in range(30))
