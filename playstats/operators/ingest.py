@@ -29,12 +29,14 @@ def split_description(df: DataFrame, col: str = "Track Description",
                       first: str = "artist_name", second: str = "track_name") -> DataFrame:
     """Split at the first separator only.
 
-    No separator: ``first`` = whole text, ``second`` = NULL. The separator is searched as plain text, without a
+    No separator: ``first`` = whole text, ``second`` = NULL. The separator is searched once, as plain text, without a
     regular expression a row.
     """
-    text, at = F.col(col), F.instr(F.col(col), sep)
-    return df.withColumns({first: F.when(at > 0, F.substring_index(text, sep, 1)).otherwise(text),
-                           second: F.when(at > 0, F.substring(text, at + len(sep), F.length(text)))})
+    text = F.col(col)
+    before = df.withColumn(first, F.substring_index(text, sep, 1))       # the whole text if there is no separator
+    at = F.length(first)
+    return before.withColumn(second, F.when(F.octet_length(first) < F.octet_length(text),
+                                            F.substring(text, at + len(sep) + 1, F.length(text))))
 
 
 def parse_compact_date(c) -> Column:
@@ -42,8 +44,12 @@ def parse_compact_date(c) -> Column:
 
     Parsed as a date, never as a zoned timestamp: a midnight that a zone skips would move.
     """
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(col.cast("string"), "yyyyMMdd").cast("timestamp_ntz")
+    text = (F.col(c) if isinstance(c, str) else c).cast("string")
+    plain = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)).try_cast("date")
+    # Eight digits are cast; the pattern's parser raises an error inside for each text it refuses, and
+    # takes nothing else but years with a sign.
+    return (F.when(text.rlike(r"^[0-9]{8}\z"), plain)
+            .when(text.rlike("^[+-]"), F.try_to_date(text, "yyyyMMdd")).cast("timestamp_ntz"))
 
 
 def lenient_year(c) -> Column:
@@ -117,34 +123,46 @@ def pair_key() -> Column:
     return F.xxhash64("track_name", "artist_name")
 
 
-def build_plays(prepared: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
-    """Join back on (title, artist name), parse the day, one row per track and day.
+def keyed_export(prepared: DataFrame) -> DataFrame:
+    """The prepared export with its days parsed and ``pair``, the :func:`pair_key` of rows that have both names.
+
+    Stored, it is read twice: the names for artists and tracks, the key and the values for the plays.
+    """
+    named = F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()
+    return prepared.select("artist_name", "track_name", F.when(named, pair_key()).alias("pair"),
+                           parse_compact_date("played_at_text").alias("played_at"), *PLAY_VALUES)
+
+
+def resolve_plays(keyed: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
+    """The rows of a :func:`keyed_export` with the ids of their tracks.
 
     The plays meet their tracks by :func:`pair_key`, so they are shuffled without their names. If two tracks
     share a key, the names themselves are joined.
     """
-    keyed = cut_lineage(tracks.join(artists.select("artist_id", "name"), "artist_id").select(
+    ids = cut_lineage(tracks.join(artists.select("artist_id", "name"), "artist_id").select(
         "track_id", F.col("title").alias("track_name"), F.col("name").alias("artist_name")).withColumn("pair", pair_key()))
-    shared = keyed.groupBy("pair").count().filter("count > 1").limit(1).count()
+    shared = ids.groupBy("pair").count().filter("count > 1").limit(1).count()
     by = ["track_name", "artist_name"] if shared else ["pair"]
-    plays = (prepared.filter(F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()).withColumn("pair", pair_key())
-             .select(*by, parse_compact_date("played_at_text").alias("played_at"), *PLAY_VALUES))
-    p = plays.join(keyed.select(*by, "track_id"), by).select("track_id", "played_at", *PLAY_VALUES)
-    return dedupe_daily_plays(p).select("track_id", "played_at", *PLAY_VALUES)
+    plays = keyed.filter(F.col("pair").isNotNull()).select(*by, "played_at", *PLAY_VALUES)
+    return plays.join(ids.select(*by, "track_id"), by).select("track_id", "played_at", *PLAY_VALUES)
+
+
+def build_plays(keyed: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
+    """Join back on (title, artist name), one row per track and day."""
+    return dedupe_daily_plays(resolve_plays(keyed, tracks, artists)).select("track_id", "played_at", *PLAY_VALUES)
 
 
 def load_play_history(raw: DataFrame) -> dict[str, DataFrame]:
     """The whole play-history load: artists, tracks, plays.
 
-    Artists and tracks both come from the distinct (artist, title) pairs, written
-    once to the shared checkpoint folder, so the raw export is read twice (pairs,
-    plays) rather than once per table.
+    The raw export is read once and written, split and keyed, to the shared checkpoint folder; so are its
+    distinct (artist, title) pairs, from which both artists and tracks come.
     """
-    prepared = prepare_play_export(raw)
-    pairs = cut_lineage(prepared.select("artist_name", "track_name").distinct())
+    keyed = cut_lineage(keyed_export(prepare_play_export(raw)))
+    pairs = cut_lineage(keyed.select("artist_name", "track_name").distinct())
     artists = build_artists(pairs)
     tracks = build_tracks(pairs, artists)
-    return {"artists": artists, "tracks": tracks, "plays": build_plays(prepared, tracks, artists)}
+    return {"artists": artists, "tracks": tracks, "plays": build_plays(keyed, tracks, artists)}
 
 
 # -------------------------------------------------------------- catalog loader

@@ -26,6 +26,14 @@ def _n_sup(spark, sf_dir):
     return F.broadcast(table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("_n_sup")))
 
 
+def _compact_day():
+    """The day of a play as yyyyMMdd text."""
+    day = play_day()
+    number = F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+    return (F.when(F.year(day).between(0, 9999), F.lpad(number.cast("string"), 8, "0"))
+            .otherwise(F.translate(day.cast("string"), "-", "")))
+
+
 def raw_play_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -38,8 +46,8 @@ def raw_play_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         desc.cast("string").alias("Track Description"),
         F.when((F.col("l_linestatus") == "O") & (F.col("l_linenumber") == 5), F.lit("unknown"))
-        .otherwise(F.translate(play_day().cast("string"), "-", "")).alias("Date Played"),
-        F.bround(F.col("l_extendedprice") * 3, 0).cast("long").alias("Play Duration Milliseconds"),
+        .otherwise(_compact_day()).alias("Date Played"),
+        F.rint(F.col("l_extendedprice") * 3).cast("long").alias("Play Duration Milliseconds"),
         play_count().alias("Play Count"),
         F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("int") % 4)
         .otherwise(F.lit(0)).cast("int").alias("Skip Count"))

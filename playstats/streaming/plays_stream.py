@@ -7,8 +7,8 @@ operators as the batch loader and appends to the same model tables, with the sam
 
 * new artist names / (title, artist) pairs get ids after the current maximum
   (one-row aggregate, broadcast) in natural-key order;
-* plays are de-duplicated inside the batch (one row per track and day) and joined on
-  (track_id, played_at) with the stored plays of the batch's years. A day that is not stored is
+* plays of the batch and the stored plays of its range of days are grouped together by
+  (track_id, played_at): the smallest row of each side. A day that is not stored is
   appended; a replayed batch (after a failure) or a re-sent equal row appends nothing.
 
 A day may be split over drops or sent again with other values: the smallest row of a day stands, as in
@@ -47,6 +47,7 @@ PLAYS_SCHEMA = T.StructType([
 
 PLAYS_DDL = ("track_id long, played_at timestamp_ntz, play_duration_ms long, play_count int, "
              "skip_count int, change tinyint, play_year int")
+PLAY_ROW = "struct<play_duration_ms: long, play_count: int, skip_count: int>"
 
 
 def _export_schema(columns=None) -> T.StructType:
@@ -65,7 +66,8 @@ def _read_or_empty(spark: SparkSession, path: str, schema: str, declared: bool =
     """The table at ``path``; ``declared`` reads it with ``schema``, columns a file lacks being null."""
     if _exists(spark, path):
         return (spark.read.schema(schema) if declared else spark.read).parquet(path)
-    return spark.createDataFrame([], schema)
+    # an empty relation that the optimiser knows to be empty (no join with it is run)
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in map(str.split, schema.split(", "))]).filter(F.lit(False))
 
 
 def _with_new_ids(new: DataFrame, existing: DataFrame, key_cols, id_col: str) -> DataFrame:
@@ -81,16 +83,17 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
     spark = batch.sparkSession
     root = tables_root.rstrip("/")
     raw = batch.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in PLAY_EXPORT_COLUMNS.items()])
-    prepared = cut_lineage(IG.prepare_play_export(raw))     # the drop's files are read once
+    keyed = cut_lineage(IG.keyed_export(IG.prepare_play_export(raw)))     # the drop's files are read once
+    named = cut_lineage(keyed.select("artist_name", "track_name").distinct())
     artists = _read_or_empty(spark, f"{root}/artists", "artist_id long, name string")
-    new_names = (prepared.select(F.col("artist_name").alias("name")).dropna().distinct()
+    new_names = (named.select(F.col("artist_name").alias("name")).dropna().distinct()
                  .join(artists.select("name"), "name", "left_anti"))
     IG.write_tables({"artists": _with_new_ids(new_names, artists, ["name"], "artist_id")}, root, "append")
     artists = spark.read.parquet(f"{root}/artists")
 
     tracks = _read_or_empty(spark, f"{root}/tracks", "track_id long, title string, artist_id long")
-    pairs = (prepared.filter(F.col("track_name").isNotNull())
-             .select(F.col("track_name").alias("title"), "artist_name").distinct()
+    pairs = (named.filter(F.col("track_name").isNotNull())
+             .select(F.col("track_name").alias("title"), "artist_name")
              .join(artists.select("artist_id", F.col("name").alias("artist_name")), "artist_name")
              .select("title", "artist_id")
              .join(tracks.select("title", "artist_id"), ["title", "artist_id"], "left_anti"))
@@ -98,23 +101,27 @@ def merge_play_batch(batch: DataFrame, tables_root: str) -> None:
     IG.write_tables({"tracks": new_tracks.select("track_id", "title", "artist_id")}, root, "append")
     tracks = spark.read.parquet(f"{root}/tracks")
 
-    plays = cut_lineage(IG.build_plays(prepared, tracks, artists))
     stored = _read_or_empty(spark, f"{root}/plays", PLAYS_DDL, declared=True)
     # Only stored days inside this batch's range can collide: the range (one row) becomes
     # literal filters, on the year folders and on the day column, so a batch does not re-read
     # the whole history. Unparsable days (NULL) are one key per track.
-    lo, hi = plays.agg(F.min("played_at"), F.max("played_at")).first()
+    lo, hi = keyed.filter(F.col("pair").isNotNull()).agg(F.min("played_at"), F.max("played_at")).first()
     near = F.col("play_year").isNull()
     if lo is not None:
         near = near | (F.col("play_year").between(lo.year, hi.year) & F.col("played_at").between(ntz_literal(lo), ntz_literal(hi)))
+    # Both sides meet in one grouping, one row per track and day: the smallest row of the batch and the
+    # smallest of the stored versions, which is the one that stands (as in merge_versions).
     values = list(IG.PLAY_VALUES)
-    old = IG.merge_versions(stored.filter(near)).select(
-        F.col("track_id").alias("_track"), F.col("played_at").alias("_day"), F.struct(*values).alias("_old"))
-    both = plays.join(old, (F.col("track_id") == F.col("_track")) & F.col("played_at").eqNullSafe(F.col("_day")), "left")
-    new = F.struct(*values)
-    add = F.struct(*values, F.lit(1).cast("tinyint").alias("change"))
-    back = F.struct(*[F.col(f"_old.{v}").alias(v) for v in values], F.lit(-1).cast("tinyint").alias("change"))
-    versions = F.when(F.col("_track").isNull(), F.array(add)).when(new < F.col("_old"), F.array(add, back))
+    row = F.struct(*values)
+    none = F.lit(None).cast(PLAY_ROW)
+    sent = IG.resolve_plays(keyed, tracks, artists).select("track_id", "played_at", row.alias("_new"), none.alias("_old"))
+    have = (stored.filter(near).filter(F.coalesce("change", F.lit(1)) == 1)
+            .select("track_id", "played_at", none.alias("_new"), row.alias("_old")))
+    both = sent.unionByName(have).groupBy("track_id", "played_at").agg(F.min("_new").alias("_new"), F.min("_old").alias("_old"))
+    add = F.struct("_new.*", F.lit(1).cast("tinyint").alias("change"))
+    back = F.struct("_old.*", F.lit(-1).cast("tinyint").alias("change"))
+    versions = (F.when(F.col("_new").isNotNull() & F.col("_old").isNull(), F.array(add))
+                .when(F.col("_new") < F.col("_old"), F.array(add, back)))
     # adaptive execution sizes the files: one per year and advisory partition size
     fresh = (both.select("track_id", "played_at", F.inline(versions))
              .withColumn("play_year", F.year("played_at")).hint("rebalance", "play_year"))

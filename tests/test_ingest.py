@@ -195,3 +195,27 @@ def test_plays_are_shuffled_without_their_names(spark, monkeypatch):
     assert named(loaded) == want
     monkeypatch.setattr(IG, "pair_key", lambda: F.lit(1).cast("long"))           # tracks that share a key
     assert named(IG.load_play_history(raw)) == want
+
+
+def test_raw_export_is_read_once(spark):
+    rows = [("A - x", "20200101", 5, 1, 0), ("A - x", "20200101", 3, 2, 0), ("B", "20200101", 1, 1, 0), ("B - y", "junk", 1, 1, 0)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    raw = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(count), "`Track Description` string, `Date Played` string, "
+                                "`Play Duration Milliseconds` long, `Play Count` int, `Skip Count` int")
+    loaded = IG.load_play_history(raw)
+    assert {name: df.count() for name, df in loaded.items()} == {"artists": 2, "tracks": 2, "plays": 2}
+    assert seen.value == len(rows)
+
+
+def test_compact_date_is_the_parsers(spark):
+    texts = ["20240301", "20240230", "00010101", "00000101", "99991231", "+120240101", "-20240101", "2024x", "20240301 ", " 20240301",
+             "20240301\n", "2024031", "202403011", "", None, "+20240101", "unknown", "2024-03-01", "20241301", "２０２４０３０１"]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    both = df.select(IG.parse_compact_date("d").cast("string"),
+                     F.try_to_date("d", "yyyyMMdd").cast("timestamp_ntz").cast("string")).collect()
+    assert [r[0] for r in both] == [r[1] for r in both] and sum(r[0] is not None for r in both) == 6

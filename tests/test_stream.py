@@ -91,3 +91,23 @@ def test_days_split_over_drops_equal_the_batch_load(spark, tmp_path):
         months.awaitTermination()
         got = sorted(map(tuple, spark.sql(f"SELECT * FROM months{n}").collect()), key=str)
         assert got == sorted(map(tuple, R.plays_per_month(m).collect()), key=str)
+
+
+def test_a_batch_meets_the_stored_plays_in_one_shuffle(spark, tmp_path, monkeypatch):
+    from playstats.operators import ingest as IG
+    plans, write = [], IG.write_tables
+
+    def record(tables, *args):
+        if "plays" in tables:
+            plans.append(tables["plays"]._jdf.queryExecution().executedPlan().toString())
+        write(tables, *args)
+
+    monkeypatch.setattr(IG, "write_tables", record)
+    for i, line in enumerate(("A - x,20240301,1000,2,0", "A - x,20240301,900,1,1")):
+        _drop(tmp_path / "drops", f"d{i}.csv", [line])
+        ST.ingest_plays_stream(spark, str(tmp_path / "drops"), str(tmp_path / "tables"), str(tmp_path / "ck")).awaitTermination()
+    assert len(plans) == 2
+    for plan in plans:
+        assert sum("hashpartitioning" in x and "played_at" in x for x in plan.splitlines()) == 1 and "LeftOuter" not in plan
+    raw = spark.read.schema(ST.PLAYS_SCHEMA).parquet(str(tmp_path / "tables" / "plays"))
+    assert sorted((r.play_duration_ms, r.change) for r in raw.collect()) == [(900, 1), (1000, -1), (1000, 1)]
