@@ -473,11 +473,11 @@ def _q_stream_monthly(spark, sf_dir):
 def _q_stream_after_batch(spark, sf_dir):
     """Batch-load a third of the export, stream another, then all of it again: each day is split over the three."""
     import uuid
-    from playstats.session import ensure_checkpoint_dir
+    from playstats.session import cut_lineage, ensure_checkpoint_dir
     from playstats.sources.readers import read_model
     from playstats.streaming import plays_stream as ST
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/playstats-stream/{uuid.uuid4().hex}"
-    raw = DV.raw_play_export(spark, sf_dir)
+    raw = cut_lineage(DV.raw_play_export(spark, sf_dir))         # read by the load and by both streams
     part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]), F.lit(3))
     IG.write_tables(IG.load_play_history(raw.filter(part == 0)), f"{root}/tables")
     for i, rows in enumerate((raw.filter(part == 1), raw)):      # the second sends every day again
