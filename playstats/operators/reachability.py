@@ -34,7 +34,7 @@ _EDGE = "comp long, weight double, a long, b long, other long"
 
 def _deal(classes: DataFrame, n: int) -> DataFrame:
     """``classes`` (id, x, y, core) with the cell of the nearest pivot."""
-    pivots = _pivots(classes.select(F.col("id").alias("rep"), F.array("x", "y").alias("vec")), n)
+    pivots = _pivots(classes.select(F.col("id").alias("rep"), F.array("x", "y").alias("vec"), F.lit(1.0).alias("length")), n)
 
     def deal(frames):
         for pdf in frames:

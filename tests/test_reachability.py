@@ -50,3 +50,18 @@ def test_copies_and_unusable_points(spark):
     assert sorted((r["a"], r["b"], r["weight"]) for r in out) == [(1, 2, 0.0), (1, 3, 0.0), (1, 4, 1.0), (4, 8, 2.0)]
     assert mutual_reachability_forest(spark.createDataFrame([], COLS), 3).count() == 0
     assert mutual_reachability_forest(spark.createDataFrame([(1, 0.0, 0.0)], COLS), 3).count() == 0
+
+
+def test_points_go_to_the_cell_of_their_nearest_pivot(spark):
+    from playstats.operators.knn import _pivots
+    from playstats.operators.reachability import _deal
+    from pyspark.sql import functions as F
+    points = [(i, float(i % 20), float(i // 20) * 1.5, 0.0) for i in range(300)]
+    classes = spark.createDataFrame(points, "id long, x double, y double, core double")
+    pivots = _pivots(classes.select(F.col("id").alias("rep"), F.array("x", "y").alias("vec"), F.lit(1.0).alias("length")), 300)
+    assert {tuple(p) for p in pivots} <= {(x, y) for _, x, y, _ in points}          # as given, not scaled
+    dealt = _deal(classes, 300).collect()
+    assert len(dealt) == 300 and len({r["cell"] for r in dealt}) == len(pivots) > 5
+    for r in dealt:
+        d = np.hypot(*(pivots - [r["x"], r["y"]]).T)
+        assert d[r["cell"]] <= d.min() + 1e-9
