@@ -3,9 +3,11 @@
 *Graph.* The k nearest rows of every row are its directed edges (exact, from :mod:`knn`).
 
 *Weights.* A row's nearest positive distance rho gets weight 1; a neighbour at distance d gets
-``exp(-max(0, d - rho) / sigma)``, with sigma solved for each row so that its weights sum to log2 k. The sum
-grows with sigma, so it is bisected: ``STEPS`` halvings of an interval that is known to hold the root,
-as one ``aggregate`` over a row's k distances inside the plan (whole-stage JVM code, no Python).
+``exp(-max(0, d - rho) / sigma)``, with sigma solved for each row so that its weights sum to log2 k. In 1 / sigma the sum
+is convex and falls, so Newton's steps from an upper bound of sigma never pass the root; they end when one is below
+``SETTLED`` of the value, as the next error is about its square. A row that has not settled after ``STEPS`` of them is bisected:
+``STEPS`` halvings of an interval that is known to hold the root. Both are one ``aggregate`` over a row's k distances
+inside the plan (JVM code, no Python).
 
 *Symmetry.* The two directions a and b of a pair become ``a + b - a b``: a pair's edges are grouped by its smaller and
 larger row, so each edge is shuffled once. A row's neighbours travel as one list, with which its sigma is found.
@@ -26,6 +28,7 @@ from playstats.operators.knn import all_pairs_topk
 
 STEPS = 64
 FLOOR = 1e-3
+SETTLED = 1e-9
 
 
 def knn_graph(points: DataFrame, k: int = 30, id_col: str = "track_id", vector_col: str = "features",
@@ -56,8 +59,27 @@ def _scaled(edges: DataFrame, k: int) -> DataFrame:
         low = F.coalesce(total(mid), zero) < target
         return F.struct(F.when(low, mid).otherwise(s["lo"]).alias("lo"), F.when(low, s["hi"]).otherwise(mid).alias("hi"))
 
+    nodes = nodes.withColumn("far", F.filter("over", lambda x: x > 0))
+    nodes = nodes.withColumn("within", (F.size("over") - F.size("far")).cast("double"))       # weights of 1 whatever sigma is
+
+    def sums(u):
+        return F.struct(F.aggregate("far", F.col("within"), lambda a, x: a + F.exp(-x * u)).alias("sum"),
+                        F.aggregate("far", zero, lambda a, x: a + x * F.exp(-x * u)).alias("fall"))
+
+    def step(s):
+        def moved(t):
+            on = (t["sum"] - target) / F.nullif(t["fall"], zero)
+            return F.when(t["sum"] <= target, F.struct(s["u"].alias("u"), F.lit(True).alias("settled"))).otherwise(
+                F.struct((s["u"] + F.coalesce(on, zero)).alias("u"), F.coalesce(on <= s["u"] * SETTLED, F.lit(False)).alias("settled")))
+
+        return F.transform(F.array(sums(s["u"])), moved)[0]      # the sums are bound once
+
+    begin = F.struct((1 / F.nullif("top", zero)).alias("u"), F.lit(False).alias("settled"))
+    newton = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), begin, lambda s, _: F.when(s["settled"], s).otherwise(step(s)))
     start = F.struct(zero.alias("lo"), F.col("top").alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve)["hi"]
+    halved = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, halve)["hi"]
+    nodes = nodes.withColumn("newton", F.when((F.col("top") > 0) & (F.col("within") < target), newton))
+    found = F.when(F.col("newton").isNull(), zero).when(F.col("newton")["settled"], 1 / F.col("newton")["u"]).otherwise(halved)
     return nodes.select("src", "near", "rho", F.greatest(found, F.col("mean") * FLOOR).alias("sigma"))
 
 

@@ -65,3 +65,16 @@ def test_an_edge_is_shuffled_once_for_its_row_and_once_for_its_pair(spark):
     plan = weights._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
     assert sorted((r["src"], r["dst"]) for r in weights.collect()) == [(1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2)]
+
+
+def test_scales_of_odd_rows_settle_or_are_halved(spark, monkeypatch):
+    k = 30
+    rows = {1: [10.0 ** (-2 * j) for j in range(k)], 2: [0.0] * 5 + [1.0] * 25, 3: [0.0] * 29 + [2.0], 4: [1.0 + 1e-9 * j for j in range(k)], 5: [0.0] * k,
+            6: [3.0] * k, 7: [0.5, 0.25], 8: [1.0] * 4 + [1e300] * 26, 9: [1e-300 * (j + 1) for j in range(k)], 10: [7.0]}
+    edges = spark.createDataFrame([(i, j, d) for i, ds in rows.items() for j, d in enumerate(ds)], "src long, dst long, dist double")
+    for settled in (None, -1.0):       # by Newton's steps; by halving alone
+        if settled:
+            monkeypatch.setattr("playstats.operators.neighbour_graph.SETTLED", settled)
+        for r in node_scales(edges, k).collect():
+            rho, sigma = plain_scale(rows[r["src"]], k)
+            assert r["rho"] == rho and abs(r["sigma"] - sigma) <= 1e-9 * sigma, r

@@ -92,3 +92,51 @@ def test_a_product_sums_in_few_parts(spark):
     want = (w / np.sqrt(d[:, None] * d)) @ (np.arange(30) * 1.5)
     got = {r["node"]: r["z0"] for r in out.collect()}
     assert all(abs(got[i] - want[i]) < 1e-9 for i in range(30))
+
+
+def blocks(spark, edges, n):
+    from playstats.operators.spectral import _keys, _packed, _parts, _stars
+    keys = _keys(spark, n)
+    packed = _packed(spark.createDataFrame(edges, EDGES), keys)
+    return keys, _parts(packed, n), _stars(packed)
+
+
+def test_a_product_of_parts_is_that_of_rows_and_moves_only_vectors(spark):
+    from pyspark.sql import functions as F
+
+    from playstats.operators.spectral import _matrix, _product, _start, _step
+    edges = path(range(30)) + path([0, 7, 29], 2.0) + path([5, 6], 0.5) + path([2 ** 60, 2 ** 60 + 1]) + [(3, 99, 1.0)]     # 99 has no edges of its own
+    keys, parts, stars = blocks(spark, edges, 3)
+    labels = component_labels(stars)
+    first = _start(parts, labels, keys, 2)
+    out = _step(parts, _step(parts, first, 2, 1.0), 2, 1.0, last=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(part" in line and "ENSURE_REQUIREMENTS" in line]
+    assert "Join" not in plan and len(shuffles) == 3          # the start's and one a product, none of the parts
+    state = labels.select("node", "comp", F.lit(-0.5).alias("mid"), F.lit(0.5).alias("half"),
+                          *[(F.xxhash64("node", F.lit(i)) / float(2 ** 63)).alias(f"y{i}") for i in range(2)],
+                          *[F.lit(0.0).alias(f"p{i}") for i in range(2)])
+    full = _matrix(spark.createDataFrame(edges + [(99, 3, 1.0)], EDGES)).filter("99 not in (src, dst)")
+    full = full.cache()
+    state = state.filter("node <> 99")
+    want = {r["node"]: r for r in _product(full, _product(full, state, 2, 1.0, 3), 2, 1.0, 3, last=True).collect()}
+    got, comps = {}, {}
+    held = {r["part"]: np.frombuffer(r["nodes"], np.int64) for r in parts.select("part", "nodes").collect()}
+    for r in out.collect():
+        values = np.frombuffer(r["data"]).reshape(5, -1)
+        comps |= dict(zip(held[r["part"]].tolist(), values[4].copy().view(np.int64).tolist()))
+        got |= {v: values[:4, i] for i, v in enumerate(held[r["part"]].tolist())}
+    assert sorted(got) == sorted(want) and comps[2 ** 60 + 1] == 2 ** 60 and comps[29] == 0
+    for v, r in want.items():
+        assert np.allclose(got[v], [r["y0"], r["y1"], r["z0"], r["z1"]], rtol=0, atol=1e-9)
+    parts.unpersist()
+    full.unpersist()
+
+
+def test_parts_leave_a_row_a_node_for_the_labels(spark):
+    edges = [(i, j, 1.0) for c in (0, 1000) for i in range(c, c + 60) for j in range(c, c + 60) if i != j]      # two cliques
+    _, parts, stars = blocks(spark, edges, 3)
+    assert stars.count() <= 2 * 3 * 120 < len(edges)
+    labels = {r["node"]: r["comp"] for r in component_labels(stars).collect()}
+    assert labels == {**{i: 0 for i in range(60)}, **{i: 1000 for i in range(1000, 1060)}}
+    parts.unpersist()
